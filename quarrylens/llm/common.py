@@ -43,3 +43,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def looked_up(rows: DataFrame, found: DataFrame, keys: list[str], salts: int = 8, how: str = "left") -> DataFrame:
+    """``rows`` joined with ``found`` (at most one row per key), with the rows of a key dealt to
+    ``salts`` tasks: a key may hold a large part of ``rows``."""
+    spread = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    rest = [c for c in rows.columns if c not in keys]
+    dealt = rows.withColumn("lookup_salt", F.pmod(F.xxhash64(*rest) if rest else F.lit(0), F.lit(salts)).cast("int"))
+    return dealt.join(found.withColumn("lookup_salt", spread), [*keys, "lookup_salt"], how).drop("lookup_salt")
