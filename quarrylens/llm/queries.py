@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylens.llm import bpe, exact_dedup, near_dedup, packing, pii, quality_rules, token_counts
+from quarrylens.llm import bpe, exact_dedup, near_dedup, packing, pii, quality_rules, substring_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(_table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(_table(spark, sf_dir, "documents"))
 
@@ -45,7 +50,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_near_dedup, op4_quality, op5_token_counts, op7_exact_dedup, op9_pii, op10_bpe)}
+    return {f.__name__: f for f in (op1_packing, op2_substring_dedup, op3_near_dedup, op4_quality, op5_token_counts, op7_exact_dedup, op9_pii, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
