@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylens.llm import bpe, exact_dedup, near_dedup, packing, pii, quality_rules, substring_dedup, token_counts
+from quarrylens.llm import bpe, exact_dedup, html_text, license_scan, near_dedup, packing, pii, quality_rules, substring_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,10 +36,18 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_counts(_table(spark, sf_dir, "documents"))
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op8_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(_table(spark, sf_dir, "documents"))
 
@@ -50,7 +58,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_substring_dedup, op3_near_dedup, op4_quality, op5_token_counts, op7_exact_dedup, op9_pii, op10_bpe)}
+    return {f.__name__: f for f in (op1_packing, op2_substring_dedup, op3_near_dedup, op4_quality, op5_token_counts, op6_html, op7_exact_dedup, op8_license, op9_pii, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
