@@ -28,16 +28,21 @@ def free_name(df: DataFrame, stem: str) -> str:
     return stem
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the session's shared checkpoint folder, with its lineage cut.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, which all executors share.
 
-    The cluster names the folder in ``spark.checkpoint.dir``; only where neither that nor an
-    earlier call has set one (local tests) a temporary folder is used.
+    The cluster names it in ``spark.checkpoint.dir``; only where neither that nor an earlier call has
+    set one (local tests) a temporary folder is used.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        named = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder, with its lineage cut."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from quarrylens.llm import bpe, exact_dedup, html_text, license_scan, near_dedup, packing, pii, quality_rules, substring_dedup, token_counts
 
 
@@ -57,8 +58,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_substring_dedup, op3_near_dedup, op4_quality, op5_token_counts, op6_html, op7_exact_dedup, op8_license, op9_pii, op10_bpe)}
+    return {f.__name__: f for f in (op1_packing, op2_substring_dedup, op3_near_dedup, op4_quality, op5_token_counts, op6_html, op7_exact_dedup, op8_license, op9_pii, op10_bpe, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
