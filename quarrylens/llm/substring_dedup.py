@@ -5,6 +5,7 @@ A distributed merge sort of suffixes that never ships or compares what is known
 1. *Which suffixes can repeat.* Suffixes are sampled by content (:mod:`.anchors`): equal windows of ``length`` bytes
    have the same anchor at the same place, about one anchor in 35 bytes. Only the 64-bit hash of an
    anchor's first 32 bytes is exchanged, once per batch of rows; anchors whose hash is met once are done with.
+   So are later copies of a whole text: all of their strings start earlier.
 2. *Sorted runs.* The segments of the other anchors (all windows with that anchor: the suffix from the
    anchor on, then the bytes before it backwards) are sorted within a task and front-coded. Equal ones in a run are
    one string with its first place; the others are removed right away. Runs are cut by the hash of the
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrylens.llm.anchors import segments
-from quarrylens.llm.common import documents, shuffle_partitions
+from quarrylens.llm.common import documents, looked_up, shuffle_partitions
 from quarrylens.llm.string_merge import front_coded, merged
 from quarrylens.llm.words import blocks
 
@@ -42,6 +43,15 @@ NO_ID = (1 << 63) - 1
 _META = np.dtype([("doc", "<i8"), ("version", "<i8"), ("start", "<i8"), ("left", "<u2")])
 
 
+def _copies(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``doc, version`` of the first document of every text, and whole-text spans of all others, told by two
+    64-bit hashes. Only narrow rows are shuffled."""
+    keys = rows.select("doc", "version", F.xxhash64(F.lit(1), "text").alias("second"), F.octet_length("text").cast("long").alias("stop"))
+    first = keys.groupBy("version", "second").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
+    copied = looked_up(keys, first.filter("first_doc < last_doc").drop("last_doc"), ["version", "second"], how="inner").filter("doc > first_doc")
+    return first.select(F.col("first_doc").alias("doc"), "version").distinct(), copied.select("doc", "version", F.lit(0).cast("long").alias("start"), "stop")
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc, version, text``; the keys have no nulls."""
     rows = documents(docs, id_col, text_col)
@@ -66,13 +76,14 @@ def _suspects(rows: DataFrame, length: int, gram: int) -> DataFrame:
             asks = np.zeros(len(value), bool)
             asks[order[np.concatenate([[0], np.cumsum(counts)[:-1]])]] = True  # one of each value
             several = counts[inverse] > 1
-            deal = np.where(asks, value, doc[row] ^ (start << 20))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (deal, value, asks, several, doc[row], version[row], start)], names=["deal", "value", "asks", "several", "doc", "version", "start"])
+            # rows that don't ask are dealt anywhere, so that a frequent value is no hot key
+            dealt = np.where(asks, value, (doc[row] ^ (start << 20)) * 0x2545F491)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (dealt, asks, several, doc[row], version[row], start)], names=["value", "asks", "several", "doc", "version", "start"])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None  # rows of the value at the end of the last batch
         for batch in batches:
-            rows_ = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(7)]
+            rows_ = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(6)]
             if held is not None:
                 rows_ = [np.concatenate(x) for x in zip(held, rows_, strict=True)]
             cut = int(np.searchsorted(rows_[0], rows_[0][-1], "left")) if len(rows_[0]) else 0
@@ -81,14 +92,14 @@ def _suspects(rows: DataFrame, length: int, gram: int) -> DataFrame:
         if held is not None:
             yield _met_again(held)
 
-    asked = rows.mapInArrow(ask, "deal long, value long, asks boolean, several boolean, doc long, version long, start long")
-    found = asked.repartition("deal").sortWithinPartitions("deal").mapInArrow(answer, "doc long, version long, start long")
+    asked = rows.mapInArrow(ask, "value long, asks boolean, several boolean, doc long, version long, start long")
+    found = asked.repartition("value").sortWithinPartitions("value").mapInArrow(answer, "doc long, version long, start long")
     return found.groupBy("doc", "version").agg(F.collect_list("start").alias("starts"))
 
 
 def _met_again(rows: list[np.ndarray]) -> pa.RecordBatch:
     """Places of the values that were met twice; of those that asked, in one batch or in several."""
-    _, value, asks, several, doc, version, start = rows
+    value, asks, several, doc, version, start = rows
     keep = several.copy()
     at = np.flatnonzero(asks)
     _, inverse, counts = np.unique(value[at], return_inverse=True, return_counts=True)
@@ -265,7 +276,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     removed runs of bytes, ``kept`` the other bytes."""
     rows = _keyed(docs, id_col, text_col)
     buckets = shuffle_partitions(docs.sparkSession)
-    found = _merge(_runs(rows, _suspects(rows, length, gram), buckets, length, gram), buckets, length, gram)
+    firsts, copied = _copies(rows)
+    suspects = _suspects(rows, length, gram).join(firsts, ["doc", "version"], "left_semi")
+    found = _merge(_runs(rows, suspects, buckets, length, gram), buckets, length, gram)
+    found = found.unionByName(copied.filter(F.col("stop") >= length))
     spans = found.groupBy("doc", "version").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
