@@ -63,8 +63,8 @@ NORMAL[65:91] = np.arange(97, 123)
 def rolling_crc32c(data: np.ndarray, width: int) -> np.ndarray:
     """CRC-32C of every ``width`` neighbouring bytes."""
     table = reflected_table(0x82F63B78, 32).astype(np.uint32)
-    n = len(data) - width + 1
-    value = np.full(max(n, 0), 0xFFFFFFFF, np.uint32)
+    n = max(len(data) - width + 1, 0)
+    value = np.full(n, 0xFFFFFFFF, np.uint32)
     for i in range(width):
         value = table[(value ^ data[i : i + n]) & np.uint32(0xFF)] ^ (value >> np.uint32(8))
     return value ^ np.uint32(0xFFFFFFFF)
