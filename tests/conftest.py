@@ -3,11 +3,11 @@ import sys
 from pathlib import Path
 
 import pytest
+from helpers import SMALL
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, [os.environ.get("PYTHONPATH")])])
-SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
@@ -32,10 +32,3 @@ def duck():
     for file in Path(SMALL).glob("*.parquet"):
         connection.sql(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
     return connection
-
-
-def rows_of(frame):
-    """Rows with columns in order of name, as comparable texts."""
-    columns = sorted(frame.columns)
-    plain = frame[columns].astype(object).where(frame[columns].notna(), None)
-    return sorted(map(repr, plain.itertuples(index=False, name=None)))

@@ -1,7 +1,7 @@
 """Every query with SQL gives the rows of that SQL; the others run and are held against loops elsewhere."""
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 
 from quarrylens.plans import catalog
 
