@@ -153,11 +153,15 @@ def verdicts(df: DataFrame, n: dict[str, str]) -> tuple[Column, Column]:
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per document: id, measures, divergences (null where guarded) and verdicts."""
+    """One row per document: id, measures, divergences (null where guarded) and verdicts.
+
+    The columns come out of an explode of one row, so that a later filter on them isn't pushed
+    below the projections, with the expressions of all measures copied into it."""
     df, n = measured(docs, text_col, lang_col)
     base, kept = verdicts(df, n)
     measures = [F.col(n[k]).alias(k) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), *measures, base.alias("base_failed"), kept.alias("kept"), F.round(n["class_jsd"], 6).alias("class_jsd"), F.round(n["word_jsd"], 6).alias("word_jsd"))
+    row = F.struct(F.col(id_col).cast("long").alias("doc_id"), *measures, base.alias("base_failed"), kept.alias("kept"), F.round(n["class_jsd"], 6).alias("class_jsd"), F.round(n["word_jsd"], 6).alias("word_jsd"))
+    return df.select(F.inline(F.array(row)))
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:

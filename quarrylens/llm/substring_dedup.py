@@ -71,6 +71,8 @@ def _suspects(rows: DataFrame, length: int, gram: int) -> DataFrame:
             if not parts:
                 continue
             value, row, start = (np.concatenate(x) for x in zip(*parts, strict=True))
+            if not len(value):
+                continue
             _, inverse, counts = np.unique(value, return_inverse=True, return_counts=True)
             order = np.argsort(inverse, kind="stable")
             asks = np.zeros(len(value), bool)
