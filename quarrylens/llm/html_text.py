@@ -115,8 +115,12 @@ class Block:
         return " ".join(html.unescape("".join(self.parts)).split())
 
 
-def _aside_name(attributes: str) -> bool:
-    return any(not ASIDE_NAMES.isdisjoint(p.lower() for p in _NAME_PART.findall(m[1] or m[2] or m[3] or "")) for m in _NAMED.finditer(attributes))
+#: Of those names, the ones that count for an article element too (a reader's comment, a teaser).
+NOT_ARTICLE = frozenset("ad ads advert advertisement comment comments promo promoted related sponsor sponsored".split())
+
+
+def _aside_name(attributes: str, names: frozenset = ASIDE_NAMES) -> bool:
+    return any(not names.isdisjoint(p.lower() for p in _NAME_PART.findall(m[1] or m[2] or m[3] or "")) for m in _NAMED.finditer(attributes))
 
 
 def text_blocks(page: str) -> list[tuple[Block, str]]:
@@ -177,11 +181,14 @@ def text_blocks(page: str) -> list[tuple[Block, str]]:
             elif name not in ("body", "html") and stack and stack[-1][0] == "p":
                 stack.pop()
             article, aside = stack[-1][1:] if stack else (False, False)
-            if name in ARTICLE and not aside:
-                article = True
-            # the header of an article is part of it
-            elif (name in ASIDE and not (name == "header" and article)) or (name not in ("body", "html", "article", "main") and "=" in m["attributes"] and _aside_name(m["attributes"])):
-                aside = True
+            named = "=" in m["attributes"]
+            if name in ARTICLE:
+                aside = aside or (named and _aside_name(m["attributes"], NOT_ARTICLE))
+                article = article or not aside
+            elif name in ASIDE or (named and name not in ("body", "html")):
+                # the header of an article is part of it
+                names = ASIDE_NAMES - {"header"} if article else ASIDE_NAMES
+                aside = aside or (name in ASIDE and not (name == "header" and article)) or (named and _aside_name(m["attributes"], names))
             stack.append((name, article, aside))
             close(len(name) == 2 and name[0] == "h" and name[1] in "123456")
     add(page[at:])

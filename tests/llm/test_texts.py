@@ -261,8 +261,8 @@ def test_license_with_words_changed(docs_of):
 PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style><script>var a="<p>no</p>";</script></head><body>
 <header class="site-header"><a href="/">Home</a> Site name</header><nav><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></nav>
 <div class="cookie-notice">We use cookies &amp; more to make this site work for you and others.</div>
-<article><header><h1>The   title</h1></header><p>First &lt;b&gt; para with <a href=x>a link</a> and&nbsp;more<br>text<p>Second one<!-- not <p>this</p> -->.
-<aside>Read also: other story</aside><div class='ad'>Buy now!</div><p>Short.</p><ul><li>Item one<li>Item two</ul></article>
+<article><header class="entry-header"><h1>The   title</h1></header><p>First &lt;b&gt; para with <a href=x>a link</a> and&nbsp;more<br>text<p>Second one<!-- not <p>this</p> -->.
+<aside>Read also: other story</aside><div class='ad'>Buy now!</div><p>Short.</p><article class="comment"><p>I liked this very much, thank you all for writing it down here.</p></article><ul><li>Item one<li>Item two</ul></article>
 <section id="comments"><p>A reader's comment that is rather long and has no links in it at all, really.</p></section>
 <form><p>Subscribe to our newsletter today and get all the best stories of the week.</p></form><footer>&copy; me</footer></body></html>"""
 
