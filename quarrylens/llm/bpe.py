@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import functools
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator
 
@@ -37,7 +38,7 @@ from quarrylens.llm.tokens import vocabulary
 
 VOCABULARY = "word_bpe_49k.json"
 SCHEMA = "doc_id long, ids binary, decoded string"
-CACHE_WORDS, CACHE_PAIRS, BATCH_BYTES = 100_000, 200_000, 4 << 20
+CACHE_WORDS, CACHE_PAIRS, BATCH_BYTES = 150_000, 400_000, 4 << 20
 NEVER = 1 << 60
 #: Where the characters for end-of-word bytes begin (a private area of Unicode).
 END_BASE = 0xF0000
@@ -85,7 +86,9 @@ class WordBpe:
                 self._automaton.add_word(self._symbols(token), (number, len(self._symbols(token))))
         self._automaton.make_automaton()
         self._pairs: dict[int, bool] = {}
+        # words of late, and those of before: a full cache becomes the older one, so frequent words stay
         self._cache: dict[str, tuple[bytes, str]] = {}
+        self._older: dict[str, tuple[bytes, str]] = {}
 
     def _symbols(self, token: str) -> str:
         """A token over the alphabet with end-of-word characters."""
@@ -169,17 +172,24 @@ class WordBpe:
             at = back[at]
         return out[::-1]
 
-    def _entry(self, word: str) -> tuple[bytes, str]:
-        return self._add(word, word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self._bytes))
+    def _add(self, word: str, symbols: str | None = None) -> tuple[bytes, str]:
+        """The entry of a word that the cache lacks; ``symbols`` are its bytes as characters."""
+        if len(self._cache) >= CACHE_WORDS:
+            self._older, self._cache = self._cache, {}
+        # a caller may still hold the cache of before
+        found = self._cache.get(word) or self._older.get(word)
+        if found is None:
+            found = self._encoded(word, symbols)
+        self._cache[word] = found
+        return found
 
-    def _add(self, word: str, symbols: str) -> tuple[bytes, str]:
+    def _encoded(self, word: str, symbols: str | None) -> tuple[bytes, str]:
+        if symbols is None:
+            symbols = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self._bytes)
         if self.suffix:
             symbols = symbols[:-1] + self._end[symbols[-1]]
         ids = self.word(symbols)
-        if len(self._cache) >= CACHE_WORDS:
-            self._cache.clear()
-        found = self._cache[word] = np.array(ids, "<u4").tobytes(), " ".join([self.names[i] for i in ids])
-        return found
+        return struct.pack(f"<{len(ids)}I", *ids), " ".join([self.names[i] for i in ids])
 
     def normalised(self, text: str) -> str:
         if not text.isascii():
@@ -189,8 +199,7 @@ class WordBpe:
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """Ids of a text as little-endian unsigned 32-bit integers, and the decoded text."""
-        ids, names = [], []
-        cache, entry = self._cache, self._entry
+        ids, names, add = [], [], self._add
         for part, number in self._split(text):
             if number is not None:
                 ids.append(np.array([number], "<u4").tobytes())
@@ -198,12 +207,13 @@ class WordBpe:
                 continue
             if self._unsettled.search(part):
                 for symbols in self._split_by_library(part):
-                    a, b = cache.get("\0" + symbols) or self._add("\0" + symbols, symbols)
+                    a, b = self._cache.get("\0" + symbols) or add("\0" + symbols, symbols)
                     ids.append(a)
                     names.append(b)
                 continue
+            cache = self._cache
             for word in self._words.findall(self.normalised(part)):
-                a, b = cache.get(word) or entry(word)
+                a, b = cache.get(word) or add(word)
                 ids.append(a)
                 names.append(b)
         return b"".join(ids), " ".join(names)
