@@ -16,7 +16,7 @@ from quarrylens.functions.fixed_values import GRAM, IMPORTS, LANGUAGES, WINDOW
 FNV_BASIS, FNV_PRIME = 0xCBF29CE484222325, 0x100000001B3
 MASK64 = (1 << 64) - 1
 #: Bytes of a text that winnowing looks at at a time; neighbouring pieces overlap by what is needed.
-PIECE = 1 << 20
+PIECE = 1 << 16
 
 
 @functools.lru_cache(maxsize=4)
@@ -60,14 +60,42 @@ NORMAL[97:123] = np.arange(97, 123)
 NORMAL[65:91] = np.arange(97, 123)
 
 
-def rolling_crc32c(data: np.ndarray, width: int) -> np.ndarray:
-    """CRC-32C of every ``width`` neighbouring bytes."""
+@functools.lru_cache(maxsize=32)
+def _advance_tables(count: int) -> np.ndarray:
+    """Four byte tables whose sum (by xor) moves a CRC-32C state past ``count`` zero bytes."""
     table = reflected_table(0x82F63B78, 32).astype(np.uint32)
+    states = np.concatenate([np.arange(256, dtype=np.uint32) << np.uint32(8 * k) for k in range(4)])
+    for _ in range(count):
+        states = table[states & np.uint32(0xFF)] ^ (states >> np.uint32(8))
+    return states.reshape(4, 256)
+
+
+def _advanced(states: np.ndarray, count: int) -> np.ndarray:
+    tables = _advance_tables(count)
+    parts = states.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4)
+    return tables[0][parts[:, 0]] ^ tables[1][parts[:, 1]] ^ tables[2][parts[:, 2]] ^ tables[3][parts[:, 3]]
+
+
+def rolling_crc32c(data: np.ndarray, width: int) -> np.ndarray:
+    """CRC-32C of every ``width`` neighbouring bytes.
+
+    A CRC is linear: the state of a joined string is that of its first part, moved past as many zeros as the second part
+    has bytes, plus that of the second part. So strings are doubled, and the powers of two in ``width`` are joined."""
     n = max(len(data) - width + 1, 0)
-    value = np.full(n, 0xFFFFFFFF, np.uint32)
-    for i in range(width):
-        value = table[(value ^ data[i : i + n]) & np.uint32(0xFF)] ^ (value >> np.uint32(8))
-    return value ^ np.uint32(0xFFFFFFFF)
+    if not n:
+        return np.zeros(0, np.uint32)
+    power, size = reflected_table(0x82F63B78, 32).astype(np.uint32)[data], 1
+    joined, length = None, 0
+    while True:
+        if width & size:
+            # the larger part comes first
+            joined = power if joined is None else _advanced(power[: len(power) - length], length) ^ joined[size : size + len(power) - length]
+            length += size
+        if 2 * size > width:
+            break
+        power = _advanced(power[: len(power) - size], size) ^ power[size:]
+        size *= 2
+    return joined[:n] ^ np.uint32(crc32c(bytes(width)))
 
 
 def crc32c_of_words(words: np.ndarray) -> np.ndarray:
@@ -83,6 +111,15 @@ def rolling_crc32c_rows(rows: np.ndarray) -> np.ndarray:
     return value ^ np.uint32(0xFFFFFFFF)
 
 
+def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
+    """Smallest of each ``width`` neighbours, by doubling."""
+    have = 1
+    while 2 * have <= width:
+        values = np.minimum(values[:-have], values[have:])
+        have *= 2
+    return np.minimum(values[: len(values) - (width - have)], values[width - have :]) if have < width else values
+
+
 def winnow(content: bytes, gram: int = GRAM, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Line and hash of every fingerprint, in order.
 
@@ -97,7 +134,7 @@ def winnow(content: bytes, gram: int = GRAM, window: int = WINDOW) -> tuple[np.n
     for start in range(0, max(len(at) - need + 1, 0), PIECE):
         part = at[start : start + PIECE + need - 1]
         grams = rolling_crc32c(normal[part], gram)
-        least = np.lib.stride_tricks.sliding_window_view(grams, window).min(axis=1).astype(np.int64)
+        least = _sliding_min(grams, window).astype(np.int64)
         changed = np.concatenate([[least[0] != last], least[1:] != least[:-1]])
         last = int(least[-1])
         ends = part[np.flatnonzero(changed) + need - 1]
