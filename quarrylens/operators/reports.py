@@ -107,6 +107,19 @@ def vulnerabilities(rows: DataFrame) -> DataFrame:
     return out.select(F.col("vuln").alias("vuln_id"), C.severity(F.col("x.severity")).alias("severity"), source.alias("source"), "affects")
 
 
+def appended_vulnerabilities(existing: DataFrame, answers: DataFrame) -> DataFrame:
+    """``vuln_id, severity, source, affects``: a document's vulnerabilities with those of later answers added.
+
+    ``answers`` has ``purl, vuln_id, severity, source``; empty ids and those that begin with ``CPE:`` are left out. A
+    known vulnerability keeps its fields and gains the purls that it lacks."""
+    new = answers.filter("coalesce(vuln_id, '') <> '' AND NOT startswith(upper(vuln_id), 'CPE:')")
+    new = new.select(F.lit(1).alias("part"), "vuln_id", C.severity(F.col("severity")).alias("severity"), "source", F.array("purl").alias("affects"))
+    rows = existing.select(F.lit(0).alias("part"), "vuln_id", "severity", "source", "affects").unionByName(new)
+    first = F.min(F.struct("part", "severity", "source")).alias("x")
+    out = rows.groupBy("vuln_id").agg(first, F.array_sort(F.array_distinct(F.flatten(F.collect_set("affects")))).alias("affects"))
+    return out.select("vuln_id", "x.severity", "x.source", "affects")
+
+
 def code_quality(matches: DataFrame) -> DataFrame:
     """``path, description, check_name, fingerprint, severity, begin``"""
     rows = matches.filter("id IN ('file', 'snippet') AND coalesce(file_hash, '') <> ''")

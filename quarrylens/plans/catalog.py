@@ -489,6 +489,19 @@ def _e6v(spark, d):
     return reports.vulnerabilities(rows).select("vuln_id", "severity", "source", F.size("affects").cast("long").alias("n_affects"), F.array_join("affects", ",").alias("affects"))
 
 
+@query("E8_vuln_append", """WITH e AS (SELECT 'CVE-' || (doc_id % 7) AS vuln_id, 'high' AS severity, 'NVD' AS source, 'pkg:a/' || source AS purl, 0 AS part FROM documents WHERE lang = 'en'),
+a AS (SELECT CASE WHEN doc_id % 5 = 0 THEN '' WHEN doc_id % 5 = 1 THEN 'cpe:2.3' ELSE 'CVE-' || (doc_id % 11) END AS vuln_id, CASE WHEN doc_id % 2 = 0 THEN 'medium' ELSE 'unknown' END AS severity, 'GitHub Advisories' AS source, 'pkg:b/' || source AS purl, 1 AS part FROM documents),
+u AS (SELECT * FROM e UNION ALL SELECT * FROM a WHERE vuln_id <> '' AND NOT starts_with(upper(vuln_id), 'CPE:'))
+SELECT vuln_id, x.severity AS severity, x.source AS source, affects FROM (SELECT vuln_id, min({part: part, severity: severity, source: source}) AS x, array_to_string(list_sort(list_distinct(list(purl))), ',') AS affects FROM u GROUP BY vuln_id)""")
+def _e8(spark, d):
+    docs = table(spark, d, "documents")
+    known = docs.filter("lang = 'en'").groupBy(F.concat(F.lit("CVE-"), (F.col("doc_id") % 7).cast("string")).alias("vuln_id")).agg(F.collect_set(F.concat(F.lit("pkg:a/"), "source")).alias("affects"))
+    known = known.select("vuln_id", F.lit("high").alias("severity"), F.lit("NVD").alias("source"), "affects")
+    ident = F.when(F.col("doc_id") % 5 == 0, "").when(F.col("doc_id") % 5 == 1, "cpe:2.3").otherwise(F.concat(F.lit("CVE-"), (F.col("doc_id") % 11).cast("string")))
+    answers = docs.select(F.concat(F.lit("pkg:b/"), "source").alias("purl"), ident.alias("vuln_id"), F.when(F.col("doc_id") % 2 == 0, "Moderate").alias("severity"), F.lit("GitHub Advisories").alias("source"))
+    return reports.appended_vulnerabilities(known, answers).withColumn("affects", F.array_join("affects", ","))
+
+
 @query("B5_codequality", f"WITH {MATCHES_SQL} SELECT path, CASE id WHEN 'file' THEN 'File' ELSE 'Snippet' END || ' match found in: ' || url AS description, 'scan' AS check_name, file_hash AS fingerprint, 'info' AS severity, CASE WHEN id = 'snippet' THEN TRY_CAST(regexp_split_to_array(lines, '[,-]')[1] AS INT) ELSE 1 END AS begin FROM matches WHERE id IN ('file', 'snippet')")
 def _b5(spark, d):
     return reports.code_quality(I.matches(spark, d))
