@@ -122,7 +122,7 @@ def violations(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("place", "v.type", "v.timestamp", "v.uuid", "v.component.purl", F.col("v.component.name").alias("component"), F.col("v.component.version").alias("version"), F.col("v.policyCondition.policy.name").alias("policy"), F.col("v.policyCondition.policy.violationState").alias("state"))
 
 
-def settings(path: str | None = None, default: str = "scanoss.json") -> dict:
+def settings(path: str | None = None, default: str = "settings.json") -> dict:
     """Settings from a JSON file. The default file may be missing; a named one that is missing or empty gives no settings."""
     found = Path(path or default)
     if not found.is_file() or not found.read_text().strip():
