@@ -79,7 +79,9 @@ LABELLED = """
 20 90 60 0 9 100 0 0 0 0
 3 0 0 0 2 100 0 0 1 0
 """
-RAW = "script|style|noscript|template|textarea|select|svg|math|iframe|object|canvas|title|audio|video"
+#: Elements whose content isn't text of the page. Those of ``TEXT_ONLY`` hold no tags: the first end tag closes them.
+TEXT_ONLY = frozenset("script style title textarea iframe".split())
+RAW = TEXT_ONLY | frozenset("noscript template select svg math object canvas audio video".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE = frozenset("article main".split())
@@ -92,11 +94,18 @@ ASIDE_NAMES = frozenset(
     "disqus footer form gdpr header login masthead menu menubar nav navbar navigation newsletter notice notification outbrain pager pagination "
     "popup promo promoted related search share sharing sidebar signup skip social sponsor sponsored subscribe subscription taboola toolbar widget".split()
 )
+_ATTRIBUTES = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+"
 _TOKEN = re.compile(
-    rf"<!--(?P<comment>.*?)(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*(?:>|\Z)|<[A-Za-z/][^<>]*(?:>|\Z)",
+    rf"<!--(?P<comment>.*?)(?:-->|\Z)|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attributes>{_ATTRIBUTES})>|<[!?/][^>]*(?:>|\Z)|<[A-Za-z/][^<>]*(?:>|\Z)",
     re.IGNORECASE | re.DOTALL,
 )
+#: A slash that closes an element at its start tag, and isn't the end of a bare value.
+_CLOSED = re.compile(r"(?:\A[^=]*|[\s\"'])/\Z")
+_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.IGNORECASE) for name in TEXT_ONLY}
+_SAME = {
+    name: re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<skipped>script|style)(?=[\s/>]){_ATTRIBUTES}>.*?(?:</(?P=skipped)(?=[\s/>])[^>]*>|\Z)|<(?P<end>/?){name}(?=[\s/>])(?P<attributes>{_ATTRIBUTES})>", re.IGNORECASE | re.DOTALL)
+    for name in RAW - TEXT_ONLY
+}
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _NAME_PART = re.compile(r"[A-Za-z]+")
 SCHEMA = "page_id long, url string, text string"
@@ -123,6 +132,38 @@ def _aside_name(attributes: str, names: frozenset = ASIDE_NAMES) -> bool:
     return any(not names.isdisjoint(p.lower() for p in _NAME_PART.findall(m[1] or m[2] or m[3] or "")) for m in _NAMED.finditer(attributes))
 
 
+def _ends(page: str, name: str, at: int) -> dict[int, int]:
+    """Where the elements ``name`` that start from ``at`` on end, by their start; those without an end tag are absent."""
+    found, open_at = {}, []
+    for m in _SAME[name].finditer(page, at):
+        if m["end"]:
+            if open_at:
+                found[open_at.pop()] = m.end()
+        elif m["end"] is not None and not _CLOSED.search(m["attributes"]):
+            open_at.append(m.start())
+    return found
+
+
+def _after_raw(page: str, m: re.Match, ends: dict[str, dict[int, int] | None]) -> int:
+    """Where to read on after the start tag ``m`` of a raw element: after its end tag, or after the start tag if there is none.
+
+    Only scripts and styles without an end tag reach to the end of the page. ``ends`` keeps what is known of the page."""
+    name = m["name"].lower()
+    if name in ("script", "style"):
+        end = _END[name].search(page, m.end())
+        return end.end() if end else len(page)
+    if _CLOSED.search(m["attributes"]):
+        return m.end()
+    if name in TEXT_ONLY:
+        end = _END[name].search(page, m.end()) if name not in ends else None
+        if end is None:
+            ends[name] = None
+        return end.end() if end else m.end()
+    if name not in ends:
+        ends[name] = _ends(page, name, m.start())
+    return ends[name].get(m.start(), m.end())
+
+
 def text_blocks(page: str) -> list[tuple[Block, str]]:
     """The blocks of a page that hold text, each with that text."""
     found: list[Block] = []
@@ -143,15 +184,18 @@ def text_blocks(page: str) -> list[tuple[Block, str]]:
             if link:
                 block.linked.append(text)
 
-    for m in _TOKEN.finditer(page):
+    ends: dict[str, dict[int, int] | None] = {}
+    while m := _TOKEN.search(page, at):
         add(page[at : m.start()])
         at = m.end()
-        if m["raw"]:
-            if m["raw"].lower() in ("title", "noscript", "textarea", "select"):
-                close()
-            continue
         if not (name := (m["name"] or "").lower()):
             continue
+        if name in RAW:
+            if not m["end"]:
+                at = _after_raw(page, m, ends)
+            if name in ("title", "noscript", "textarea", "select"):
+                close()
+            continue
         if name == "a":
             link = 0 if m["end"] else 1
             continue

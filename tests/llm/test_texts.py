@@ -275,6 +275,33 @@ def test_page():
     assert "1 < 2" in html_text.main_text("<article><p>if 1 < 2 then stop here now</p>", tree)
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<video-js id=v></video-js><article><p>all text</p></article>", "all text"),
+        ("<audio-player/><svg-icon class=x></svg-icon><article><p>all text</p></article>", "all text"),
+        ('<article><p>one <svg class="i"/> two</p><p>three</p>', "one two\n\nthree"),
+        ("<article><p>one <math/> two</p><p>three</p>", "one two\n\nthree"),
+        ("<article><p>one <svg class=i> two</p><p>three</p>", "one two\n\nthree"),
+        ("<article><p>one <svg class=i> two</p><p>three <svg><path/></svg> four</p>", "one two\n\nthree four"),
+        ("<article><p>one <svg>a<svg>b</svg>c</svg > two</p>", "one two"),
+        ("<article><svg>a<!-- </svg> -->b</svg><p>one</p>", "one"),
+        *((f"<article><p>one</p><{name}><p>two</p>", "one\n\ntwo") for name in sorted(html_text.RAW - {"script", "style"})),
+        *((f"<article><p>one</p><{name} a=b><p>two</p></{name}\n><p>three", "one\n\nthree") for name in sorted(html_text.RAW)),
+        *((f"<article><p>one</p><{name}><p>two</p>", "one") for name in ("script", "style")),
+        ("<title>The <script> element</title><article><p>one</p>", "one"),
+        ("<article><script>a='<svg>'</script><p>one</p><svg>x</svg><p>two</p>", "one\n\ntwo"),
+    ],
+)
+def test_raw_elements_end_where_they_end(page, text):
+    assert html_text.main_text(page, html_text.grown(*html_text.labelled())) == text
+
+
+def test_many_open_raw_elements_take_linear_time():
+    page = "<article>" + "<svg><iframe><p>word</p>" * 50_000
+    assert len(html_text.text_blocks(page)) == 50_000
+
+
 def test_tree_fits_its_table():
     x, y = html_text.labelled()
     tree = html_text.grown(x, y)
