@@ -2,8 +2,10 @@
 
 A page is read once, tag by tag, into text blocks: the text between two block-level tags, without comments,
 scripts, styles and other raw or hidden elements. For every block the words, the share of them in links, the same
-of the blocks before and after it, and what encloses it (an article; a navigation, form, advert or the like, by element,
-role, class or id) are measured. A decision tree decides which blocks are main text. It is grown by Gini impurity on the
+of the blocks before and after it (of a list's items: before and after the list; none where these are besides the
+main text), and what encloses it (an article; a
+navigation, form, advert or the like, by element, role, class or id) are measured. An element that only has part of such
+a name, or is a form, may be a wrapper: an article in it counts, and other blocks in it by their neighbours. A decision tree decides which blocks are main text. It is grown by Gini impurity on the
 small labelled table ``LABELLED`` when the operator is called, so a call with another table gives another tree.
 
 Character references are decoded, white space inside a block becomes one space, and blocks are joined by two line feeds.
@@ -18,14 +20,16 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "article", "aside", "heading")
-#: Labelled blocks: the features in order (links in hundredths of the words), then 1 for main text (fixed values).
+FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "article", "aside", "heading", "prose")
+#: Labelled blocks: the features in order but the last (links in hundredths of the words; aside 2, or 1 where only part of
+#: a name says so), then 1 for main text (fixed values). The last feature follows from those of the neighbours.
 LABELLED = """
 9 0 0 0 80 0 1 0 1 1
 62 0 9 0 44 0 1 0 0 1
@@ -54,20 +58,20 @@ LABELLED = """
 25 0 31 0 2 100 0 0 0 1
 19 5 70 0 38 0 0 0 0 1
 33 0 3 100 41 0 0 0 0 1
-1 100 0 0 1 100 0 1 0 0
-1 100 1 100 1 100 0 1 0 0
-2 100 1 100 8 0 0 1 0 0
-8 0 1 100 9 0 0 1 0 0
-30 0 1 100 7 0 0 1 0 0
-15 0 60 0 0 0 0 1 0 0
-70 3 44 0 0 0 0 1 0 0
-12 40 70 0 3 100 0 1 0 0
-6 0 20 0 25 0 1 1 0 0
-22 0 70 0 31 0 1 1 0 0
-3 100 90 0 4 100 1 1 0 0
-40 5 22 0 12 0 1 1 0 0
-2 0 12 0 40 0 1 1 1 0
-4 0 0 0 1 100 0 1 1 0
+1 100 0 0 1 100 0 2 0 0
+1 100 1 100 1 100 0 2 0 0
+2 100 1 100 8 0 0 2 0 0
+8 0 1 100 9 0 0 2 0 0
+30 0 1 100 7 0 0 2 0 0
+15 0 60 0 0 0 0 2 0 0
+70 3 44 0 0 0 0 2 0 0
+12 40 70 0 3 100 0 2 0 0
+6 0 20 0 25 0 1 2 0 0
+22 0 70 0 31 0 1 2 0 0
+3 100 90 0 4 100 1 2 0 0
+40 5 22 0 12 0 1 2 0 0
+2 0 12 0 40 0 1 2 1 0
+4 0 0 0 1 100 0 2 1 0
 5 100 4 100 3 100 0 0 0 0
 2 100 0 0 3 100 0 0 0 0
 3 66 2 100 5 100 0 0 0 0
@@ -78,6 +82,106 @@ LABELLED = """
 6 50 80 0 2 100 0 0 0 0
 20 90 60 0 9 100 0 0 0 0
 3 0 0 0 2 100 0 0 1 0
+6 0 45 0 52 0 0 0 0 1
+3 0 60 4 38 0 0 0 0 1
+9 0 30 2 24 0 0 0 0 1
+1 0 41 0 33 0 0 0 0 1
+8 12 28 0 70 5 0 0 0 1
+4 0 0 0 45 0 0 0 1 1
+7 0 2 100 60 3 0 0 1 1
+2 0 55 0 40 0 0 0 1 1
+5 0 3 0 31 0 0 0 1 1
+3 0 1 100 35 0 0 0 1 1
+6 0 1 100 16 0 0 0 0 1
+9 0 4 0 27 0 0 0 0 1
+4 40 7 0 50 0 0 0 0 1
+7 0 45 0 2 100 0 0 0 1
+5 0 17 0 0 0 0 0 0 1
+8 0 52 3 3 0 0 0 0 1
+10 45 33 0 20 0 0 0 0 1
+2 0 19 5 2 0 0 0 0 1
+3 0 2 100 4 0 0 0 0 0
+5 0 4 0 13 0 0 0 0 0
+6 0 12 0 1 100 0 0 0 0
+9 0 3 0 8 0 0 0 0 0
+10 0 0 0 2 100 0 0 0 0
+8 0 5 0 0 0 0 0 1 0
+4 0 3 100 5 100 0 0 1 0
+3 0 0 0 0 0 0 0 0 0
+4 0 40 90 30 95 0 0 0 0
+3 0 2 0 22 88 0 0 1 0
+5 0 60 80 2 0 0 0 0 0
+2 100 45 0 50 0 0 0 0 0
+3 100 60 0 2 100 0 0 0 0
+4 75 2 0 48 0 0 0 0 0
+1 100 38 0 70 0 0 0 0 0
+9 55 22 0 31 0 0 0 0 0
+13 0 2 0 3 0 0 0 0 1
+90 0 2 100 1 100 0 0 0 1
+16 45 3 100 4 0 0 0 0 1
+40 0 0 0 0 0 0 0 0 1
+120 3 0 0 5 100 0 0 0 1
+30 60 45 0 50 0 0 0 0 0
+14 100 3 100 60 0 0 0 0 0
+60 0 45 0 52 0 0 1 0 1
+34 3 28 0 70 4 0 1 0 1
+48 0 5 0 36 0 0 1 0 1
+29 0 33 2 7 0 0 1 0 1
+75 2 0 0 41 0 0 1 0 1
+12 0 64 0 2 100 0 1 0 1
+6 0 45 0 52 0 0 1 0 1
+5 0 2 100 60 0 0 1 1 1
+3 0 38 0 44 0 0 1 1 1
+13 0 2 0 3 0 0 1 0 0
+14 0 12 0 2 0 0 1 0 0
+16 5 1 100 1 100 0 1 0 0
+45 0 3 0 4 0 0 1 0 0
+28 0 30 90 2 0 0 1 0 0
+3 0 2 0 4 0 0 1 0 0
+2 100 1 100 1 100 0 1 0 0
+20 90 3 100 4 100 0 1 0 0
+2 100 45 0 50 0 0 1 0 0
+5 0 9 0 2 0 0 1 0 0
+3 0 4 0 2 100 1 1 0 0
+2 100 45 0 50 0 1 1 0 0
+4 0 2 100 3 100 1 1 0 0
+32 0 40 0 55 0 1 1 0 1
+5 0 48 0 36 0 1 1 0 1
+1 100 45 0 60 0 1 0 0 1
+30 80 50 0 41 0 1 0 0 1
+12 0 2 0 3 100 1 0 0 1
+8 0 62 0 47 0 0 2 0 0
+45 0 62 0 47 0 0 2 0 0
+31 2 18 0 24 0 0 2 0 0
+9 0 0 0 55 0 0 2 1 0
+26 0 40 0 70 0 1 2 0 0
+5 0 80 0 66 0 1 2 0 0
+52 0 33 0 2 100 0 2 0 0
+17 0 29 0 21 0 0 2 0 0
+3 0 35 0 58 0 0 2 1 0
+64 4 3 0 90 0 0 2 0 0
+38 0 51 0 1 100 1 2 0 0
+22 0 36 0 44 0 0 2 0 0
+11 0 2 100 3 0 0 0 0 1
+18 4 60 100 12 0 0 0 0 1
+70 48 7 0 25 90 0 0 1 1
+25 0 11 0 0 0 0 0 0 1
+36 20 3 100 24 95 0 0 0 1
+52 0 40 88 2 0 0 0 0 1
+12 80 2 100 3 100 0 0 0 0
+22 100 0 0 2 0 0 0 0 0
+41 66 4 0 3 100 0 0 0 0
+65 95 5 100 6 100 0 0 0 0
+35 53 9 0 12 0 0 0 0 0
+90 75 0 0 1 100 0 0 0 0
+39 0 0 0 8 0 0 1 0 0
+80 6 2 0 4 0 0 1 0 0
+55 0 9 0 0 0 0 1 0 0
+24 0 50 100 2 100 0 1 0 0
+11 12 0 0 3 0 0 1 0 0
+33 52 45 0 30 0 0 0 0 0
+15 48 40 0 22 0 0 0 0 1
+50 0 2 0 3 100 1 1 0 0
 """
 #: Elements whose content isn't text of the page. Those of ``TEXT_ONLY`` hold no tags: the first end tag closes them.
 TEXT_ONLY = frozenset("script style title textarea iframe".split())
@@ -86,6 +190,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE = frozenset("article main".split())
 ASIDE = frozenset("nav header footer aside form menu dialog button fieldset".split())
+#: Lists; the neighbours of an item are the blocks around the outermost list.
+LISTS = frozenset("ul ol dl".split())
 #: Elements that may be left open; they are closed by an outer end tag.
 PLAIN = frozenset("p li dt dd tr td th thead tbody tfoot option".split())
 #: Words of class, id or role attributes that name something besides the main text (fixed values).
@@ -115,8 +221,9 @@ BATCH_ROWS = 500
 @dataclass
 class Block:
     article: bool
-    aside: bool
+    aside: int
     heading: bool
+    within: int = 0
     parts: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
 
@@ -128,8 +235,19 @@ class Block:
 NOT_ARTICLE = frozenset("ad ads advert advertisement comment comments promo promoted related sponsor sponsored".split())
 
 
-def _aside_name(attributes: str, names: frozenset = ASIDE_NAMES) -> bool:
-    return any(not names.isdisjoint(p.lower() for p in _NAME_PART.findall(m[1] or m[2] or m[3] or "")) for m in _NAMED.finditer(attributes))
+#: Words after which a name says what an element has or lacks, not what it is (fixed values).
+HAVING = frozenset("with without has have having no non not".split())
+
+
+def _aside_name(attributes: str, names: frozenset = ASIDE_NAMES) -> int:
+    """2 if a class, id or role names something besides the main text; 1 if such a name is only a part of one; else 0."""
+    found = 0
+    for m in _NAMED.finditer(attributes):
+        for name in (m[1] or m[2] or m[3] or "").split():
+            parts = list(takewhile(lambda p: p not in HAVING, (p.lower() for p in _NAME_PART.findall(name))))
+            if not names.isdisjoint(parts):
+                found = max(found, 2 if names.issuperset(parts) or not NOT_ARTICLE.isdisjoint(parts) else 1)
+    return found
 
 
 def _ends(page: str, name: str, at: int) -> dict[int, int]:
@@ -167,16 +285,16 @@ def _after_raw(page: str, m: re.Match, ends: dict[str, dict[int, int] | None]) -
 def text_blocks(page: str) -> list[tuple[Block, str]]:
     """The blocks of a page that hold text, each with that text."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, within an article, within something besides it
-    block = Block(False, False, False)
-    link, at = 0, 0
+    stack: list[tuple[str, bool, int, int]] = []  # element, within an article, within something besides it (0 to 2), outermost list
+    block = Block(False, 0, False)
+    link, at, lists = 0, 0, 0
 
     def close(heading: bool = False) -> None:
         nonlocal block
         if block.parts:
             found.append(block)
-        article, aside = stack[-1][1:] if stack else (False, False)
-        block = Block(article, aside, heading)
+        article, aside, within = stack[-1][1:] if stack else (False, 0, 0)
+        block = Block(article, aside, heading, within)
 
     def add(text: str) -> None:
         if text:
@@ -202,8 +320,9 @@ def text_blocks(page: str) -> list[tuple[Block, str]]:
         if name in INLINE:
             if name in ("br", "img", "wbr"):
                 add(" ")
-            elif not m["end"] and "=" in m["attributes"] and _aside_name(m["attributes"]) and name == "span":
-                stack.append((name, stack[-1][1] if stack else False, True))
+            elif not m["end"] and name == "span" and "=" in m["attributes"] and (besides := _aside_name(m["attributes"])):
+                article, aside, within = stack[-1][1:] if stack else (False, 0, 0)
+                stack.append((name, article, max(aside, besides), within))
                 close()
             elif m["end"] and stack and stack[-1][0] == name:
                 stack.pop()
@@ -224,35 +343,51 @@ def text_blocks(page: str) -> list[tuple[Block, str]]:
                     stack.pop()
             elif name not in ("body", "html") and stack and stack[-1][0] == "p":
                 stack.pop()
-            article, aside = stack[-1][1:] if stack else (False, False)
+            article, aside, within = stack[-1][1:] if stack else (False, 0, 0)
             named = "=" in m["attributes"]
             if name in ARTICLE:
-                aside = aside or (named and _aside_name(m["attributes"], NOT_ARTICLE))
+                # an article in an element with part of such a name, or in a form, shows that this is a wrapper; <main> does so in any
+                aside = max(aside if aside == 2 and name != "main" else 0, _aside_name(m["attributes"], NOT_ARTICLE) if named else 0)
                 article = article or not aside
             elif name in ASIDE or (named and name not in ("body", "html")):
                 # the header of an article is part of it
                 names = ASIDE_NAMES - {"header"} if article else ASIDE_NAMES
-                aside = aside or (name in ASIDE and not (name == "header" and article)) or (named and _aside_name(m["attributes"], names))
-            stack.append((name, article, aside))
+                of_element = 0 if name not in ASIDE or (name == "header" and article) else 1 if name == "form" else 2
+                aside = max(aside, of_element, _aside_name(m["attributes"], names) if named else 0)
+            if name in LISTS and not within:
+                lists = within = lists + 1
+            stack.append((name, article, aside, within))
             close(len(name) == 2 and name[0] == "h" and name[1] in "123456")
     add(page[at:])
     close()
     return [(b, text) for b in found if (text := b.text())]
 
 
+def with_prose(x: np.ndarray) -> np.ndarray:
+    """Features with one more: the words outside links of that neighbour which has more of them."""
+    return np.column_stack([x, np.maximum(x[:, 2] * (100 - x[:, 3]), x[:, 4] * (100 - x[:, 5])) / 100])
+
+
 def features(blocks: list[tuple[Block, str]]) -> np.ndarray:
     words = np.array([len(t.split()) for _, t in blocks], float)
     linked = np.array([len(html.unescape("".join(b.linked)).split()) for b, _ in blocks], float)
     share = np.minimum(100.0, 100 * linked / np.maximum(words, 1))
-    before = lambda x: np.concatenate([[0], x[:-1]])
-    after = lambda x: np.concatenate([x[1:], [0]])
+    n, first, last = len(blocks), [], []
+    for k, (b, _) in enumerate(blocks):
+        first.append(first[-1] if k and b.within and b.within == blocks[k - 1][0].within else k)
+    for k in range(n - 1, -1, -1):
+        last.append(last[-1] if last and first[last[-1]] == first[k] else k)
+    # the blocks around every block, or around its list; places 0 and n + 1 are beside the page. As neighbours, blocks besides the main text have no words
+    before, after = np.array(first), np.array(last[::-1]) + 2
+    seen = np.array([b.aside < 2 for b, _ in blocks], float)
+    words_at, share_at = np.concatenate([[0], words * seen, [0]]), np.concatenate([[0], share * seen, [0]])
     flags = np.array([(b.article, b.aside, b.heading) for b, _ in blocks], float)
-    return np.column_stack([words, share, before(words), before(share), after(words), after(share), flags])
+    return with_prose(np.column_stack([words, share, words_at[before], share_at[before], words_at[after], share_at[after], flags]))
 
 
 def labelled(table: str = LABELLED) -> tuple[np.ndarray, np.ndarray]:
     rows = np.array([line.split() for line in table.strip().splitlines()], float)
-    return rows[:, :-1], rows[:, -1].astype(int)
+    return with_prose(rows[:, :-1]), rows[:, -1].astype(int)
 
 
 def grown(x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 1):

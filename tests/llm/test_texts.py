@@ -302,6 +302,39 @@ def test_many_open_raw_elements_take_linear_time():
     assert len(html_text.text_blocks(page)) == 50_000
 
 
+LONG = "This paragraph has quite a few words and no links in it, as the main text of a page has, sentence after sentence."
+LINKS = "<ul>" + "<li><a href=x>Some page</a></li>" * 4 + "</ul>"
+
+
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        (f"<div>{LINKS}</div><div><h1>A title</h1><p>{LONG}</p><h2>Part two</h2><p>Short one.</p><p>{LONG}</p></div><div>{LINKS}</div>", ["A title", LONG, "Part two", "Short one.", LONG]),
+        (f"<div><p>{LONG}</p><ul><li>Item one<li>Item two<li><ul><li>Inner</ul><li>Item three</ul><p>{LONG}</p></div>", [LONG, "Item one", "Item two", "Inner", "Item three", LONG]),
+        (f"<div><p>{LONG}</p><p>The end.</p></div><div>{LINKS}</div>", [LONG, "The end."]),
+        (f"<div>{LINKS}</div><div>Follow us</div><div>{LINKS}</div><div>Copyright me</div>", []),
+        (f"<div><p>{LONG}</p>{LINKS}<p>{LONG}</p></div>", [LONG, LONG]),
+        *((f"<div class='{name}'><article><h1>A title</h1><p>Short.</p><p>Shorter.</p></article></div>", ["A title", "Short.", "Shorter."]) for name in ("with-sidebar", "page has-ads", "content-sidebar-wrap", "no-comments")),
+        *((f"<div class='{name}'><h1>A title</h1><p>{LONG}</p><p>{LONG}</p></div>", ["A title", LONG, LONG]) for name in ("with-sidebar", "content-sidebar-wrap", "header-fixed")),
+        (f"<form id=aspnetForm><div><h1>A title</h1><p>{LONG}</p><p>{LONG}</p></div><article><p>Short.</p><p>Shorter.</p></article></form>", ["A title", LONG, LONG, "Short.", "Shorter."]),
+        ("<div class='page menu'><p>Not this.</p><main><p>Short.</p><p>Shorter.</p></main></div>", ["Short.", "Shorter."]),
+        *((f"<div class='{name}'><p>{LONG}</p><p>{LONG}</p><article><p>{LONG}</p></article></div>", []) for name in ("sidebar", "related-posts", "cookie-notice", "comments-with-ads")),
+        (f"<aside><p>{LONG}</p></aside><div>Close</div><nav>{LINKS}</nav><div>Follow us</div>", []),
+    ],
+)
+def test_pages_without_articles_and_wrappers(page, texts):
+    assert html_text.main_text(page, html_text.grown(*html_text.labelled())).split("\n\n") == (texts or [""])
+
+
+def test_tree_splits_on_neighbours():
+    tree = html_text.grown(*html_text.labelled())
+    names = html_text.FEATURES
+    row = dict.fromkeys(names, 0.0) | {"words": 4.0}
+    share = lambda **k: html_text.main_text_share(tree, html_text.with_prose(html_text.np.array([[(row | k)[n] for n in names[:-1]]]))[0].tolist())
+    assert share(words_before=40.0, words_after=40.0) == share(words_after=40.0) == share(words_before=40.0) == 1
+    assert share() == share(words_before=40.0, links_before=90.0) == share(words_after=3.0) == 0
+
+
 def test_tree_fits_its_table():
     x, y = html_text.labelled()
     tree = html_text.grown(x, y)
