@@ -146,6 +146,5 @@ def _of_source(source: str):
 
 
 def license_keys(name: Column) -> list[Column]:
-    """Keys under which a licence list is looked up, in order."""
-    squeezed, dashed = F.replace(name, F.lit(" "), F.lit("")), F.replace(name, F.lit(" "), F.lit("-"))
-    return [squeezed, dashed]
+    """Keys under which a licence list is looked up, in order: lower case, each run of white space left out or a dash."""
+    return [F.lower(F.regexp_replace(name, r"[\s\x1C-\x1F\x85\p{Z}]+", by)) for by in ("", "-")]

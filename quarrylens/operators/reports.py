@@ -77,14 +77,34 @@ def cyclonedx_components(matches: DataFrame, deps: DataFrame) -> DataFrame:
     return first.select("purl", "x.component", "x.version", F.array_join("x.names", ",").alias("licenses"))
 
 
+def spdx_licenses(rows: DataFrame, known: DataFrame, name: str = "name", column: str = "spdxid") -> DataFrame:
+    """``rows`` with the SPDX id of the licence in ``name``; names that the SPDX list lacks become references.
+
+    ``known`` is that list in order: ``place``, ``spdx_key`` (the id in lower case), ``spdx_name`` (the id), ``license_name``. A name is
+    looked up in four steps, and the first hit counts: as an id without white space, as an id with dashes in its stead, and
+    both as a licence's name. Ids are also known by their part before the first dash, where no other id is that part; of
+    several ids the first in the list counts then, and of several of one name the last."""
+    short = F.substring_index("spdx_key", "-", 1)
+    ids = known.select("place", F.col("spdx_key").alias("key"), "spdx_name", F.lit(True).alias("whole"))
+    ids = ids.unionByName(known.filter(short != F.col("spdx_key")).select("place", short.alias("key"), "spdx_name", F.lit(False).alias("whole")))
+    by_id = ids.groupBy("key").agg(F.coalesce(F.max_by("spdx_name", F.when(F.col("whole"), F.col("place"))), F.min_by("spdx_name", "place")).alias("found"))
+    by_name = known.select("place", C.license_keys(F.col("license_name"))[0].alias("key"), "spdx_name").filter("key <> ''").groupBy("key").agg(F.max_by("spdx_name", "place").alias("found"))
+    out, hits = rows, []
+    for k, (table, key) in enumerate((t, key) for t in (by_id, by_name) for key in C.license_keys(F.col(name))):
+        step = table.select(F.col("key").alias(f"spdx_step_key_{k}"), F.col("found").alias(f"spdx_step_{k}"))
+        out = out.join(step, key == F.col(f"spdx_step_key_{k}"), "left").drop(f"spdx_step_key_{k}")
+        hits.append(f"spdx_step_{k}")
+    dashed = F.replace(F.col(name), F.lit(" "), F.lit("-"))
+    reference = F.when(F.col(name).startswith("LicenseRef"), dashed).otherwise(F.concat(F.lit("LicenseRef-"), dashed))
+    return out.withColumn(column, F.coalesce(*hits, reference)).drop(*hits)
+
+
 def spdx_packages(matches: DataFrame, deps: DataFrame, known: DataFrame) -> DataFrame:
-    """``purl, spdx_id, license``: packages of the first sighting of each purl. ``known`` has the licence ids of
-    the SPDX list (``spdx_key``, lower case, and ``spdx_name``); other names become references."""
+    """``purl, spdx_id, license``: packages of the first sighting of each purl. ``known`` is the SPDX list, as in ``spdx_licenses``."""
     rows = _sighted(matches, deps).withColumn("names", _license_names(False))
     first = rows.groupBy("purl").agg(F.min(F.struct("place", "version", "names")).alias("x")).select("purl", F.coalesce("x.version", F.lit("")).alias("version"), F.col("x.names").alias("names"))
     ids = first.select("purl", "version", F.explode("names").alias("name"))
-    ids = ids.join(known, F.lower(F.replace("name", F.lit(" "), F.lit("-"))) == F.col("spdx_key"), "left")
-    ids = ids.groupBy("purl", "version").agg(F.array_sort(F.collect_set(F.coalesce("spdx_name", F.concat(F.lit("LicenseRef-"), F.replace("name", F.lit(" "), F.lit("-")))))).alias("ids"))
+    ids = spdx_licenses(ids, known).groupBy("purl", "version").agg(F.array_sort(F.collect_set("spdxid")).alias("ids"))
     joined = first.select("purl", "version").join(ids, ["purl", "version"], "left")
     text = F.when(F.coalesce(F.size("ids"), F.lit(0)) < 1, "NOASSERTION").when(F.size("ids") == 1, F.element_at("ids", 1)).otherwise(F.concat(F.lit("("), F.array_join("ids", " AND "), F.lit(")")))
     return joined.select("purl", F.concat(F.lit("SPDXRef-"), F.md5(F.concat_ws("@", "purl", "version"))).alias("spdx_id"), text.alias("license"))

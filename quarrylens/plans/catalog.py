@@ -349,13 +349,19 @@ def _d22(spark, d):
 
 
 _KNOWN = [("mit", "MIT"), ("gpl-2.0-only", "GPL-2.0-only"), ("apache-2.0", "Apache-2.0"), ("bsd-2-clause", "BSD-2-Clause")]
+#: Names of those licences in the SPDX list.
+_KNOWN_NAMES = ["MIT License", "GNU General Public License v2.0 only", "Apache License 2.0", 'BSD 2-Clause "Simplified" License']
+
+
+def _known_licenses(spark):
+    rows = [(place, *ids, name) for place, (ids, name) in enumerate(zip(_KNOWN, _KNOWN_NAMES, strict=True))]
+    return spark.createDataFrame(rows, "place int, spdx_key string, spdx_name string, license_name string")
 
 
 @query("D20_license_id", f"WITH {MATCHES_SQL}, n AS (SELECT DISTINCT l.name AS name FROM (SELECT unnest(licenses) AS l FROM matches)), k AS (SELECT * FROM {I.values(_KNOWN, 'spdx_key, spdx_name')}) SELECT name, coalesce(spdx_name, 'LicenseRef-' || replace(name, ' ', '-')) AS spdxid FROM n LEFT JOIN k ON lower(replace(name, ' ', '-')) = spdx_key")
 def _d20(spark, d):
     names = I.matches(spark, d).select(F.explode("licenses").alias("l")).select(F.col("l.name").alias("name")).distinct()
-    known = spark.createDataFrame(_KNOWN, "spdx_key string, spdx_name string")
-    return names.join(known, F.lower(C.license_keys(F.col("name"))[1]) == F.col("spdx_key"), "left").select("name", F.coalesce("spdx_name", F.concat(F.lit("LicenseRef-"), C.license_keys(F.col("name"))[1])).alias("spdxid"))
+    return reports.spdx_licenses(names, _known_licenses(spark)).select("name", "spdxid")
 
 
 @query("D23_copyleft_flag", f"""WITH {MATCHES_SQL}, {COPYLEFT_SQL}, n AS (SELECT DISTINCT l.name AS spdxid FROM (SELECT unnest(licenses) AS l FROM matches))
@@ -459,7 +465,7 @@ p AS (SELECT f.purl, 'SPDXRef-' || md5(f.purl || '@' || f.version) AS spdx_id, C
 
 
 def _spdx(spark, d):
-    return reports.spdx_packages(I.matches(spark, d), I.deps(spark, d), spark.createDataFrame(_KNOWN, "spdx_key string, spdx_name string"))
+    return reports.spdx_packages(I.matches(spark, d), I.deps(spark, d), _known_licenses(spark))
 
 
 @query("E7_spdx_packages", _SPDX + " SELECT purl, spdx_id, license FROM p")

@@ -171,3 +171,24 @@ def test_catalogue_search(spark):
     assert decorations.component_versions(rows, "pkg:a/x").count() == 1
     requests = spark.createDataFrame([("pkg:a/x@2",), ("pkg:b@1",)], "purl string")
     assert {(r.purl, r.vendor) for r in decorations.decorated(requests, rows.select("purl", "vendor")).collect()} == {("pkg:a/x@2", "v"), ("pkg:b@1", None)}
+
+
+KNOWN = [("Foo-1.0", "Foo License 1.0"), ("MIT", "MIT License"), ("GPL-2.0-only", "GNU General Public License v2.0 only"), ("Apache-1.0", "Apache License 1.0"), ("Apache-2.0", "Apache License 2.0"), ("Foo", "A-foo-of-old"), ("MIT-0", "MIT License"), ("Bar-1", None)]
+
+
+def test_licenses_are_looked_up_in_four_steps(spark):
+    known = spark.createDataFrame([(k, i.lower(), i, n) for k, (i, n) in enumerate(KNOWN)], "place int, spdx_key string, spdx_name string, license_name string")
+    expected = {
+        "GPL- 2.0-only": "GPL-2.0-only", "apache": "Apache-1.0", "gpl": "GPL-2.0-only", "foo": "Foo", "bar": "Bar-1",  # ids without white space, and short ones
+        "apache 2.0": "Apache-2.0", "Apache \t\n2.0": "Apache-2.0", "gpl\u00a02.0 only": "GPL-2.0-only",  # with dashes
+        "MIT License": "MIT-0", "gnu general  public license v2.0\tONLY": "GPL-2.0-only", "apachelicense2.0": "Apache-2.0",  # names
+        "a foo of old": "Foo",  # a name with dashes
+        "Other Name": "LicenseRef-Other-Name", "LicenseRef-own": "LicenseRef-own", "": "LicenseRef-",
+    }
+    names = spark.createDataFrame([(n,) for n in expected], "name string")
+    assert {r.name: r.spdxid for r in reports.spdx_licenses(names, known).collect()} == expected
+    rows = matches_of(spark, match(0, ["pkg:a"], licenses=[("MIT License", None), ("apache", "license_file"), ("Other Name", "file_header")]), match(1, ["pkg:b"], licenses=[("GPL- 2.0-only", "")]), match(2, ["pkg:c"]))
+    deps = spark.createDataFrame([], "file_ord long, dep_ord int, path string, purl string, component string, version string, requirement string, scope string, license string")
+    packages = reports.spdx_packages(rows, deps, known)
+    assert {r.purl: r.license for r in packages.collect()} == {"pkg:a": "(Apache-1.0 AND LicenseRef-Other-Name AND MIT-0)", "pkg:b": "GPL-2.0-only", "pkg:c": "NOASSERTION"}
+    assert [r.license_ref for r in reports.license_references(packages).collect()] == ["LicenseRef-Other-Name"]
