@@ -104,6 +104,21 @@ def test_near_keeps_columns(clashing, docs_of):
     assert near_dedup.keep_one(docs_of([])).count() == 0
 
 
+def test_sketches_of_small_linked_sets_pass():
+    rng = np.random.default_rng(3)
+    values = near_dedup.BANDS * near_dedup.ROWS
+    lost = 0
+    for shared, alone in ((3, 1), (6, 2), (9, 3), (15, 5), (30, 10)):
+        for _ in range(3000):
+            union = rng.integers(0, 2**64, shared + alone, np.uint64)
+            a, b = np.sort(union[:shared]), np.sort(union)
+            assert near_dedup.linked(a, b)
+            agreed = np.mean((shingles.signature(a, values) & np.uint64(0xFFFF)) == (shingles.signature(b, values) & np.uint64(0xFFFF)))
+            assert agreed >= near_dedup.least_agreement(np.array([shared + alone]), values)[0]
+            lost += agreed < 0.75 - 5 * (0.75 * 0.25 / values) ** 0.5
+    assert lost  # as many as one bound for all sizes would drop
+
+
 def test_densified_signatures_estimate_similarity():
     rng = np.random.default_rng(3)
     for size in (3, 20, 400, 5000):
