@@ -34,9 +34,14 @@ def shingles(words: Column, width: int) -> Column:
     """Runs of ``width`` words joined by spaces; of fewer words, all of them."""
     if width < 1:
         raise ValueError("shingles have one word at least")
-    w = F.least(F.lit(width), F.greatest(F.size(words), F.lit(1)))
-    made = F.transform(F.sequence(F.lit(1), F.size(words) - w + 1), lambda i: F.array_join(F.slice(words, i, w), " "))
-    return F.when(F.size(words) > 0, made).otherwise(F.array().cast("array<string>"))
+
+    def of(w: Column) -> Column:
+        n = F.least(F.lit(width), F.greatest(F.size(w), F.lit(1)))
+        made = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))
+        return F.when(F.size(w) > 0, made).otherwise(F.array().cast("array<string>"))
+
+    # the words are bound once; as an expression they would be made anew for each shingle
+    return F.transform(F.array(words), of)[0]
 
 
 def line_numbers(lines: Column) -> Column:

@@ -32,35 +32,55 @@ DEV_SCOPES = "dev test development provided runtime devDependencies dev-dependen
 # Sources of licences, in order of priority.
 LICENSE_SOURCES = ["component_declared", "license_file", "file_header", "scancode"]
 COPYLEFT_SOURCES = ["component_declared", "license_file"]
-# Languages by file suffix.
-LANGUAGES = {
-    "python": "py sh bash zsh fish", "javascript": "js mjs cjs jsx", "typescript": "ts tsx", "java": "java", "kotlin": "kt kts", "scala": "scala sc", "go": "go",
-    "rust": "rs", "cpp": "cpp cc cxx c h hpp hxx m mm", "csharp": "cs", "php": "php", "swift": "swift", "ruby": "rb", "perl": "pl pm", "r": "r R", "lua": "lua",
-    "dart": "dart", "haskell": "hs", "elixir": "ex exs", "clojure": "clj cljs",
+# Language of each file suffix.
+SUFFIX_LANGUAGE = {
+    ".py": "python", ".js": "javascript", ".mjs": "javascript", ".cjs": "javascript", ".ts": "typescript", ".tsx": "typescript", ".jsx": "javascript", ".java": "java",
+    ".kt": "kotlin", ".kts": "kotlin", ".scala": "scala", ".sc": "scala", ".go": "go", ".rs": "rust", ".cpp": "cpp", ".cc": "cpp", ".cxx": "cpp", ".c": "cpp", ".h": "cpp",
+    ".hpp": "cpp", ".hxx": "cpp", ".cs": "csharp", ".php": "php", ".swift": "swift", ".rb": "ruby", ".pl": "perl", ".pm": "perl", ".r": "r", ".R": "r", ".lua": "lua",
+    ".dart": "dart", ".hs": "haskell", ".ex": "elixir", ".exs": "elixir", ".clj": "clojure", ".cljs": "clojure", ".m": "cpp", ".mm": "cpp",
+    ".sh": "python", ".bash": "python", ".zsh": "python", ".fish": "python",
 }
-# How import lines begin, by language.
+# Patterns of import lines of each language.
 IMPORTS = {
-    "python": [r"import\s+", r"from\s+.*\s+import\s+"],
-    "javascript": [r"import\s+.*\s+from\s+", r"import\s+[\"']", r"import\s+type\s+", r"export\s+\*\s+from\s+", r"export\s+\{.*\}\s+from\s+", r"(?:const|var|let)\s+.*\s*=\s*require\("],
-    "typescript": [r"import\s+", r"export\s+.*\s+from\s+"],
-    "java": [r"(?:import|package)\s+"],
-    "kotlin": [r"(?:import|package)\s+"],
-    "scala": [r"(?:import|package)\s+"],
-    "go": [r"import\s+\(", r"import\s+\"", r"package\s+", r"\"[^\"]*\"\s*$", r"[a-zA-Z_][a-zA-Z0-9_]*\s+\"[^\"]*\"\s*$"],
-    "rust": [r"use\s+", r"extern\s+crate\s+", r"mod\s+"],
-    "cpp": [r"#include\s+", r"#pragma\s+", r"#ifndef\s+.*_H.*", r"#define\s+.*_H.*", r"#endif\s+(//.*)?\s*$"],
-    "csharp": [r"(?:using|namespace)\s+"],
-    "php": [r"(?:use|require|require_once|include|include_once|namespace)\s+"],
-    "swift": [r"import\s+"],
-    "ruby": [r"(?:require|require_relative|load)\s+"],
-    "perl": [r"(?:use|require)\s+"],
-    "r": [r"(?:library|require|source)\("],
-    "lua": [r"require\s+", r"local\s+.*\s*=\s*require\("],
-    "dart": [r"(?:import|export|part)\s+"],
-    "haskell": [r"(?:import|module)\s+"],
-    "elixir": [r"(?:import|alias|require|use)\s+"],
-    "clojure": [r"\(\s*(?:ns|require|import)\s+"],
-}
+    "python": [r"^\s*import\s+", r"^\s*from\s+.*\s+import\s+"],
+    "javascript": [
+        r"^\s*import\s+.*\s+from\s+", r"^\s*import\s+[\"']", r"^\s*import\s+type\s+", r"^\s*export\s+\*\s+from\s+", r"^\s*export\s+\{.*\}\s+from\s+",
+        r"^\s*const\s+.*\s*=\s*require\(", r"^\s*var\s+.*\s*=\s*require\(", r"^\s*let\s+.*\s*=\s*require\(",
+    ],
+    "typescript": [r"^\s*import\s+", r"^\s*export\s+.*\s+from\s+", r"^\s*import\s+type\s+", r"^\s*import\s+\{.*\}\s+from\s+"],
+    "java": [r"^\s*import\s+", r"^\s*package\s+"],
+    "kotlin": [r"^\s*import\s+", r"^\s*package\s+"],
+    "scala": [r"^\s*import\s+", r"^\s*package\s+"],
+    "go": [r"^\s*import\s+\(", r"^\s*import\s+\"", r"^\s*package\s+", r"^\s*\"[^\"]*\"\s*$", r"^\s*[a-zA-Z_][a-zA-Z0-9_]*\s+\"[^\"]*\"\s*$", r"^\s*_\s+\"[^\"]*\"\s*$"],
+    "rust": [r"^\s*use\s+", r"^\s*extern\s+crate\s+", r"^\s*mod\s+"],
+    "cpp": [r"^\s*#include\s+", r"^\s*#pragma\s+", r"^\s*#ifndef\s+.*_H.*", r"^\s*#define\s+.*_H.*", r"^\s*#endif\s+(//.*)?\s*$"],
+    "csharp": [r"^\s*using\s+", r"^\s*namespace\s+"],
+    "php": [r"^\s*use\s+", r"^\s*require\s+", r"^\s*require_once\s+", r"^\s*include\s+", r"^\s*include_once\s+", r"^\s*namespace\s+"],
+    "swift": [r"^\s*import\s+"],
+    "ruby": [r"^\s*require\s+", r"^\s*require_relative\s+", r"^\s*load\s+"],
+    "perl": [r"^\s*use\s+", r"^\s*require\s+"],
+    "r": [r"^\s*library\(", r"^\s*require\(", r"^\s*source\("],
+    "lua": [r"^\s*require\s+", r"^\s*local\s+.*\s*=\s*require\("],
+    "dart": [r"^\s*import\s+", r"^\s*export\s+", r"^\s*part\s+"],
+    "haskell": [r"^\s*import\s+", r"^\s*module\s+"],
+    "elixir": [r"^\s*import\s+", r"^\s*alias\s+", r"^\s*require\s+", r"^\s*use\s+"],
+    "clojure": [r"^\s*\(\s*ns\s+", r"^\s*\(\s*require\s+", r"^\s*\(\s*import\s+"],
+}
+# Copyleft status of licences, as the public checklists of licence obligations (CC-BY-4.0) give it.
+COPYLEFT_YES = "AGPL-3.0-only AGPL-3.0-or-later CPL-1.0 EPL-1.0 EUPL-1.1 EUPL-1.2 GPL-1.0-only GPL-1.0-or-later GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later IPL-1.0 OSL-3.0 Sleepycat".split()
+COPYLEFT_RESTRICTED = [
+    "APSL-2.0", "CDDL-1.0", "CDDL-1.1", "EPL-2.0", "GPL-2.0-only WITH Classpath-exception-2.0", "LGPL-2.0-only", "LGPL-2.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later",
+    "LGPL-3.0-only", "LGPL-3.0-or-later", "MPL-1.1", "MPL-2.0", "MPL-2.0-no-copyleft-exception", "MS-RL", "OFL-1.1", "Ubuntu-font-1.0",
+]
+COPYLEFT_QUESTIONABLE = "MS-PL OpenSSL".split()
+COPYLEFT_NO = (
+    "0BSD AFL-2.0 AFL-2.1 AFL-3.0 Apache-1.0 Apache-1.1 Apache-2.0 Artistic-1.0 Artistic-1.0-Perl Artistic-2.0 Bitstream-Vera blessing BlueOak-1.0.0 BSD-1-Clause BSD-2-Clause "
+    "BSD-2-Clause-Patent BSD-3-Clause BSD-3-Clause-Open-MPI BSD-4-Clause BSD-4-Clause-UC BSD-4.3TAHOE BSD-Source-Code BSL-1.0 bzip2-1.0.5 bzip2-1.0.6 CC-BY-2.5 CC-BY-3.0 curl ECL-1.0 "
+    "ECL-2.0 EFL-2.0 FSFAP FSFUL FSFULLR FSFULLRWD FTL HPND IBM-pibs ICU IJG ImageMagick Info-ZIP ISC JasPer-2.0 Libpng libpng-2.0 libtiff LicenseRef-scancode-bsla-no-advert "
+    "LicenseRef-scancode-info-zip-2003-05 LicenseRef-scancode-ppp Minpack MirOS MIT MIT-0 MIT-CMU NBPL-1.0 NCSA NTP OGC-1.0 OLDAP-2.8 PHP-3.01 PostgreSQL PSF-2.0 Python-2.0 Qhull RSA-MD "
+    "Saxpath SGI-B-2.0 SMLNJ Spencer-86 SSH-OpenSSH SSH-short SunPro Unicode-3.0 Unicode-DFS-2015 Unicode-DFS-2016 Unlicense UPL-1.0 W3C W3C-19980720 W3C-20150513 WTFPL X11 XFree86-1.1 "
+    "Zlib zlib-acknowledgement ZPL-2.0"
+).split()
 # Components of a CSV report, in order.
 CSV_COLUMNS = (
     "inventory_id path detected_usage detected_component detected_license detected_version detected_latest detected_purls detected_url detected_match detected_lines detected_oss_lines detected_path"

@@ -1,32 +1,79 @@
-"""Codecs as Arrow-batched column functions, and their SQL names."""
+"""Codecs as Arrow-batched column functions, and their SQL names.
+
+Whole Arrow batches go through numpy; hex digits are made in the JVM.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrylens.functions import codecs
 
 # Types are objects, not names: names could only be read in a running session.
-SNIPPETS = T.ArrayType(T.StructType([T.StructField("line", T.IntegerType()), T.StructField("hashes", T.ArrayType(T.StringType()))]))
+SNIPPETS = T.ArrayType(T.StructType([T.StructField("line", T.IntegerType()), T.StructField("hashes", T.ArrayType(T.IntegerType()))]))
+#: Texts are taken together up to so many bytes; a longer one is taken alone, in pieces.
+BLOCK = 1 << 20
 
 
-def _signed(value: int) -> int:
-    return value - (1 << 64) if value >> 63 else value
+def _blocks(content: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``(first row, bytes, offsets)`` of runs of rows."""
+    content = content.cast(pa.large_binary())
+    if content.null_count:
+        content = content.fill_null(b"")
+    offsets = np.frombuffer(content.buffers()[1], np.int64)[content.offset : content.offset + len(content) + 1]
+    raw = np.frombuffer(content.buffers()[2] or b"", np.uint8)
+    row = 0
+    while row < len(content):
+        stop = min(len(content), max(row + 1, int(np.searchsorted(offsets, offsets[row] + BLOCK, "right")) - 1))
+        yield row, raw[offsets[row] : offsets[stop]], offsets[row : stop + 1] - offsets[row]
+        row = stop
 
 
-@F.pandas_udf(SNIPPETS)
-def winnow(content: pd.Series) -> pd.Series:
-    """Fingerprints of a file by line; none for null."""
-    return content.map(lambda c: [] if c is None else [{"line": n, "hashes": h} for n, h in codecs.snippet_lines(bytes(c))])
+@F.arrow_udf(SNIPPETS)
+def winnow(content: pa.Array) -> pa.Array:
+    """Fingerprints of a file by line, as the bits of 32-bit integers; none for null."""
+    texts, lines, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+    for row, raw, offsets in _blocks(content) if len(content) else ():
+        if len(raw) > BLOCK:
+            line, value = codecs.winnow(raw.tobytes())
+            text = np.zeros(len(line), np.int64)
+        else:
+            text, line, value = codecs.winnow_all(raw, offsets)
+        texts.append(text + row)
+        lines.append(line)
+        hashes.append(value)
+    text, line, value = (np.concatenate(x) for x in (texts, lines, hashes))
+    first = np.ones(len(text), bool)
+    first[1:] = (text[1:] != text[:-1]) | (line[1:] != line[:-1])
+    at = np.flatnonzero(first)
+    inner = pa.ListArray.from_arrays(pa.array(np.append(at, len(text)), pa.int32()), pa.array(value.view(np.int32)))
+    rows = pa.StructArray.from_arrays([pa.array(line[at], pa.int32()), inner], ["line", "hashes"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(text[at], np.arange(len(content) + 1)), pa.int32()), rows)
 
 
-@F.pandas_udf(T.StringType())
-def hpsm(content: pd.Series) -> pd.Series:
-    return content.map(lambda c: codecs.line_hashes(bytes(c)), na_action="ignore")
+def hex8(value: Column) -> Column:
+    """Eight hex digits of the bits of a 32-bit integer."""
+    return F.lower(F.lpad(F.hex(value.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))
+
+
+def _bytes(content: pa.Array) -> list[bytes]:
+    return [b"" if x is None else x for x in content.to_pylist()]
+
+
+def _with_nulls(values, content: pa.Array, kind: pa.DataType) -> pa.Array:
+    return pa.array(values, kind, mask=np.asarray(content.is_null().to_numpy(zero_copy_only=False)))
+
+
+@F.arrow_udf(T.StringType())
+def hpsm(content: pa.Array) -> pa.Array:
+    return _with_nulls(np.array(codecs.line_hashes_all(_bytes(content)), object), content, pa.string())
 
 
 @F.pandas_udf(T.IntegerType())
@@ -34,26 +81,57 @@ def header_offset(path: pd.Series, text: pd.Series) -> pd.Series:
     return pd.Series([codecs.header_offset(p or "", t or "") for p, t in zip(path, text, strict=True)], dtype="int32")
 
 
-@F.pandas_udf(T.LongType())
-def crc64(content: pd.Series) -> pd.Series:
-    return content.map(lambda c: _signed(codecs.crc64(bytes(c))), na_action="ignore").astype("Int64")
+@F.pandas_udf(T.StringType())
+def shown_name(path: pd.Series) -> pd.Series:
+    """A file's name as Python shows a string, so that it has no line ends."""
+    return path.map(lambda p: repr(p).strip("'"), na_action="ignore")
 
 
-@F.pandas_udf(T.LongType())
-def crc32c(content: pd.Series) -> pd.Series:
-    return content.map(lambda c: codecs.crc32c(bytes(c)), na_action="ignore").astype("Int64")
+@F.arrow_udf(T.LongType())
+def crc64(content: pa.Array) -> pa.Array:
+    return _with_nulls(codecs.crc_all(_bytes(content), *codecs.CRC64).view(np.int64), content, pa.int64())
+
+
+@F.arrow_udf(T.LongType())
+def crc32c(content: pa.Array) -> pa.Array:
+    return _with_nulls(codecs.crc_all(_bytes(content), *codecs.CRC32C).view(np.int64), content, pa.int64())
+
+
+@F.arrow_udf(T.IntegerType())
+def crc8(content: pa.Array) -> pa.Array:
+    return _with_nulls(codecs.crc_all(_bytes(content), *codecs.CRC8).astype(np.int32), content, pa.int32())
+
+
+def _simhashes(features: list[list[bytes] | None]) -> pd.Series:
+    """The simhash of each list; features of all lists are hashed together."""
+    values = codecs.fnv1_all([x for f in features if f is not None for x in f])
+    out, at = [], 0
+    for f in features:
+        n = 0 if f is None else len(f)
+        out.append(None if f is None else int(np.uint64(codecs.simhash(values[at : at + n])).view(np.int64)))
+        at += n
+    return pd.Series(out, dtype="Int64")
 
 
 @F.pandas_udf(T.LongType())
 def simhash64(features: pd.Series) -> pd.Series:
     """Simhash of an array of binary features."""
-    return features.map(lambda f: _signed(codecs.simhash(codecs.fnv1_all([bytes(x) for x in f]))), na_action="ignore").astype("Int64")
+    return _simhashes([None if f is None else [bytes(x) for x in f] for f in features])
 
 
 @F.pandas_udf(T.LongType())
 def simhash_words(text: pd.Series) -> pd.Series:
     """Simhash of the words of a text."""
-    return text.map(lambda t: _signed(codecs.simhash(codecs.fnv1_all(codecs.word_features(t.encode())))), na_action="ignore").astype("Int64")
+    return _simhashes([None if t is None else codecs.word_features(t.encode()) for t in text])
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def word_hashes(text: pd.Series) -> pd.Series:
+    """FNV-1 of every word of a text."""
+    features = [codecs.word_features((t or "").encode()) for t in text]
+    values = codecs.fnv1_all([x for f in features for x in f]).view(np.int64)
+    bounds = np.concatenate([[0], np.cumsum([len(f) for f in features])])
+    return pd.Series([values[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], dtype=object)
 
 
 @F.pandas_udf(T.StringType())

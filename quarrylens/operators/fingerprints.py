@@ -5,32 +5,95 @@ The join with a local knowledge base is an extension: the matching service of th
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarrylens.functions.udfs import winnow
+from quarrylens.functions import udfs
+from quarrylens.functions.columns import opposite_eol_md5
+from quarrylens.functions.fixed_values import MAX_POST_BYTES
 from quarrylens.operators.filters import snippets_made
 
 
 def fingerprints(files: DataFrame) -> DataFrame:
     """``path, line, ord, hash``: winnowing of every file that snippets are made for; narrow, one Arrow pass."""
-    made = files.filter(snippets_made(F.col("path"), F.col("text"))).select("path", F.explode(winnow(F.encode("text", "UTF-8"))).alias("x"))
-    return made.select("path", F.col("x.line").alias("line"), F.posexplode("x.hashes").alias("ord", "hash"))
+    made = files.filter(snippets_made(F.col("path"), F.col("text"))).select("path", F.explode(udfs.winnow(F.encode("text", "UTF-8"))).alias("x"))
+    return made.select("path", F.col("x.line").alias("line"), F.posexplode("x.hashes").alias("ord", "bits")).select("path", "line", "ord", udfs.hex8(F.col("bits")).alias("hash"))
 
 
-def wfp_blocks(files: DataFrame) -> DataFrame:
-    """``path, wfp``: the fingerprint text of each file."""
-    found = winnow(F.encode("text", "UTF-8"))
-    lines = F.transform("snippets", lambda s: F.concat(s["line"].cast("string"), F.lit("="), F.array_join(s["hashes"], ","), F.lit("\n")))
-    head = F.concat(F.lit("file="), F.md5("text"), F.lit(","), F.octet_length("text").cast("string"), F.lit(","), F.col("path"), F.lit("\n"))
-    rows = files.withColumn("snippets", F.when(snippets_made(F.col("path"), F.col("text")), found).otherwise(F.array().cast("array<struct<line:int,hashes:array<string>>>")))
-    return rows.select("path", F.concat(head, F.array_join(lines, "")).alias("wfp"))
+def _within(lines: Column, head: Column, max_bytes: int) -> Column:
+    """The lines (structs with ``text``) that are sent under a size limit, see :func:`.batching.capped_lines`."""
+    n = F.size(lines)
+
+    def step(a: Column, x: Column) -> Column:
+        at = a["n"] + 1
+        total = a["total"] + F.octet_length(x["text"])
+        fits = ~a["full"] & F.when(at == n, total < max_bytes).otherwise(total <= max_bytes)
+        return F.struct(at.alias("n"), F.when(fits, total + 1).otherwise(a["total"]).cast("long").alias("total"), (~fits).alias("full"), (a["kept"] + fits.cast("int")).alias("kept"))
+
+    start = F.struct(F.lit(0).alias("n"), F.octet_length(head).cast("long").alias("total"), F.lit(False).alias("full"), F.lit(0).alias("kept"))
+    return F.slice(lines, 1, F.aggregate(lines, start, step, lambda a: a["kept"]))
+
+
+def wfp_blocks(
+    files: DataFrame, hpsm: bool = False, strip_hpsm: tuple[str, ...] = (), strip_snippets: tuple[str, ...] = (), max_bytes: int | None = None,
+    skip_headers: bool = False, header_limit: int = 0, skip_snippets: bool = False, all_extensions: bool = False, binary: Column | None = None,
+) -> DataFrame:
+    """``path, wfp``: the fingerprint text of each file.
+
+    Its lines: ``file=`` with MD5, size and name; ``fh2=`` with the MD5 of the content with the other kind of line ends, if it
+    has any and isn't ``binary``; where snippets are made, ``hpsm=`` on request, and the hashes of each line that has some. With
+    ``max_bytes`` lines are sent as long as the text stays within it. With ``skip_headers`` the lines of a file's header go, and
+    ``start_line=`` says so; at last the hashes of ``strip_snippets`` go."""
+    is_binary = F.lit(False) if binary is None else F.coalesce(binary, F.lit(False))
+    made = F.lit(False) if skip_snippets else snippets_made(F.col("path"), F.col("text"), all_extensions) & ~is_binary
+    content = F.encode("text", "UTF-8")
+    rows = files.select(
+        "path", udfs.shown_name("path").alias("shown"), "text", made.alias("made"), is_binary.alias("is_binary"), udfs.winnow(F.when(made, content)).alias("snippets"),
+        (udfs.hpsm(F.when(made, content)) if hpsm else F.lit(None).cast("string")).alias("hpsm"), (udfs.header_offset("path", "text") if skip_headers else F.lit(0)).alias("offset"),
+    )
+    if header_limit > 0:
+        rows = rows.withColumn("offset", F.least("offset", F.lit(header_limit)))
+    if hpsm and strip_hpsm:
+        rows = rows.withColumn("hpsm", udfs.stripped_hpsm("hpsm", F.array(*map(F.lit, strip_hpsm))))
+    fh2 = opposite_eol_md5(F.col("text"), F.col("is_binary"))
+    tag = lambda name, value: F.coalesce(F.concat(F.lit(f"{name}="), value, F.lit("\n")), F.lit(""))
+    head = F.concat(F.lit("file="), F.md5("text"), F.lit(","), F.octet_length("text").cast("string"), F.lit(","), "shown", F.lit("\n"), tag("fh2", fh2), tag("hpsm", F.when(F.col("hpsm") != "", F.col("hpsm"))))
+    text = lambda s: F.concat(s["line"].cast("string"), F.lit("="), F.array_join(F.transform(s["hashes"], udfs.hex8), ","))
+    rows = rows.withColumn("head", head).withColumn("lines", F.transform("snippets", lambda s: F.struct(s["line"].alias("line"), text(s).alias("text"))))
+    if max_bytes is not None:
+        rows = rows.withColumn("lines", _within(F.col("lines"), F.col("head"), max_bytes))
+    texts = lambda lines: F.array_join(F.transform(lines, lambda x: F.concat(x["text"], F.lit("\n"))), "")
+    body = texts(F.col("lines"))
+    if skip_headers:
+        after = F.filter("lines", lambda x: x["line"] > F.col("offset"))
+        started = F.when(F.size(after) > 0, F.concat(F.lit("start_line="), F.col("offset").cast("string"), F.lit("\n"), texts(after))).otherwise("")
+        body = F.when(F.col("made") & (F.col("offset") > 0), started).otherwise(body)
+    wfp = F.concat("head", body)
+    if strip_snippets:
+        # only where lines of hashes stand: a file without snippets is sent as it is
+        wfp = F.when(F.col("made"), udfs.stripped_snippets(wfp, F.array(*map(F.lit, strip_snippets)))).otherwise(wfp)
+    return rows.select("path", wfp.alias("wfp"))
+
+
+def capped_blocks(files: DataFrame, max_bytes: int = MAX_POST_BYTES, **options) -> DataFrame:
+    """Fingerprint texts of at most about ``max_bytes``."""
+    return wfp_blocks(files, max_bytes=max_bytes, **options)
+
+
+#: Rows of one hash that go to one task.
+HASH_ROWS = 10_000
 
 
 def knowledge_hits(found: DataFrame, base: DataFrame, min_hits: int = 1) -> DataFrame:
     """``path, kb_path, hits, first_line, last_line``: files that share fingerprints with entries of ``base``
-    (``hash, kb_path``). Both sides are reduced to distinct hashes first, so a hash that is common in one file is one row."""
+    (``hash, kb_path``). Both sides are reduced to distinct hashes first, so a hash that is common in one file is one row; the files of a
+    hash that very many share are dealt to several tasks."""
     ours = found.groupBy("path", "hash").agg(F.min("line").alias("first_line"), F.max("line").alias("last_line"))
-    shared = ours.join(base.select("hash", "kb_path").distinct(), "hash")
-    hits = shared.groupBy("path", "kb_path").agg(F.count(F.lit(1)).alias("hits"), F.min("first_line").alias("first_line"), F.max("last_line").alias("last_line"))
+    known = base.select("hash", "kb_path").distinct()
+    # hashes of the base alone are counted, and only those that are common are salted
+    common = ours.join(known.select("hash").distinct(), "hash", "left_semi").groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    common = common.select("hash", F.ceil(F.col("n") / HASH_ROWS).cast("int").alias("salts"))
+    entries = known.join(common, "hash").select("hash", "kb_path", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    dealt = ours.join(common, "hash").withColumn("salt", F.pmod(F.xxhash64("path"), F.col("salts")).cast("int")).drop("salts")
+    hits = dealt.join(entries, ["hash", "salt"]).groupBy("path", "kb_path").agg(F.count(F.lit(1)).alias("hits"), F.min("first_line").alias("first_line"), F.max("last_line").alias("last_line"))
     return hits.filter(F.col("hits") >= min_hits)

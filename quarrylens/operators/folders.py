@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrylens.functions import codecs
 from quarrylens.functions.columns import suffix
-from quarrylens.functions.udfs import crc64
+from quarrylens.functions.udfs import crc64, word_hashes
 
 MIN_FILES, MIN_NAME_BYTES = 8, 32
 
@@ -31,7 +31,7 @@ def folder_totals(files: DataFrame, depth: int | None = None) -> DataFrame:
 
 def extension_counts(files: DataFrame, depth: int | None = None) -> DataFrame:
     """``dir, extension, n_files``; extensions without the dot, case-sensitive."""
-    rows = in_folders(files.select("path"), depth).withColumn("extension", F.substring(suffix(F.col("path")), 2, 1000))
+    rows = in_folders(files.select("path"), depth).withColumn("suffix", suffix(F.col("path"))).withColumn("extension", F.expr("substring(suffix, 2)"))
     return rows.filter("extension <> ''").groupBy("dir", "extension").agg(F.count(F.lit(1)).alias("n_files"))
 
 
@@ -39,11 +39,6 @@ def extension_maps(counts: DataFrame) -> DataFrame:
     return counts.groupBy("dir").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("extension", "n_files")))).alias("lang_extensions"))
 
 
-@F.pandas_udf(T.StringType())
-def _words_hash(words: pd.Series) -> pd.Series:
-    return words.map(lambda t: f"{codecs.simhash(codecs.fnv1_all(codecs.word_features(t.encode()))):02x}", na_action="ignore")
-
-
 @F.pandas_udf(T.LongType())
 def _key_hash(keys: pd.Series) -> pd.Series:
     """FNV-1 of the eight big-endian bytes of each key."""
@@ -55,23 +50,39 @@ def _key_hash(keys: pd.Series) -> pd.Series:
     return pd.Series(value.view(np.int64))
 
 
+def _bit_sums(value: Column) -> list[Column]:
+    """For each bit how many more values have it than lack it."""
+    return [F.sum(F.when(F.shiftright(value, b).bitwiseAND(F.lit(1)) == 1, 1).otherwise(-1)).alias(f"b{b}") for b in range(64)]
+
+
+def _of_sums() -> Column:
+    """Simhash in hex from the sums of bits; a tie sets the bit."""
+    return F.lower(F.conv(F.concat(*[F.when(F.coalesce(F.col(f"b{b}"), F.lit(0)) >= 0, "1").otherwise("0") for b in range(63, -1, -1)]), 2, 16))
+
+
+def _names_hash(names: DataFrame, column: str) -> DataFrame:
+    """``dir, column``: simhash of the words of all distinct ``name`` of each ``dir``."""
+    words = names.select("dir", "name").distinct().select("dir", F.explode(word_hashes("name")).alias("word"))
+    return words.groupBy("dir").agg(*_bit_sums(F.col("word"))).select("dir", _of_sums().alias(column))
+
+
 def folder_simhashes(files: DataFrame, depth: int = 1) -> DataFrame:
-    """``dir, sim_hash_names, sim_hash_dir_names, sim_hash_content`` (unpadded hex; null for small folders).
-
-    The hash of contents is summed bit by bit with partial aggregation, so the root folder, which holds every
-    file, is no hot group; the distinct names of a folder are collected, since their hash needs them in order."""
-    name = F.element_at(F.split("path", "/"), -1)
-    stem = F.when(suffix(F.col("path")) != "", F.expr("left(name, length(name) - length(ext))")).otherwise(F.col("name"))
-    rows = files.withColumn("name", name).withColumn("ext", suffix(F.col("path"))).withColumn("stem", stem)
-    rows = rows.withColumn("parent", F.regexp_replace("path", "/?[^/]*$", "")).withColumn("key", _key_hash(crc64(F.encode("text", "UTF-8"))))
-    rows = in_folders(rows.select("path", "stem", "parent", "key"), depth)
-    bits = [F.sum(F.when(F.shiftright("key", b).bitwiseAND(F.lit(1)) == 1, 1).otherwise(-1)).alias(f"b{b}") for b in range(64)]
-    sums = rows.groupBy("dir", "depth").agg(F.count(F.lit(1)).alias("n_files"), *bits)
-    high = F.conv(F.concat(*[F.when(F.col(f"b{b}") >= 0, "1").otherwise("0") for b in range(63, -1, -1)]), 2, 16)
-    names = rows.groupBy("dir").agg(F.array_join(F.array_sort(F.collect_set("stem")), " ").alias("names"))
-    dirs = rows.filter("parent <> ''").groupBy("dir").agg(F.array_join(F.array_sort(F.collect_set("parent")), " ").alias("dir_names"))
-    joined = sums.select("dir", "depth", "n_files", F.lower(high).alias("content")).join(names, "dir").join(dirs, "dir", "left")
-    large = (F.col("n_files") >= MIN_FILES) & (F.octet_length("names") >= MIN_NAME_BYTES)
-    return joined.select(
-        "dir", "depth", "n_files", F.when(large, _words_hash("names")).alias("sim_hash_names"), F.when(large, _words_hash(F.coalesce("dir_names", F.lit("")))).alias("sim_hash_dir_names"), F.when(large, F.col("content")).alias("sim_hash_content")
-    )
+    """``dir, depth, n_files, sim_hash_names, sim_hash_dir_names, sim_hash_content`` (unpadded hex).
+
+    A folder counts its whole subtree. Its hashes are null if it has fewer than ``MIN_FILES`` files, or their names, repeated ones too,
+    have fewer than ``MIN_NAME_BYTES`` bytes in all. The words of the distinct names without suffix, the words of
+    the distinct names of all folders on the way to its files, and the checksums of all contents are hashed. Every hash is
+    summed bit by bit with partial aggregation, so the root folder, which holds every file, is no hot group."""
+    rows = files.withColumn("base", F.element_at(F.split("path", "/"), -1)).withColumn("ext", suffix(F.col("path")))
+    rows = rows.withColumn("name", F.expr("left(base, length(base) - length(ext))")).withColumn("key", _key_hash(crc64(F.encode("text", "UTF-8"))))
+    rows = rows.withColumn("name_bytes", F.octet_length("base")).withColumn("dirs", F.slice(F.split("path", "/"), 1, F.size(F.split("path", "/")) - 1))
+    rows = in_folders(rows.select("path", "name", "name_bytes", "dirs", "key"), depth)
+    sums = rows.groupBy("dir", "depth").agg(F.count(F.lit(1)).alias("n_files"), F.sum("name_bytes").alias("name_bytes"), *_bit_sums(F.col("key")))
+    sums = sums.select("dir", "depth", "n_files", "name_bytes", _of_sums().alias("content"))
+    names = _names_hash(rows, "of_names")
+    dirs = _names_hash(rows.select("dir", F.explode("dirs").alias("name")).filter("name NOT IN ('', '.', '..')"), "of_dirs")
+    joined = sums.join(names, "dir", "left").join(dirs, "dir", "left")
+    large = (F.col("n_files") >= MIN_FILES) & (F.col("name_bytes") >= MIN_NAME_BYTES)
+    # without any word all sums are 0, and all bits set
+    full = lambda c: F.when(large, F.coalesce(c, F.lit("f" * 16)))
+    return joined.select("dir", "depth", "n_files", full(F.col("of_names")).alias("sim_hash_names"), full(F.col("of_dirs")).alias("sim_hash_dir_names"), F.when(large, F.col("content")).alias("sim_hash_content"))

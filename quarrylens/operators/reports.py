@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarrylens.functions import columns as C
 from quarrylens.functions.fixed_values import CSV_COLUMNS
+from quarrylens.session import checkpointed
 
 LICENSE_LIST_SOURCES = ["component_declared", "license_file", "file_header"]
 
@@ -27,13 +28,15 @@ def result_rows(matches: DataFrame) -> DataFrame:
 
 def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     """``rows`` with a gapless number from 1 in ``order``, in parallel: rows are range-partitioned, and the number of
-    those in lower partitions is added. Only the counts of partitions (one row each) meet in one task."""
-    part = F.spark_partition_id()
-    dealt = rows.repartitionByRange(*order).withColumn("number_part", part)
-    dealt = dealt.withColumn("number_in_part", F.row_number().over(Window.partitionBy("number_part").orderBy(*order)))
+    those in lower partitions is added. Only the counts of partitions (one row each) meet in one task.
+
+    The dealt rows are checkpointed with their partition, so that counts and rows speak of the same deal even if bounds
+    would be sampled anew."""
+    dealt = checkpointed(rows.repartitionByRange(*order).withColumn("number_part", F.spark_partition_id()))
+    inside = F.row_number().over(Window.partitionBy("number_part").orderBy(*order))
     counts = dealt.groupBy("number_part").agg(F.count(F.lit(1)).alias("n"))
     offsets = counts.select(F.col("number_part"), (F.sum("n").over(Window.orderBy("number_part")) - F.col("n")).alias("before"))
-    return dealt.join(F.broadcast(offsets), "number_part").withColumn(name, (F.col("before") + F.col("number_in_part")).cast("long")).drop("number_part", "number_in_part", "before")
+    return dealt.join(F.broadcast(offsets), "number_part").withColumn(name, (F.col("before") + inside).cast("long")).drop("number_part", "before")
 
 
 def csv_rows(matches: DataFrame, deps: DataFrame) -> DataFrame:

@@ -65,25 +65,31 @@ def sbom_contexts(paths: DataFrame, include: DataFrame, replace: DataFrame, excl
 
     Include rules whose prefix holds, and targets of replacements, give ``identify``; else exclude rules give
     ``blacklist``. A purl has its best score (2, or 4 with a path, plus the length of the path); purls come in
-    falling score, then as listed, each once. With no rule at all the type is null."""
-
-    def scored(rules: DataFrame, purl: str, part: int) -> DataFrame:
-        named = _named(rules).withColumn("context_purl", F.col(purl)).filter("coalesce(context_purl, '') <> ''")
-        keys = paths.select("file_ord", "path")
-        below = keys.withColumn("prefix", F.explode(path_prefixes(F.col("path")))).join(named.filter("prefix <> ''"), "prefix")
-        everywhere = named.filter("prefix = ''").select("context_purl", "rule_ord", "prefix").agg(F.collect_list(F.struct("context_purl", "rule_ord")).alias("rules"))
-        over_all = keys.crossJoin(F.broadcast(everywhere)).select("file_ord", F.lit("").alias("prefix"), F.inline("rules"))  # the other table has one row
-        rows = below.select("file_ord", "prefix", "context_purl", "rule_ord").unionByName(over_all.select("file_ord", "prefix", "context_purl", "rule_ord"))
-        score = F.when(F.col("prefix") != "", 4 + F.length("prefix")).otherwise(2)
-        best = rows.groupBy("file_ord", "context_purl").agg(F.min(F.struct((-score).alias("score"), "rule_ord")).alias("rank"))
-        return best.withColumn("part", F.lit(part))
-
-    ranked = scored(include, "rule_purl", 0).unionByName(scored(replace, "replace_with", 1)).unionByName(scored(exclude, "rule_purl", 2))
-    lists = ranked.groupBy("file_ord").agg(F.sort_array(F.collect_list(F.struct("part", "rank", "context_purl"))).alias("found"))
-    joined = paths.select("file_ord", "path").join(lists, "file_ord", "left")
+    falling score, then as listed, each once. With no rule at all the type is null.
+
+    Rules without a path are the same list for every file: they are ranked once and appended as one array (a row no
+    larger than what every file gets anyway); only rules with a path are joined, by the prefixes of the file's path."""
+
+    def named(rules: DataFrame, purl: str, part: int) -> DataFrame:
+        rows = _named(rules).withColumn("context_purl", F.col(purl)).filter("coalesce(context_purl, '') <> ''")
+        return rows.select(F.lit(part).alias("part"), "context_purl", "rule_ord", "prefix")
+
+    rules = named(include, "rule_purl", 0).unionByName(named(replace, "replace_with", 1)).unionByName(named(exclude, "rule_purl", 2))
+    keys = paths.select("file_ord", "path")
+    below = keys.withColumn("prefix", F.explode(path_prefixes(F.col("path")))).join(rules.filter("prefix <> ''"), "prefix")
+    rank = F.struct((-4 - F.length("prefix")).alias("score"), "rule_ord").alias("rank")
+    best = below.groupBy("file_ord", "part", "context_purl").agg(F.min(rank).alias("rank"))
+    own = best.groupBy("file_ord").agg(F.collect_list(F.struct("part", "rank", "context_purl")).alias("own"))
+    first = rules.filter("prefix = ''").groupBy("part", "context_purl").agg(F.min(F.struct(F.lit(-2).alias("score"), "rule_ord")).alias("rank"))
+    everywhere = first.agg(F.collect_list(F.struct("part", "rank", "context_purl")).alias("shared"))
+    joined = keys.join(own, "file_ord", "left").crossJoin(F.broadcast(everywhere))  # the other table has one row
+    keyed = lambda xs: F.transform(xs, lambda x: F.struct(x["part"], x["context_purl"]))
+    none = F.filter("shared", lambda x: F.lit(False))
+    given = joined.withColumn("own", F.coalesce("own", none)).withColumn("known", keyed(F.col("own")))
+    given = given.withColumn("found", F.sort_array(F.concat("own", F.filter("shared", lambda x: ~F.array_contains("known", F.struct(x["part"], x["context_purl"]))))))
     names = lambda keep: F.array_distinct(F.transform(F.filter("found", keep), lambda x: x["context_purl"]))
     identify, block = names(lambda x: x["part"] < 2), names(lambda x: x["part"] == 2)
-    return joined.select(
+    return given.select(
         "file_ord", "path", F.when(F.size(identify) > 0, identify).when(F.size(block) > 0, block).otherwise(F.array().cast("array<string>")).alias("purls"),
         F.when(F.size(identify) > 0, "identify").when(F.size(block) > 0, "blacklist").alias("scan_type"),
     )

@@ -206,25 +206,41 @@ def _d3(spark, d):
 
 @query("B8_wfp_blocks")
 def _b8(spark, d):
-    return fingerprints.wfp_blocks(I.files(spark, d))
+    return fingerprints.wfp_blocks(I.files(spark, d), hpsm=True)
+
+
+_FH2_SQL = r"""CASE WHEN strpos({t}, chr(10)) = 0 AND strpos({t}, chr(13)) = 0 THEN NULL
+  WHEN strpos({t}, chr(13) || chr(10)) > 0 AND strpos(replace({t}, chr(13) || chr(10), ''), chr(10)) = 0 AND strpos(replace({t}, chr(13) || chr(10), ''), chr(13)) = 0 THEN md5({unix})
+  ELSE md5(replace({unix}, chr(10), chr(13) || chr(10))) END"""
+_UNIX_SQL = "replace(replace({t}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+_FH2_OF_TEXT = _FH2_SQL.format(t="text", unix=_UNIX_SQL.format(t="text"))
+_HEAD_SQL = f"'file=' || md5(text) || ',' || size || ',' || path || chr(10) || coalesce('fh2=' || {_FH2_OF_TEXT} || chr(10), '')"
+
+
+@query("B8_wfp_heads", f"WITH {TREE_SQL} SELECT path, {_HEAD_SQL} AS wfp FROM tree")
+def _b8h(spark, d):
+    return fingerprints.wfp_blocks(I.tree(spark, d), skip_snippets=True)
 
 
 _LINE_SIZES = "lines AS (SELECT path, i AS line, strlen(l)::BIGINT + 1 AS size FROM (SELECT path, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM files))"
 
 
-@query("D4_wfp_size_cap", f"WITH {FILES_SQL}, {_LINE_SIZES}, t AS (SELECT path, line, sum(size) OVER (PARTITION BY path ORDER BY line) AS total FROM lines) SELECT path, count(*) AS n_lines_kept FROM t WHERE total <= 2048 GROUP BY path")
+@query("D4_wfp_size_cap")
 def _d4(spark, d):
-    lines = I.files(spark, d).select("path", F.posexplode(F.split("text", "\n")).alias("line", "l")).select("path", "line", (F.octet_length("l") + 1).cast("long").alias("size"))
+    return fingerprints.capped_blocks(I.files(spark, d), 2048)
+
+
+@query("D4_capped_lines", f"""WITH {FILES_SQL}, {_LINE_SIZES}, t AS (SELECT path, line, 60 + sum(size) OVER (PARTITION BY path ORDER BY line) - 1 AS total, lead(line) OVER (PARTITION BY path ORDER BY line) IS NULL AS is_last FROM lines)
+SELECT path, count(*) AS n_lines_kept FROM t WHERE CASE WHEN is_last THEN total < 2048 ELSE total <= 2048 END GROUP BY path""")
+def _d4l(spark, d):
+    lines = I.files(spark, d).select("path", F.posexplode(F.split("text", "\n")).alias("line", "l")).select("path", "line", (F.octet_length("l") + 1).cast("long").alias("size"), F.lit(60).alias("head"))
     return batching.capped_lines(lines, 2048).groupBy("path").agg(F.count(F.lit(1)).alias("n_lines_kept"))
 
 
 _EOL = "CASE file_ord % 4 WHEN 1 THEN replace(text, chr(10), chr(13) || chr(10)) WHEN 2 THEN replace(text, chr(10), chr(13)) ELSE text END"
 
 
-@query("D5_fh2_opposite_eol", rf"""WITH {FILES_SQL}, e AS (SELECT path, {_EOL} AS t FROM files), u AS (SELECT path, t, replace(replace(t, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS unix FROM e)
-SELECT path, CASE WHEN strpos(t, chr(10)) = 0 AND strpos(t, chr(13)) = 0 THEN NULL
-  WHEN strpos(t, chr(13) || chr(10)) > 0 AND strpos(replace(t, chr(13) || chr(10), ''), chr(10)) = 0 AND strpos(replace(t, chr(13) || chr(10), ''), chr(13)) = 0 THEN md5(unix)
-  ELSE md5(replace(unix, chr(10), chr(13) || chr(10))) END AS fh2 FROM u""")
+@query("D5_fh2_opposite_eol", f"WITH {FILES_SQL}, e AS (SELECT path, {_EOL} AS t FROM files) SELECT path, {_FH2_SQL.format(t='t', unix=_UNIX_SQL.format(t='t'))} AS fh2 FROM e")
 def _d5(spark, d):
     text = F.when(F.col("file_ord") % 4 == 1, F.replace("text", F.lit("\n"), F.lit("\r\n"))).when(F.col("file_ord") % 4 == 2, F.replace("text", F.lit("\n"), F.lit("\r"))).otherwise(F.col("text"))
     return I.files(spark, d).withColumn("text", text).select("path", C.opposite_eol_md5(F.col("text")).alias("fh2"))
@@ -246,10 +262,15 @@ def _d8(spark, d):
     return fingerprints.wfp_blocks(I.files(spark, d)).select("path", udfs.stripped_snippets(F.col("wfp"), F.array(F.lit("0000"), F.lit("ffff"))).alias("value"))
 
 
-@query("D8_header_strip", f"WITH {FILES_SQL}, {_LINE_SIZES} SELECT path, line::INT AS line FROM lines WHERE line > 3")
+@query("D8_header_strip")
 def _d8h(spark, d):
-    lines = I.files(spark, d).select("path", F.posexplode(F.split("text", "\n")).alias("at", "l"))
-    return lines.select("path", (F.col("at") + 1).alias("line")).filter("line > 3")
+    return fingerprints.wfp_blocks(_with_header(I.files(spark, d)), skip_headers=True)
+
+
+def _with_header(files: DataFrame) -> DataFrame:
+    """Files with some lines of licence, comment and import at their start, by place."""
+    head = F.when(F.col("file_ord") % 3 == 0, "# Copyright\n# All rights reserved\nimport os\n\n").when(F.col("file_ord") % 3 == 1, '"""Notes.\n\nmore\n"""\nfrom a import (\n  b,\n)\n').otherwise("")
+    return files.withColumn("text", F.concat(head, "text"))
 
 
 @query("D9_simhash_words")
@@ -784,8 +805,10 @@ def _p2(spark, d):
 @query("G_batches")
 def _g(spark, d):
     contexts = rules.sbom_contexts(I.files(spark, d), I.rules(spark, "include"), I.rules(spark, "replace"), I.rules(spark, "exclude"))
-    rows = I.files(spark, d).select("file_ord", "size").join(contexts.select("file_ord", F.concat_ws("|", F.array_join("purls", ","), "scan_type").alias("context")), "file_ord")
-    return batching.batches(rows).groupBy("lane", "batch_id").agg(F.count(F.lit(1)).alias("n_files"), F.sum("size").alias("n_bytes"))
+    contexts = contexts.select("file_ord", F.concat_ws("|", F.array_join("purls", ","), "scan_type").alias("context"))
+    sizes = fingerprints.wfp_blocks(I.files(spark, d)).select("path", F.octet_length("wfp").cast("long").alias("size"))
+    rows = I.files(spark, d).select("file_ord", "path").join(sizes, "path").join(contexts, "file_ord")
+    return batching.batches(rows).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_files"), F.sum("size").alias("n_bytes"), F.min("file_ord").alias("first_file"))
 
 
 @query("X_kb_snippet_hits")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarrylens.functions import fixed_values as V
 from quarrylens.session import table
 
 PATH = "concat(source, '/', lang, '/doc_', CAST(doc_id AS STRING), '.py')"
@@ -52,8 +53,7 @@ LICENSES = {
     "de": [("Apache-2.0", "license_file"), ("GPL-3.0-only", None), ("LGPL-2.1-only", "unknown")],
     "es": [],
 }
-#: Copyleft status of licences, as the public lists of obligations give it (fixed values).
-COPYLEFT = {"GPL-2.0-only": "Yes", "GPL-3.0-only": "Yes", "LGPL-2.1-only": "Yes (restricted)", "MIT": "No", "Apache-2.0": "No", "BSD-2-Clause": "No", "ISC": "No", "MPL-2.0": "Yes (restricted)", "OFL-1.1": "Questionable"}
+COPYLEFT = {**dict.fromkeys(V.COPYLEFT_YES, "Yes"), **dict.fromkeys(V.COPYLEFT_RESTRICTED, "Yes (restricted)"), **dict.fromkeys(V.COPYLEFT_QUESTIONABLE, "Questionable"), **dict.fromkeys(V.COPYLEFT_NO, "No")}
 #: Rules on bills of materials: order, kind, path, purl, replacement, licence.
 RULES = [
     (0, "include", None, "pkg:github/org/src1", None, None),
