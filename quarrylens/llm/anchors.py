@@ -7,6 +7,8 @@ places. Neighbouring windows mostly share their anchor; such a run is a segment.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 from quarrylens.llm.words import mixed
@@ -35,26 +37,78 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[: len(out) - (width - have)], out[width - have :]) if have < width else out
 
 
-def segments(raw: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(row, first window, last window, anchor, hash of the anchor's gram)`` of every segment of a block
-    of texts; places are those in the block."""
-    empty = np.zeros(0, np.int64)
+#: Bits of a place within a block: blocks and pieces of long texts have fewer bytes.
+PLACE_BITS, PIECE = 23, 1 << 22
+#: Periods of texts whose windows are known to repeat without being sorted, and the distance of the places where they are looked for.
+PERIODS, STEP = 16, 32
+
+
+def periodic(raw: np.ndarray, offsets: np.ndarray, length: int) -> np.ndarray:
+    """Windows that equal the one at most ``PERIODS`` bytes before them in the same text: ``(first, last)`` rows of places.
+
+    A text of one letter, or of a short pattern over and over, has an anchor for nearly every byte; its windows are
+    told by comparing the text with itself, moved by each period. Where a window has a period, so has each of its bytes, so
+    every ``STEP``-th byte is looked at first."""
+    found = []
+    for period in range(1, PERIODS + 1):
+        n = len(raw) - period
+        if n < length:
+            break
+        seen = np.flatnonzero(raw[:n:STEP] == raw[period::STEP][: -(-n // STEP)]) * STEP
+        # the same of the bytes after it, up to the next place looked at
+        for more in (1, 2, 3, 5, 8, 13, 21, 31):
+            seen = seen[seen + more < n]
+            seen = seen[raw[seen + more] == raw[seen + more + period]]
+        k = 0
+        while k < len(seen):
+            at = int(seen[k])
+            # the text's bounds; both the window and the one before it lie inside
+            row = int(np.searchsorted(offsets, at, "right")) - 1
+            begin, end = int(offsets[row]), int(offsets[row + 1]) - period
+            if at >= end:
+                k += 1
+                continue
+            lo = at - _run(raw[begin:at][::-1], raw[begin + period : at + period][::-1])
+            hi = at + _run(raw[at:end], raw[at + period : end + period])
+            k = max(k + 1, int(np.searchsorted(seen, hi)))
+            if hi - lo >= length:
+                found.append((lo + period, hi - length + period))
+    return np.array(found, np.int64).reshape(-1, 2)
+
+
+def _run(a: np.ndarray, b: np.ndarray) -> int:
+    """Number of equal bytes at the beginning; looked at in growing steps."""
+    at, width = 0, 256
+    while at < len(a):
+        differ = np.flatnonzero(a[at : at + width] != b[at : at + width])
+        if len(differ):
+            return at + int(differ[0])
+        at, width = at + width, width * 4
+    return len(a)
+
+
+def segments(raw: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """``(row, first window, last window, anchor, hash of the anchor's gram)`` of the segments of a block
+    of texts; places are those in the block. Windows that :func:`periodic` knows are left out.
+
+    A block longer than ``PIECE`` is one text; it is taken in pieces, so that memory stays bounded. Segments end at a piece's end."""
     n = len(raw)
-    if n < length:
-        return empty, empty, empty, empty, np.zeros(0, np.uint64)
-    values = gram_values(raw, gram)
-    bits = np.uint64(int(n).bit_length())
-    places = np.arange(len(values), dtype=np.uint64)
-    ranked = (values >> bits << bits) | places
-    least = sliding_min(ranked, length - gram + 1)  # one value for each window
-    windows = np.arange(len(least))
-    row = np.searchsorted(offsets, windows, "right") - 1
-    inside = windows + length <= offsets[row + 1]
-    anchor = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    starts = inside.copy()
-    starts[1:] &= ~inside[:-1] | (anchor[1:] != anchor[:-1])
-    first = np.flatnonzero(starts)
-    last_in_row = inside.copy()
-    last_in_row[:-1] &= ~inside[1:] | (anchor[1:] != anchor[:-1])
-    last = np.flatnonzero(last_in_row)
-    return row[first], first, last, anchor[first], values[anchor[first]]
+    known = periodic(raw, offsets, length)
+    for begin in range(0, max(n - length + 1, 0), PIECE):
+        part = raw[begin : begin + PIECE + length - 1]
+        values = gram_values(part, gram)
+        bits = np.uint64(PLACE_BITS)
+        ranked = (values >> bits << bits) | np.arange(len(values), dtype=np.uint64)
+        least = sliding_min(ranked, length - gram + 1)  # one value for each window
+        windows = np.arange(begin, begin + len(least))
+        row = np.searchsorted(offsets, windows, "right") - 1
+        inside = windows + length <= offsets[row + 1]
+        for lo, hi in known.tolist():
+            inside[max(lo - begin, 0) : max(hi + 1 - begin, 0)] = False
+        anchor = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        starts, stops = inside.copy(), inside.copy()
+        change = anchor[1:] != anchor[:-1]
+        starts[1:] &= ~inside[:-1] | change
+        stops[:-1] &= ~inside[1:] | change
+        first, last = np.flatnonzero(starts), np.flatnonzero(stops)
+        yield row[first], first + begin, last + begin, anchor[first] + begin, values[anchor[first]]

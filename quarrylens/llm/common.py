@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarrylens.session import checkpoint_folder, checkpointed
+
+__all__ = ["BLANKS", "checkpoint_folder", "checkpointed", "documents", "free_name", "looked_up", "shuffle_partitions", "text_of"]
+
 #: Java regular expression of a run of the six ASCII white-space bytes.
 BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -28,24 +30,6 @@ def free_name(df: DataFrame, stem: str) -> str:
     return stem
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder, which all executors share.
-
-    The cluster names it in ``spark.checkpoint.dir``; only where neither that nor an earlier call has
-    set one (local tests) a temporary folder is used.
-    """
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
-    return context._jsc.sc().getCheckpointDir().get()
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, with its lineage cut."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

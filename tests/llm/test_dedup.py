@@ -148,11 +148,17 @@ def test_merge_never_loses_order():
             before = s
 
 
-def test_anchors_depend_on_the_window_alone():
+def all_segments(raw, offsets):
+    return [np.concatenate(x) for x in zip(*anchors.segments(raw, offsets, 100, 32), strict=True)]
+
+
+@pytest.mark.parametrize("piece", [1 << 22, 300])
+def test_anchors_depend_on_the_window_alone(piece, monkeypatch):
+    monkeypatch.setattr(anchors, "PIECE", piece)
     rng = np.random.default_rng(1)
     raw = rng.integers(97, 100, 4000).astype(np.uint8)
     offsets = np.array([0, 1500, 1550, 4000])
-    row, first, last, anchor, value = anchors.segments(raw, offsets, 100, 32)
+    row, first, last, anchor, value = all_segments(raw, offsets)
     seen = {}
     for r, a, b, c, v in zip(row, first, last, anchor, value, strict=True):
         assert offsets[r] <= a <= b <= c <= offsets[r + 1] - 32 and b + 100 <= offsets[r + 1]
@@ -162,6 +168,31 @@ def test_anchors_depend_on_the_window_alone():
     assert len({p for a, b in zip(first, last, strict=True) for p in range(a, b + 1)}) == 1500 - 99 + 2450 - 99
 
 
+def test_periodic_windows_are_those_that_repeat_a_few_bytes_before():
+    rng = random.Random(2)
+    for _ in range(60):
+        texts = []
+        for _ in range(rng.randrange(1, 5)):
+            parts = [bytes(rng.choice(b"abc") for _ in range(rng.choice([1, 3, 20, 150]))) for _ in range(rng.randrange(4))]
+            parts += [bytes(rng.choice(b"abc") for _ in range(rng.randrange(1, 19))) * rng.choice([1, 9, 40, 130]) for _ in range(rng.randrange(3))]
+            rng.shuffle(parts)
+            texts.append(b"".join(parts))
+        raw = np.frombuffer(b"".join(texts), np.uint8)
+        offsets = np.cumsum([0, *map(len, texts)])
+        found = {p for lo, hi in anchors.periodic(raw, offsets, 100).tolist() for p in range(lo, hi + 1)}
+        expected = set()
+        for t, base in zip(texts, offsets.tolist(), strict=False):
+            expected |= {base + j for j in range(len(t) - 99) for p in range(1, 17) if j >= p and t[j : j + 100] == t[j - p : j - p + 100]}
+        assert found == expected
+
+
+def test_a_long_text_of_one_letter_has_few_segments():
+    raw = np.full(5_000_000, 120, np.uint8)
+    assert len(all_segments(raw, np.array([0, len(raw)]))[0]) == 1
+    raw = np.frombuffer(b"ab" * 2_500_000, np.uint8)
+    assert len(all_segments(raw, np.array([0, len(raw)]))[0]) <= 2
+
+
 def substring_brute(rows, length):
     """Documents in order of id, each with its result."""
     seen, out = set(), {}
@@ -183,13 +214,59 @@ def substring_found(docs, **options):
     return [(r[0], tuple(r)[1:]) for r in rows.collect()]
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_substrings(seed, docs_of, monkeypatch):
-    monkeypatch.setattr(substring_dedup, "RUN_BYTES", 2000)  # several runs
-    rng = random.Random(seed)
+@pytest.mark.parametrize("options", [{}, {"run_bytes": 2000, "bucket_bytes": 1000}, {"hot": 2, "run_bytes": 3000}])
+def test_substrings(options, docs_of):
+    rng = random.Random(len(options))
     passages = ["".join(rng.choice("abcdé \n") for _ in range(rng.choice([30, 99, 100, 101, 400]))) for _ in range(6)] + ["ab" * 150, "x" * 260]
     rows = [(i, "".join(rng.choice(passages + ["".join(rng.choice("abcd") for _ in range(80))]) for _ in range(rng.randrange(5)))) for i in rng.sample(range(900), 40)]
-    assert dict(substring_found(docs_of(rows).repartition(5))) == substring_brute(rows, 100)
+    assert dict(substring_found(docs_of(rows).repartition(5), **options)) == substring_brute(rows, 100)
+
+
+@pytest.mark.parametrize("options", [{}, {"hot": 20}])
+def test_substrings_at_the_edges_of_a_passage_in_all_documents(options, docs_of):
+    rng = random.Random(4)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = noise(220)
+    rows = [(i, noise(60) + passage[: rng.choice([220, 150])] + noise(60)) for i in range(150)]
+    assert dict(substring_found(docs_of(rows).repartition(4), **options)) == substring_brute(rows, 100)
+
+
+def test_substrings_of_texts_of_one_letter(docs_of):
+    rows = [(1, "x" * 5_000_000), (2, "y" * 300 + "x" * 150), (3, "xy" * 400_000)]
+    found = dict(substring_found(docs_of(rows)))
+    assert found[1][:3] == (5_000_000, 5_000_000 - 1, 1) and found[3][1] == 800_000 - 2
+    assert found[2][:3] == (450, 449, 1)
+
+
+def test_a_group_of_strings_with_one_anchor():
+    """Pairs and larger groups give the windows that a table of all windows gives."""
+    rng = random.Random(8)
+    for size in (2, 3, 6, 7, 20):
+        for _ in range(30):
+            texts, strings = {}, set()
+            for k in range(size):
+                left, right = rng.randrange(69), rng.randrange(32, 101)
+                if left + right < 100:
+                    continue
+                before = "".join(rng.choice("ab") if rng.random() < 0.05 else "a" for _ in range(left))
+                after = "g" * 32 + "".join(rng.choice("ab") if rng.random() < 0.05 else "a" for _ in range(right - 32))
+                string = (after + before[::-1]).encode() + left.to_bytes(2, "big")
+                if string not in strings:
+                    strings.add(string)
+                    texts[string] = (before + after, left, (k * 7 % 5, 0, 1000 * k))
+            group, last = [], b""
+            for s in sorted(texts):
+                group.append([s, texts[s][1], texts[s][2], string_merge.common_prefix(last, s)])
+                last = s
+            found = []
+            substring_dedup._compare(group, 100, found)
+            first, expected = {}, set()
+            windows = [(place[0], place[2] + p, text[p : p + 100]) for text, _, place in texts.values() for p in range(len(text) - 99)]
+            for doc, start, window in sorted(windows):
+                if window in first and first[window] != (doc, start):
+                    expected |= {(doc, start + q) for q in range(100)}
+                first.setdefault(window, (doc, start))
+            assert {(doc, q) for doc, _, a, b in found for q in range(a, b)} == expected
 
 
 def test_substrings_of_real_documents(real):
