@@ -375,13 +375,16 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            given: list[list[tuple]] = [[(x["start"], x["stop"]) for x in found or ()] for found in batch.column(3).to_pylist()]
+            for row0, raw, offsets in blocks(batch.column(2)):
+                for lo, hi in periodic(raw, offsets, length).tolist():
+                    row = int(np.searchsorted(offsets, lo, "right")) - 1
+                    given[row0 + row].append((lo - int(offsets[row]), hi - int(offsets[row]) + length))
             doc, sizes, removed, counts, lists, kept = ([] for _ in range(6))
-            for d, text, given in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
+            for d, text, spans_ in zip(batch.column(0).to_pylist(), batch.column(2), given, strict=True):
                 raw = text.as_py().encode()
                 runs, out, at = [], [], 0
-                bytes_ = np.frombuffer(raw, np.uint8)
-                periods = [(lo, hi + length) for lo, hi in periodic(bytes_, np.array([0, len(raw)]), length).tolist()]
-                for x in sorted([*((s["start"], s["stop"]) for s in given.as_py() or ()), *periods]):
+                for x in sorted(spans_):
                     if runs and x[0] <= runs[-1][1]:
                         runs[-1][1] = max(runs[-1][1], x[1])
                     else:

@@ -130,6 +130,28 @@ def test_densified_signatures_estimate_similarity():
     assert [len(s) for s in shingles.shingle_sets(pa.array(["", "  ", "a", "A b c d", "a b c d e", "a b c d e f"]))] == [0, 0, 1, 1, 1, 2]
 
 
+def test_rows_for_a_bucket_of_many_members(spark):
+    """The largest star isn't sent to all blocks: rows grow with the members, not with their square."""
+    members = spark.range(20_000).selectExpr("1L AS key", "0L AS centre", "id AS rep", "100L AS n_shingles", "20000L AS size")
+    stars = spark.range(1, 19_900).selectExpr("id AS rep", "0L AS star")  # the last 100 are stars of their own
+    classes = spark.range(20_000).selectExpr("id AS rep", "CAST('' AS BINARY) AS sketch")
+    found = near_dedup._met_blocks(members, stars, classes)
+    assert found.filter("star = 0").count() == 19_900
+    assert found.filter("star <> 0").count() == 100 * (1 + -(-19_900 // near_dedup.BLOCK))
+    assert found.groupBy("i", "j").count().agg(F.max("count")).first()[0] < 2 * near_dedup.BLOCK
+    pairs = spark.range(1, 5000).selectExpr("0L AS a", "id AS b")
+    blocks = near_dedup._star_blocks(pairs)
+    assert blocks.filter("rep = 0").count() == 20 and blocks.count() == 4999 + 20
+
+
+def test_near_of_a_long_text_and_repeated_ids(docs_of):
+    long = " ".join(f"w{k * 7919 % 10007}" for k in range(40_000))
+    rows = [(1, long), (2, long + " and some more words at the end"), (3, "other text of a few words only here"), (3, long), (4, long.replace("w5", "x5")), (5, "other text of a few words only here")]
+    found = {(r.doc_id, r.n_shingles > 100): r.component_id for r in near_dedup.near_dedup(docs_of(rows)).collect()}
+    assert found[1, True] == found[2, True] == found[3, True] == 1
+    assert found[3, False] == found[5, False]
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(0, 120)] + [(500, 501), (700, 700)], "a long, b long")
     found = {r.node: r.component for r in components.components(links).collect()}
