@@ -11,7 +11,8 @@ small labelled table ``LABELLED`` when the operator is called, so a call with an
 Character references are decoded, white space inside a block becomes one space, and blocks are joined by two line feeds.
 
 Defined results: a null or empty page has an empty text; markup that isn't closed, or is cut off, is read as far as it goes; a
-less-than sign that begins no tag is text; repeated rows give repeated rows; texts of any length are read as a whole.
+less-than sign that begins no tag is text; repeated rows give repeated rows; texts of any length are read as a whole, in time linear in
+the page; an empty table gives an empty table; other columns of ``pages``, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -200,18 +201,9 @@ ASIDE_NAMES = frozenset(
     "disqus footer form gdpr header login masthead menu menubar nav navbar navigation newsletter notice notification outbrain pager pagination "
     "popup promo promoted related search share sharing sidebar signup skip social sponsor sponsored subscribe subscription taboola toolbar widget".split()
 )
-_ATTRIBUTES = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+"
-_TOKEN = re.compile(
-    rf"<!--(?P<comment>.*?)(?:-->|\Z)|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attributes>{_ATTRIBUTES})>|<[!?/][^>]*(?:>|\Z)|<[A-Za-z/][^<>]*(?:>|\Z)",
-    re.IGNORECASE | re.DOTALL,
-)
 #: A slash that closes an element at its start tag, and isn't the end of a bare value.
 _CLOSED = re.compile(r"(?:\A[^=]*|[\s\"'])/\Z")
 _END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.IGNORECASE) for name in TEXT_ONLY}
-_SAME = {
-    name: re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<skipped>script|style)(?=[\s/>]){_ATTRIBUTES}>.*?(?:</(?P=skipped)(?=[\s/>])[^>]*>|\Z)|<(?P<end>/?){name}(?=[\s/>])(?P<attributes>{_ATTRIBUTES})>", re.IGNORECASE | re.DOTALL)
-    for name in RAW - TEXT_ONLY
-}
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _NAME_PART = re.compile(r"[A-Za-z]+")
 SCHEMA = "page_id long, url string, text string"
@@ -250,36 +242,118 @@ def _aside_name(attributes: str, names: frozenset = ASIDE_NAMES) -> int:
     return found
 
 
-def _ends(page: str, name: str, at: int) -> dict[int, int]:
+@dataclass
+class Tag:
+    """What stands at a less-than sign: a tag, or (without a name) a comment or other markup."""
+
+    start: int
+    stop: int
+    name: str = ""
+    end: bool = False
+    attributes: str = ""
+
+
+class Scanner:
+    """Markup of a page, one piece after the other, in time linear in the page: what is known of the place where something
+    comes next, or that a tag isn't closed, is kept for the tries that follow."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last_close = page.rfind(">")
+        self._known = {kind: (0, -1) for kind in self._NEXT}
+        self._open_from: set[int] = set()  # quotes that, met outside of quotes, lead to no end of the tag
+
+    _NEXT = {"name": re.compile(r"[\s/>]"), "special": re.compile(r"[>\"']"), "angle": re.compile(r"[<>]")}
+
+    def _next(self, kind: str, at: int) -> int:
+        """The next place from ``at`` on with a character of this kind, or the page's length."""
+        low, found = self._known[kind]
+        if not low <= at <= found:
+            m = self._NEXT[kind].search(self.page, at)
+            found = m.start() if m else len(self.page)
+            self._known[kind] = at, found
+        return found
+
+    def _tag_stop(self, at: int) -> int:
+        """The place after the ``>`` that ends a tag whose attributes begin at ``at``; -1 if it has no end. A ``>`` in quotes is no end."""
+        page, tried = self.page, []
+        while (q := self._next("special", at)) < len(page):
+            if page[q] == ">":
+                return q + 1
+            if q in self._open_from:
+                break
+            tried.append(q)
+            if (closing := page.find(page[q], q + 1)) < 0:
+                break
+            at = closing + 1
+        self._open_from.update(tried)
+        return -1
+
+    def tag(self, at: int) -> Tag | None:
+        """The next markup from ``at`` on."""
+        page = self.page
+        while (p := page.find("<", at)) >= 0:
+            if page.startswith("<!--", p):
+                stop = page.find("-->", p + 4)
+                return Tag(p, len(page) if stop < 0 else stop + 3)
+            end = page.startswith("/", p + 1)
+            letter = page[p + 1 + end : p + 2 + end]
+            if letter.isascii() and letter.isalpha():
+                name = self._next("name", p + 2 + end)
+                stop = self._tag_stop(name)
+                if stop >= 0:
+                    return Tag(p, stop, page[p + 1 + end : name].lower(), end, page[name : stop - 1])
+            if page[p + 1 : p + 2] in ("!", "?", "/"):
+                stop = page.find(">", p + 2)
+                return Tag(p, len(page) if stop < 0 else stop + 1)
+            if letter.isascii() and letter.isalpha():
+                stop = self._next("angle", p + 1)
+                if stop == len(page) or page[stop] == ">":
+                    return Tag(p, min(stop + 1, len(page)))
+            at = p + 1
+        return None
+
+    def text_end(self, name: str, at: int) -> int:
+        """The place after the next end tag ``name``, or -1."""
+        m = _END[name].search(self.page, at, self.last_close + 1)
+        return m.end() if m else -1
+
+
+def _ends(scanner: Scanner, name: str, at: int) -> dict[int, int]:
     """Where the elements ``name`` that start from ``at`` on end, by their start; those without an end tag are absent."""
     found, open_at = {}, []
-    for m in _SAME[name].finditer(page, at):
-        if m["end"]:
+    while (m := scanner.tag(at)) is not None:
+        at = m.stop
+        if m.name in ("script", "style") and not m.end:
+            stop = scanner.text_end(m.name, at)
+            at = stop if stop >= 0 else len(scanner.page)
+        elif m.name != name:
+            continue
+        elif m.end:
             if open_at:
-                found[open_at.pop()] = m.end()
-        elif m["end"] is not None and not _CLOSED.search(m["attributes"]):
-            open_at.append(m.start())
+                found[open_at.pop()] = m.stop
+        elif not _CLOSED.search(m.attributes):
+            open_at.append(m.start)
     return found
 
 
-def _after_raw(page: str, m: re.Match, ends: dict[str, dict[int, int] | None]) -> int:
+def _after_raw(scanner: Scanner, m: Tag, ends: dict[str, dict[int, int] | None]) -> int:
     """Where to read on after the start tag ``m`` of a raw element: after its end tag, or after the start tag if there is none.
 
     Only scripts and styles without an end tag reach to the end of the page. ``ends`` keeps what is known of the page."""
-    name = m["name"].lower()
-    if name in ("script", "style"):
-        end = _END[name].search(page, m.end())
-        return end.end() if end else len(page)
-    if _CLOSED.search(m["attributes"]):
-        return m.end()
-    if name in TEXT_ONLY:
-        end = _END[name].search(page, m.end()) if name not in ends else None
-        if end is None:
-            ends[name] = None
-        return end.end() if end else m.end()
-    if name not in ends:
-        ends[name] = _ends(page, name, m.start())
-    return ends[name].get(m.start(), m.end())
+    if m.name in ("script", "style"):
+        stop = scanner.text_end(m.name, m.stop)
+        return stop if stop >= 0 else len(scanner.page)
+    if _CLOSED.search(m.attributes):
+        return m.stop
+    if m.name in TEXT_ONLY:
+        stop = scanner.text_end(m.name, m.stop) if m.name not in ends else -1
+        if stop < 0:
+            ends[m.name] = None
+        return stop if stop >= 0 else m.stop
+    if m.name not in ends:
+        ends[m.name] = _ends(scanner, m.name, m.start)
+    return ends[m.name].get(m.start, m.stop)
 
 
 def text_blocks(page: str) -> list[tuple[Block, str]]:
@@ -303,35 +377,47 @@ def text_blocks(page: str) -> list[tuple[Block, str]]:
                 block.linked.append(text)
 
     ends: dict[str, dict[int, int] | None] = {}
-    while m := _TOKEN.search(page, at):
-        add(page[at : m.start()])
-        at = m.end()
-        if not (name := (m["name"] or "").lower()):
+    opened: dict[str, int] = {}  # open elements by name
+
+    def pop() -> str:
+        gone = stack.pop()[0]
+        opened[gone] -= 1
+        return gone
+
+    def push(name: str, *place) -> None:
+        stack.append((name, *place))
+        opened[name] = opened.get(name, 0) + 1
+
+    scanner = Scanner(page)
+    while m := scanner.tag(at):
+        add(page[at : m.start])
+        at = m.stop
+        if not (name := m.name):
             continue
         if name in RAW:
-            if not m["end"]:
-                at = _after_raw(page, m, ends)
+            if not m.end:
+                at = _after_raw(scanner, m, ends)
             if name in ("title", "noscript", "textarea", "select"):
                 close()
             continue
         if name == "a":
-            link = 0 if m["end"] else 1
+            link = 0 if m.end else 1
             continue
         if name in INLINE:
             if name in ("br", "img", "wbr"):
                 add(" ")
-            elif not m["end"] and name == "span" and "=" in m["attributes"] and (besides := _aside_name(m["attributes"])):
+            elif not m.end and name == "span" and "=" in m.attributes and (besides := _aside_name(m.attributes)):
                 article, aside, within = stack[-1][1:] if stack else (False, 0, 0)
-                stack.append((name, article, max(aside, besides), within))
+                push(name, article, max(aside, besides), within)
                 close()
-            elif m["end"] and stack and stack[-1][0] == name:
-                stack.pop()
+            elif m.end and stack and stack[-1][0] == name:
+                pop()
                 close()
             continue
         link = 0
-        if m["end"]:
-            if any(s[0] == name for s in stack):
-                while stack.pop()[0] != name:
+        if m.end:
+            if opened.get(name):
+                while pop() != name:
                     pass
             close()
         elif name in VOID:
@@ -340,23 +426,23 @@ def text_blocks(page: str) -> list[tuple[Block, str]]:
             if name in PLAIN:
                 # an element that may be left open ends one of its kind that has no other element inside
                 while stack and stack[-1][0] in PLAIN and (stack[-1][0] == name or name in ("p", "li")):
-                    stack.pop()
+                    pop()
             elif name not in ("body", "html") and stack and stack[-1][0] == "p":
-                stack.pop()
+                pop()
             article, aside, within = stack[-1][1:] if stack else (False, 0, 0)
-            named = "=" in m["attributes"]
+            named = "=" in m.attributes
             if name in ARTICLE:
                 # an article in an element with part of such a name, or in a form, shows that this is a wrapper; <main> does so in any
-                aside = max(aside if aside == 2 and name != "main" else 0, _aside_name(m["attributes"], NOT_ARTICLE) if named else 0)
+                aside = max(aside if aside == 2 and name != "main" else 0, _aside_name(m.attributes, NOT_ARTICLE) if named else 0)
                 article = article or not aside
             elif name in ASIDE or (named and name not in ("body", "html")):
                 # the header of an article is part of it
                 names = ASIDE_NAMES - {"header"} if article else ASIDE_NAMES
                 of_element = 0 if name not in ASIDE or (name == "header" and article) else 1 if name == "form" else 2
-                aside = max(aside, of_element, _aside_name(m["attributes"], names) if named else 0)
+                aside = max(aside, of_element, _aside_name(m.attributes, names) if named else 0)
             if name in LISTS and not within:
                 lists = within = lists + 1
-            stack.append((name, article, aside, within))
+            push(name, article, aside, within)
             close(len(name) == 2 and name[0] == "h" and name[1] in "123456")
     add(page[at:])
     close()

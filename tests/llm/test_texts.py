@@ -351,3 +351,24 @@ def test_pages(spark):
         assert found[r.page_id] == "\n\n".join(p for p in parts if p)
     odd = spark.createDataFrame([(1, None, None), (None, "u", "<p>x")], "page_id long, url string, html string")
     assert {(r.page_id, r.url) for r in html_text.extracted(odd).collect()} == {(1, None), (None, "u")}
+
+
+@pytest.mark.parametrize("piece", ["<a b ", "<div>", "<div></span></p>", "<a \"'", "<a b='", "<", "</script x", "<svg x", "<svg>", "<!-- <", "<ul><li>x"])
+def test_a_megabyte_of_broken_markup_takes_a_moment(piece):
+    import time
+
+    tree = html_text.grown(*html_text.labelled())
+    began = time.perf_counter()
+    html_text.main_text(piece * (1_000_000 // len(piece)), tree)
+    html_text.main_text("<svg><article>" + piece * (1_000_000 // len(piece)) + ">", tree)
+    assert time.perf_counter() - began < 12
+
+
+def test_pages_repeated_clashing_and_none(spark):
+    long = "<html><body><div>" + "".join(f"<p>Paragraph {k} of a long page with quite a few words in each of its paragraphs.</p>" for k in range(20_000)) + "</div></body></html>"
+    rows = [(1, "u", "<p>" + "some words of a paragraph that is long enough to stay " * 2 + "</p>"), (1, "u", "<p>" + "some words of a paragraph that is long enough to stay " * 2 + "</p>"), (None, None, None), (2, "v", long)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "url AS text", "url AS n_chars")
+    found = sorted((r.page_id or 0, r.text) for r in html_text.extracted(pages).collect())
+    assert found[0] == (0, "") and found[1] == found[2] and found[1][1].startswith("some words")
+    assert found[3][1].count("\n\n") == 19_999
+    assert html_text.extracted(pages.filter("false")).count() == 0
