@@ -29,7 +29,8 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = quality_rules.quality(_table(spark, sf_dir, "documents"))
+    docs = _table(spark, sf_dir, "documents")
+    found = quality_rules.quality(docs, references=quality_rules.fitted(docs, _table(spark, sf_dir, "labels")))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
@@ -80,22 +81,18 @@ FROM d
 
 def _quality_sql() -> str:
     q = quality_rules
-    classes = q.class_reference()
-
-    def jsd(counts: list[str], total: str, shares: list[float]) -> str:
-        terms = []
-        for count, share in zip(counts, shares, strict=True):
-            p = f"(({count})::DOUBLE / {total})"
-            m = f"(({p} + {share}) / 2)"
-            terms.append(f"(CASE WHEN ({count}) > 0 THEN {p} * ln({p} / {m}) ELSE 0 END + {share} * ln({share} / {m}))")
-        return f"(({' + '.join(terms)}) / (2 * ln(2)))"
-
-    by_lang = " ".join(
-        f"WHEN lang = '{lang}' THEN {jsd([f'list_count_{lang}_{k}' for k in range(len(w.split()))] + [f'other_{lang}'], 'n_words', q.word_reference(len(w.split())))}" for lang, w in q.COMMON.items()
-    )
-    counts = ", ".join(f"len(list_filter(bare, lambda w: w = '{x}')) AS list_count_{lang}_{k}" for lang, w in q.COMMON.items() for k, x in enumerate(w.split()))
-    others = ", ".join(f"n_words - ({' + '.join(f'list_count_{lang}_{k}' for k in range(len(w.split())))}) AS other_{lang}" for lang, w in q.COMMON.items())
+    n_classes, general = len(q.CLASSES) + 1, q.general()
+    listed = {lang: words.split() for lang, words in q.COMMON.items()}
+    counts = "CASE lang " + " ".join(f"WHEN '{lang}' THEN [{', '.join(f'len(list_filter(words, lambda w: w = {chr(39)}{w}{chr(39)}))' for w in words)}]" for lang, words in listed.items()) + " END"
+    langs = ", ".join(f"('{lang}', {general[lang][0]}::DOUBLE[], {general[lang][1]}::DOUBLE[])" for lang in listed)
     gone = lambda p: f"(length(text) - length(regexp_replace(text, '{p}', '', 'g')))"
+
+    def distance(counts: str, shares: str, total: str) -> str:
+        p, m, share = f"({counts}[i] / {total}::DOUBLE)", f"(({counts}[i] / {total}::DOUBLE + {shares}[i]) / 2)", f"{shares}[i]"
+        term = f"CASE WHEN {counts}[i] > 0 THEN {p} * ln({p} / {m}) ELSE 0 END + CASE WHEN {share} > 0 THEN {share} * ln({share} / {m}) ELSE 0 END"
+        return f"sqrt(greatest(list_sum(list_transform(range(1, len({shares}) + 1), lambda i: {term})) / (2 * ln(2)), 0))"
+
+    allowed = lambda limit, bins, total: f"sqrt({limit * limit} + {q.NOISE} * {bins - 1} / (8 * ln(2)) / {total})"
     return rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text FROM documents
@@ -108,22 +105,30 @@ WITH d AS (
   SELECT rid, count(DISTINCT p + o) AS n_repeat_words
   FROM (SELECT rid, p FROM (SELECT rid, p, count(*) OVER (PARTITION BY rid, gram) AS c FROM g) WHERE c > 1), range(5) t(o) GROUP BY rid
 ), m AS (
-  SELECT w.rid, doc_id, lang, text, len(words) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+  SELECT w.rid, doc_id, lang, text, words, len(words) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
          {gone(r'[#*$%&|<>]')} AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
          coalesce(n_repeat_words, 0) AS n_repeat_words, length(text) AS n_chars,
-         {gone(r'\p{Lu}')} AS upper, {gone('[0-9]')} AS digit, {gone(r'[.,;:!?' + "''" + r'"()-]')} AS punct,
-         list_transform(words, lambda x: lower(regexp_replace(x, '[.,;:!?''"()-]+$', ''))) AS bare
+         {gone(r'\p{Lu}')} AS upper, {gone('[0-9]')} AS digit, {gone(r'[.,;:!?' + "''" + r'"()-]')} AS punct, {counts} AS common
   FROM w LEFT JOIN r ON w.rid = r.rid
-), c AS (SELECT *, n_chars - word_chars AS space, {counts} FROM m
-), o AS (SELECT *, n_chars - upper - digit - punct - n_symbols - space AS rest, {others} FROM c
+), c AS (
+  SELECT *, [upper, digit, punct, n_symbols, n_chars - word_chars, word_chars - upper - digit - punct - n_symbols] AS classes,
+         list_append(common, n_words - list_sum(common)::BIGINT) AS bins FROM m
+), good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL ORDER BY doc_id LIMIT {q.SAMPLE}
+), s AS (
+  SELECT lang, sum(n_words) AS all_words, sum(n_chars) AS all_chars, [{', '.join(f'sum(classes[{k + 1}])' for k in range(n_classes))}] AS all_classes,
+         [{', '.join(f'sum(bins[{k + 1}])' for k in range(max(map(len, listed.values())) + 1))}] AS all_bins
+  FROM c WHERE doc_id IN (SELECT doc_id FROM good) GROUP BY lang
+), f AS (
+  SELECT g.lang, CASE WHEN all_words >= {q.MIN_FITTED} THEN list_transform(all_classes, lambda x: x / all_chars::DOUBLE) ELSE general_classes END AS class_shares,
+         CASE WHEN all_words >= {q.MIN_FITTED} THEN list_transform(all_bins, lambda x: x / all_words::DOUBLE) ELSE general_bins END AS bin_shares
+  FROM (VALUES {langs}) g(lang, general_classes, general_bins) LEFT JOIN s ON g.lang = s.lang
 ), v AS (
-  SELECT *, CASE WHEN n_chars >= {q.MIN_CHARS} THEN {jsd(['upper', 'digit', 'punct', 'n_symbols', 'space', 'rest'], 'n_chars', classes)} ELSE 0 END AS class_jsd,
-         CASE WHEN n_words >= {q.MIN_WORDS} THEN CASE {by_lang} ELSE 0 END ELSE 0 END AS word_jsd,
+  SELECT c.*, CASE WHEN n_chars >= {q.MIN_CHARS} THEN {distance('classes', f'coalesce(class_shares, {general[None][0]}::DOUBLE[])', 'n_chars')} > {allowed(q.MAX_CLASS_DISTANCE, n_classes, 'n_chars')} ELSE false END
+           OR CASE WHEN n_words >= {q.MIN_WORDS} AND bin_shares IS NOT NULL THEN {distance('bins', 'bin_shares', 'n_words')} > {allowed(q.MAX_WORD_DISTANCE, max(map(len, listed.values())) + 1, 'n_words')} ELSE false END AS unlike,
          n_words < {q.MIN_WORDS_BASE} OR 100 * n_repeat_words > {q.REPEAT_PERCENT} * n_words AS base_failed
-  FROM o
+  FROM c LEFT JOIN f ON c.lang = f.lang
 )
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
-       n_repeat_words::BIGINT AS n_repeat_words, base_failed,
-       NOT base_failed AND class_jsd <= {q.MAX_CLASS_JSD} AND word_jsd <= {q.MAX_WORD_JSD} AS kept
+       n_repeat_words::BIGINT AS n_repeat_words, base_failed, NOT base_failed AND NOT unlike AS kept
 FROM v
 """

@@ -2,6 +2,7 @@
 
 import hashlib
 import html
+import math
 import random
 import re
 import zlib
@@ -164,20 +165,53 @@ def test_quality_measures(table, request):
     assert sorted(map(repr, found)) == sorted(map(repr, ((i, *quality_brute(t)) for i, t in text_rows(docs))))
 
 
+def distance_brute(counts, shares):
+    total, out = sum(counts), 0.0
+    for c, share in zip(counts, shares, strict=True):
+        p = c / total
+        out += sum(x * math.log2(x / ((p + share) / 2)) / 2 for x in (p, share) if x > 0)
+    return math.sqrt(max(out, 0))
+
+
 def test_quality_verdicts(spark, docs_of):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
-    judged = quality_rules.quality(docs).join(labels, "doc_id").toPandas()
+    references = quality_rules.fitted(docs, labels)
+    judged = quality_rules.quality(docs, references=references).join(labels, "doc_id").toPandas()
     judged = judged[~judged.base_failed]
-    assert judged[judged.quality == 1].kept.mean() > 0.995
+    assert judged[judged.quality == 1].kept.mean() > 0.99
     assert judged[judged.quality == 0].kept.mean() < 0.1
     assert quality_rules.keep_good(docs).columns == docs.columns
     assert quality_rules.keep_good(docs_of([])).count() == 0
-
-
-def test_quality_repeats_of_a_very_long_text_need_no_positions(docs_of):
-    text = " ".join(f"w{k % 40}" for k in range(3000))
-    assert quality_rules.quality(docs_of([(1, text)])).first().n_repeat_words == 3000
+    # references and distances by plain counting
+    good = set(labels.filter("quality = 1").toPandas().doc_id)
+    texts = [(r.doc_id, r.lang, r.text or "") for r in docs.collect()]
+    classes = lambda t: (lambda c: [*c, len(t) - sum(c)])([len(re.findall(p, t)) for p in (r"[^\W\d_a-zß-öø-ÿœ]", "[0-9]", r"[.,;:!?'\"()-]", r"[#*$%&|<>]", r"[\x20\x09-\x0D]")])
+    bins = lambda lang, t: (lambda w, c: [*c, len(w) - sum(c)])(re.findall(r"[^\x20\x09-\x0D]+", t), [re.findall(r"[^\x20\x09-\x0D]+", t).count(x) for x in quality_rules.COMMON[lang].split()])
+    for lang in quality_rules.COMMON:
+        for which, count in enumerate((lambda t, lang=lang: classes(t), lambda t, lang=lang: bins(lang, t))):
+            sums = np.sum([count(t) for i, x, t in texts if x == lang and i in good], axis=0)
+            assert np.allclose(references[lang][which], sums / sums.sum(), atol=1e-3 if which == 0 else 1e-9)
+    found = {r.doc_id: r for r in quality_rules.quality(docs, references=references).collect()}
+    for i, lang, t in texts[:300]:
+        assert found[i].word_distance is None if len(t.split()) < 50 else abs(found[i].word_distance - distance_brute(bins(lang, t), references[lang][1])) < 1e-5
+        assert (found[i].class_distance is None) == (len(t) < 200)
+
+
+def test_quality_without_labels_or_language(docs_of, spark):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    docs = docs_of([(1, "some words of a text that is written in no known language at all " * 9, "xx"), (2, "!!! $$$ %%% " * 40, None), (3, None, None)])
+    assert quality_rules.fitted(docs, none) == quality_rules.general()
+    found = {r.doc_id: r for r in quality_rules.quality(docs, references=quality_rules.fitted(docs, none)).collect()}
+    assert found[1].word_distance is None and found[1].class_distance < 0.2 < found[2].class_distance and found[3].class_distance is None
+
+
+@pytest.mark.parametrize("bits", [24, 3])
+def test_quality_repeats_of_a_long_text_with_and_without_positions(bits, docs_of):
+    rng = random.Random(bits)
+    rows = [(1, " ".join(f"w{k % 40}" for k in range(3000))), *((k, " ".join(rng.choice("ab") + str(rng.randrange(3)) for _ in range(rng.choice([4, 5, 6, 9, 12, 60])))) for k in range(2, 40))]
+    found = {r.doc_id: r.n_repeat_words for r in quality_rules.quality(docs_of(rows), position_bits=bits).collect()}
+    assert found == {i: quality_brute(t)[4] for i, t in rows}
 
 
 KINDS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
