@@ -27,7 +27,9 @@ ORACLE_SQL = None
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules.keep_good(docs)
+    """References are fitted on the labelled documents of ``sf_dir``; all of ``docs`` are judged."""
+    table = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return quality_rules.keep_good(docs, references=quality_rules.fitted(table("documents"), table("labels")))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
