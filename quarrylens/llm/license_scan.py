@@ -4,13 +4,16 @@ All rolling hashes of ``K`` words of every document are joined with the places o
 templates (a broadcast: the templates are a parameter of the operator, a few thousand words, refused above
 ``MAX_TEMPLATE_WORDS``). A hit votes for the diagonal *place in the document - place in the template*; hits are
 aggregated by diagonal. Diagonals of one template that are at most ``SHIFT`` words apart (a word added or left out in
-between) are merged to one span. A span is verified by its words: those under hits must make up ``DENSITY`` of the span
-and ``SHARE`` of the template; of a template with fewer than ``WHOLE`` words, all of it.
+between) are merged to one span. A span is verified word by word: its words and the template's are aligned (longest common
+subsequence), and those that agree must make up ``DENSITY`` of the span and ``SHARE`` of the template; of a template with
+fewer than ``WHOLE`` words, all of it. Of overlapping spans of different licences the one with the larger share counts, then the longer one. The words under hits are known; hits at the edge of a run carry the ``AROUND`` words next to it, so that gaps
+between runs can be compared without a second look at the text (a word further inside a longer gap counts as different).
 
 Hits are rare, so only they, and one row per document, are shuffled.
 
 Besides, the places where fixed phrases stand are counted. Defined results: a null or empty text has no words and no
-labels; null ids are kept; repeated rows give repeated rows; an empty table gives an empty table.
+labels; null ids are kept; repeated rows give repeated rows; an empty table gives an empty table; other columns of ``docs``,
+whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,11 +30,11 @@ from quarrylens.llm.common import documents
 from quarrylens.llm.license_texts import PHRASES, TEMPLATES
 from quarrylens.llm.words import LETTERS_DIGITS, LOWER, blocks, gram_hashes, word_hashes
 
-K, SHIFT, DENSITY, SHARE, WHOLE = 4, 3, 0.75, 0.75, 20
+K, SHIFT, DENSITY, SHARE, WHOLE, AROUND = 4, 3, 0.75, 0.75, 20, 12
 MAX_TEMPLATE_WORDS = 200_000
 #: In place of a hash: the row that stands for the document itself.
 ITSELF = -(1 << 62) + 12345
-SCHEMA = "doc long, version long, info struct<n_words:bigint,n_base:bigint,first_word:bigint,last_word:bigint,base_labels:string>, grams array<bigint>"
+SCHEMA = "doc long, version long, info struct<n_words:bigint,n_base:bigint,first_word:bigint,last_word:bigint,base_labels:string>, grams array<struct<gram:bigint,before:array<bigint>,after:array<bigint>>>"
 _INFO = pa.struct([("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("base_labels", pa.string())])
 
 
@@ -67,7 +71,26 @@ def phrase_places(hashes: np.ndarray, bounds: np.ndarray, phrases: dict[str, str
     return out
 
 
-def _measured(docs: DataFrame, id_col: str, text_col: str, phrases: dict[str, str]) -> DataFrame:
+def _edges(grams: np.ndarray, known: np.ndarray, hashes: np.ndarray, own: np.ndarray, place: np.ndarray, bounds: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """For each gram of the documents the words before and after it, where it is one of the templates' and the gram on that side isn't."""
+    found = known[np.minimum(np.searchsorted(known, grams), len(known) - 1)] == grams if len(known) else np.zeros(len(grams), bool)
+    same = np.zeros(len(grams) + 1, bool)  # whether a gram and the one before it are both found, in one document
+    same[1:-1] = found[1:] & found[:-1] & (own[1:] == own[:-1])
+    lists = []
+    for wanted, span in ((found & ~same[:-1], lambda p, a, b: (max(a, p - AROUND), p)), (found & ~same[1:], lambda p, a, b: (p + K, min(b, p + K + AROUND)))):
+        sizes, values = np.zeros(len(grams), np.int64), [np.zeros(0, np.int64)]
+        for g in np.flatnonzero(wanted).tolist():
+            a, b = int(bounds[own[g]]), int(bounds[own[g] + 1])
+            lo, hi = span(a + int(place[g]), a, b)
+            sizes[g] = hi - lo
+            values.append(hashes[lo:hi].view(np.int64))
+        lists.append((sizes, np.concatenate(values)))
+    return tuple(lists)
+
+
+def _measured(docs: DataFrame, id_col: str, text_col: str, phrases: dict[str, str], known: np.ndarray) -> DataFrame:
+    """Counts and grams of every document; ``known`` are the ascending grams of the templates."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row0, raw, offsets in blocks(batch.column(2)):
@@ -81,8 +104,15 @@ def _measured(docs: DataFrame, id_col: str, text_col: str, phrases: dict[str, st
                 # grams that cross into the next document are left out
                 own = np.repeat(np.arange(n), n_grams)
                 place = np.arange(len(own)) - np.repeat(np.cumsum(n_grams) - n_grams, n_grams)
-                values[np.repeat(ends - n_grams, n_grams) + place] = grams[bounds[own] + place] if len(own) else 0
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(values))
+                at = np.repeat(ends - n_grams, n_grams) + place
+                mine = grams[bounds[own] + place] if len(own) else np.zeros(0, np.int64)
+                values[at] = mine
+                columns = [pa.array(values)]
+                for sizes, words in _edges(mine, known, hashes, own, place, bounds):
+                    every = np.zeros(len(values), np.int64)
+                    every[at] = sizes
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(every)]), pa.int32()), pa.array(words)))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.StructArray.from_arrays(columns, ["gram", "before", "after"]))
                 info = [{"n_words": int(c), "n_base": 0, "first_word": None, "last_word": None, "base_labels": set()} for c in counts]
                 for rows, places, label in phrase_places(hashes, bounds, phrases):
                     for r, p in zip(rows.tolist(), places.tolist(), strict=True):
@@ -99,33 +129,74 @@ def _measured(docs: DataFrame, id_col: str, text_col: str, phrases: dict[str, st
     return rows.mapInArrow(run, SCHEMA)
 
 
+def common_words(a: np.ndarray, b: np.ndarray) -> int:
+    """Length of the longest common subsequence."""
+    if len(a) > len(b):
+        a, b = b, a
+    row = np.zeros(len(b) + 1, np.int64)
+    for word in a:
+        # the best of leaving out a word of b is a running maximum
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], np.where(b == word, row[:-1] + 1, 0)))
+    return int(row[-1])
+
+
+def agreement(hits: list[dict], template: np.ndarray) -> int:
+    """Words of a span that agree with the template's, in order.
+
+    ``hits`` have the ``place`` of a gram in the document and ``at`` in the template, and the words ``before`` and ``after`` if known."""
+    first, last = min(h["place"] for h in hits), max(h["place"] for h in hits) + K
+    low, high = min(h["at"] for h in hits), max(h["at"] for h in hits) + K
+    if len({h["place"] - h["at"] for h in hits}) == 1 and len({h["place"] for h in hits}) == last - first - K + 1:
+        return last - first  # one diagonal without a gap
+    words = np.zeros(last - first, np.uint64)
+    for h in hits:
+        at = h["place"] - first
+        for begin, known in ((at - len(h["before"]), h["before"]), (at + K, h["after"])):
+            for k, w in enumerate(known, begin):
+                if 0 <= k < len(words):
+                    words[k] = np.int64(w).view(np.uint64)
+    for h in hits:
+        words[h["place"] - first : h["place"] - first + K] = template[h["at"] : h["at"] + K]
+    return common_words(words, template[low:high])
+
+
 def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, list[str]] | None = None, phrases: dict[str, str] | None = None) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score``
     and ``spans``, the verified ones as (label, first word, one after the last word, share of the template)."""
-    places = template_places(docs.sparkSession, TEMPLATES if templates is None else templates)
-    measured = _measured(docs, id_col, text_col, PHRASES if phrases is None else phrases)
-    grams = measured.select("doc", "version", "info", F.posexplode("grams").alias("place", "gram"))
+    templates = TEMPLATES if templates is None else templates
+    words_of = [hashed_words(text) for texts in templates.values() for text in texts]
+    places = template_places(docs.sparkSession, templates)
+    known = np.unique(np.concatenate([np.zeros(0, np.int64), *(gram_hashes(w, K).view(np.int64) for w in words_of)]))
+    measured = _measured(docs, id_col, text_col, PHRASES if phrases is None else phrases, known)
+    grams = measured.select("doc", "version", "info", F.posexplode("grams").alias("place", "x")).select("doc", "version", "info", "place", "x.*")
     hits = grams.join(F.broadcast(places), "gram")
-    hits = hits.select("doc", "version", "template", "label", "words", F.when(F.col("template") < 0, F.col("info")).alias("info"), (F.col("place") - 1).cast("long").alias("place"), (F.col("place") - 1 - F.col("at")).cast("long").alias("diagonal"))
-    voted = hits.groupBy("doc", "version", "template", "diagonal").agg(
-        F.max("info").alias("info"), F.max("label").alias("label"), F.max("words").alias("words"), F.count(F.lit(1)).alias("votes"), F.sort_array(F.collect_set("place")).alias("places")
+    hits = hits.select("doc", "version", "template", "label", "words", F.when(F.col("template") < 0, F.col("info")).alias("info"), (F.col("place") - 1).cast("long").alias("place"), F.col("at").cast("long").alias("at"), "before", "after")
+    hit = F.when(F.col("template") >= 0, F.struct("place", "at", "before", "after"))
+    voted = hits.groupBy("doc", "version", "template", (F.col("place") - F.col("at")).alias("diagonal")).agg(
+        F.max("info").alias("info"), F.max("label").alias("label"), F.max("words").alias("words"), F.count(F.lit(1)).alias("votes"), F.collect_list(hit).alias("hits")
     )
-    covered = F.aggregate("places", F.struct(F.lit(0).cast("long").alias("n"), F.lit(-K).cast("long").alias("last")), lambda a, p: F.struct((a["n"] + F.least(F.lit(K), p - a["last"])).alias("n"), p.alias("last")), lambda a: a["n"])
-    one = voted.withColumn("covered", covered).withColumn("first", F.element_at("places", 1)).withColumn("last", F.element_at("places", -1) + K)
     # neighbouring diagonals make one span: a new one begins after a gap of more than SHIFT
     order = Window.partitionBy("doc", "version", "template").orderBy("diagonal")
     fresh = (F.col("diagonal") - F.lag("diagonal").over(order) > SHIFT).cast("int")
-    one = one.withColumn("span", F.sum(F.coalesce(fresh, F.lit(0))).over(order))
-    spans = one.groupBy("doc", "version", "template", "span").agg(
-        F.max("info").alias("info"), F.max("label").alias("label"), F.max("words").alias("words"), F.sum("votes").alias("votes"),
-        F.min("first").alias("first"), F.max("last").alias("last"), F.sum("covered").alias("covered"),
-    )
-    share = F.least(F.lit(1.0), F.col("covered") / F.col("words"))
-    good = (F.col("template") >= 0) & (F.col("covered") >= DENSITY * (F.col("last") - F.col("first"))) & (share >= F.when(F.col("words") < WHOLE, 1.0).otherwise(SHARE))
-    span = F.when(good, F.struct("label", "first", F.col("last").alias("stop"), share.alias("share")))
+    one = voted.withColumn("span", F.sum(F.coalesce(fresh, F.lit(0))).over(order))
+    spans = one.groupBy("doc", "version", "template", "span").agg(F.max("info").alias("info"), F.max("label").alias("label"), F.max("words").alias("words"), F.sum("votes").alias("votes"), F.flatten(F.collect_list("hits")).alias("hits"))
+
+    @F.pandas_udf("long")
+    def agreed(template: pd.Series, hits: pd.Series) -> pd.Series:
+        return pd.Series([agreement(list(h), words_of[t]) if t >= 0 else 0 for t, h in zip(template, hits, strict=True)], dtype="int64")
+
+    spans = spans.withColumn("agreed", agreed("template", "hits"))
+    spans = spans.withColumn("first", F.array_min(F.transform("hits", lambda h: h["place"]))).withColumn("last", F.array_max(F.transform("hits", lambda h: h["place"])) + K)
+    share = F.least(F.lit(1.0), F.col("agreed") / F.col("words"))
+    good = (F.col("template") >= 0) & (F.col("agreed") >= DENSITY * (F.col("last") - F.col("first"))) & (share >= F.when(F.col("words") < WHOLE, 1.0).otherwise(SHARE))
+    span = F.when(good, F.struct("label", "first", F.col("last").alias("stop"), share.alias("share"), "agreed"))
     found = spans.groupBy("doc", "version").agg(
         F.max("info").alias("info"), F.max(F.when(F.col("template") < 0, F.col("votes"))).alias("copies"), F.sort_array(F.collect_list(span)).alias("spans")
     )
+    # licences that differ in a few words are found in each other's place: of overlapping spans the better one counts
+    better = lambda t, s: (t["label"] != s["label"]) & (t["first"] < s["stop"]) & (t["stop"] > s["first"]) & (F.struct(t["share"], t["agreed"]) > F.struct(s["share"], s["agreed"]))
+    best = F.filter("spans", lambda s: ~F.exists("spans", lambda t: better(t, s)))
+    found = found.withColumn("spans", F.transform(best, lambda s: F.struct(s["label"].alias("label"), s["first"].alias("first"), s["stop"].alias("stop"), s["share"].alias("share"))))
     base = F.filter(F.split("info.base_labels", ","), lambda x: x != "")
     labels = F.array_sort(F.array_distinct(F.concat(base, F.transform("spans", lambda s: s["label"]))))
     return found.select(
