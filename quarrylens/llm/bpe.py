@@ -34,17 +34,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from quarrylens.llm.common import documents
-from quarrylens.llm.tokens import vocabulary
+from quarrylens.llm.tokens import SETTLED, vocabulary
 
 VOCABULARY = "word_bpe_49k.json"
 SCHEMA = "doc_id long, ids binary, decoded string"
 CACHE_WORDS, CACHE_PAIRS, BATCH_BYTES = 150_000, 400_000, 4 << 20
+#: Longer words are encoded each time they are met, so that the cache is bounded in bytes too.
+LONG_WORD = 64
 NEVER = 1 << 60
 #: Where the characters for end-of-word bytes begin (a private area of Unicode).
 END_BASE = 0xF0000
-#: Characters that all versions of Unicode in use class alike; a text with any other one is split by
-#: the vocabulary's own library, whose tables may be older or newer than those of this Python.
-SETTLED = "\\0-\u052f\u2000-\u206f\u20a0-\u20bf\u2100-\u214f\u3000-\u30ff\u4e00-\u9fa5\uac00-\ud7a3\uff01-\uff5e"
 #: White space as the vocabulary's pattern library defines it.
 SPACE = r"\t-\r \x85\p{Z}"
 
@@ -85,6 +84,9 @@ class WordBpe:
             if self._whole[number]:
                 self._automaton.add_word(self._symbols(token), (number, len(self._symbols(token))))
         self._automaton.make_automaton()
+        ends = marks if not self.suffix else [m + self.suffix for m in marks]
+        if missing := [m for m in (*marks, *ends) if m not in self.ids]:
+            raise ValueError(f"every byte must be a token, or some prefixes have no encoding; missing: {missing[:5]}")
         self._pairs: dict[int, bool] = {}
         # words of late, and those of before: a full cache becomes the older one, so frequent words stay
         self._cache: dict[str, tuple[bytes, str]] = {}
@@ -174,6 +176,8 @@ class WordBpe:
 
     def _add(self, word: str, symbols: str | None = None) -> tuple[bytes, str]:
         """The entry of a word that the cache lacks; ``symbols`` are its bytes as characters."""
+        if len(word) > LONG_WORD:
+            return self._encoded(word, symbols)
         if len(self._cache) >= CACHE_WORDS:
             self._older, self._cache = self._cache, {}
         # a caller may still hold the cache of before

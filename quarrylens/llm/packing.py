@@ -6,13 +6,13 @@ last piece is shorter. Pieces of full length are sequences already. The others o
 placed in falling length, each into the first bin with enough room, which a tournament tree over
 the free room of the bins finds in logarithmic time.
 
-Groups are drawn by a hash of the document id, about ``group_docs`` documents each, whatever the size
+Groups are drawn by a hash of the document's id and ids, about ``group_docs`` documents each, whatever the size
 of the table, so the packing of a group needs bounded memory and the number of groups grows with the input.
 Only the extent of each piece is shuffled, and what the caller carries along.
 
-Defined results: a null text is an empty document and has the separator alone; rows with a null
-id are dealt by a hash of their ids; repeated rows are packed once each; an empty table gives an
-empty table.
+Defined results: a null text is an empty document and has the separator alone; repeated rows are packed once each, and those of
+a batch are dealt to different groups, so that one row repeated very often is no large group; an empty table gives an
+empty table; other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -43,9 +43,12 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
         encoder = tokens.byte_tokens(vocabulary)
         for batch in batches:
             out, size = _Rows(), 0
+            seen: dict[tuple, int] = {}  # equal rows of a batch are told apart by their number, and dealt to different groups
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = np.append(np.array(encoder.ids(text.as_py()), "<u4"), np.uint32(separator)).astype("<u4")
-                deal = zlib.crc32(str(doc_id).encode() if doc_id is not None else ids.tobytes())
+                row = (doc_id, zlib.crc32(ids.tobytes()))
+                seen[row] = seen.get(row, -1) + 1
+                deal = zlib.crc32(f"{row} {seen[row]}".encode())
                 for start in range(0, len(ids), length):
                     part = ids[start : start + length]
                     out.add(doc_id, start, len(part), len(ids), deal, part.tobytes())

@@ -16,7 +16,8 @@ punctuation), ``iban`` (after the cue: country, check digits and account, passin
 ``secret`` (after a cue such as ``token`` or ``password``, an ``=`` or ``:`` and a value of at least eight characters).
 
 Positions are code points, ends exclusive. Defined results: a null or empty text has no spans; a null id
-stays null; repeated rows give repeated rows; texts of any length are read as a whole.
+stays null; repeated rows give repeated rows; texts of any length are read as a whole;
+an empty table gives an empty table; masking keeps all other columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -113,7 +114,7 @@ def phone_at(text: str, start: int) -> tuple[int, int] | None:
 
 def url_at(text: str, colon: int) -> tuple[int, int] | None:
     start = colon
-    while start > 0 and text[start - 1] in ALNUM and colon - start < 12:
+    while start > 0 and text[start - 1] in ALNUM:
         start -= 1
     while start < colon and text[start] in DIGITS:
         start += 1

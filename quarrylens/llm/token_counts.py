@@ -10,7 +10,8 @@ section of its first or last character).
 
 Defined results: a null or empty text has one empty section without tokens; a text that ends in a line
 feed has no empty section after it; tokens outside all given spans are counted nowhere; a null id stays
-null; repeated rows are counted once each.
+null; repeated rows are counted once each; an empty table gives an empty table; other columns of ``docs``, whatever their
+names, are not looked at.
 """
 
 from __future__ import annotations

@@ -146,6 +146,28 @@ def test_word_ids_of_odd_texts(word_library, monkeypatch):
         assert decoded == encoder.decode(ids) == word_library.decode(expected, skip_special_tokens=False)
 
 
+def test_long_words_stay_out_of_the_cache(word_library):
+    encoder = bpe.WordBpe()
+    word = "supercalifragilistic" * 500
+    ids, _ = encoder.encode(f"a {word} b {word}")
+    assert np.frombuffer(ids, "<u4").tolist() == word_library.encode(f"a {word} b {word}", add_special_tokens=False).ids
+    assert all(len(w) <= bpe.LONG_WORD + 1 for w in encoder._cache)
+
+
+def test_one_row_very_often_is_no_large_group(docs_of):
+    docs = docs_of([(None, "")] * 3000 + [(7, "some words")] * 3000)
+    deals = packing.pieces(docs).groupBy("deal").count().collect()
+    assert len(deals) > 1000
+    packed = packing.digests(docs).collect()
+    sizes = {r.doc_id: r.doc_tokens for r in packed}
+    assert len(packed) == 6000 and sum(r.length for r in packed) == 3000 * (sizes[None] + sizes[7])
+
+
+def test_a_long_scheme_is_taken_whole():
+    text = "see averyveryverylongscheme1://host/x now"
+    assert pii.url_at(text, text.index("://")) == (4, text.index(" now"))
+
+
 def quality_brute(t):
     words = re.findall(r"[^\x20\x09-\x0D]+", t)
     seen, covered = {}, set()
