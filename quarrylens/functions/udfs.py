@@ -103,14 +103,18 @@ def crc8(content: pa.Array) -> pa.Array:
 
 
 def _simhashes(features: list[list[bytes] | None]) -> pd.Series:
-    """The simhash of each list; features of all lists are hashed together."""
+    """The simhash of each list; features of all lists are hashed, and their bits summed, together."""
     values = codecs.fnv1_all([x for f in features if f is not None for x in f])
-    out, at = [], 0
-    for f in features:
-        n = 0 if f is None else len(f)
-        out.append(None if f is None else int(np.uint64(codecs.simhash(values[at : at + n])).view(np.int64)))
-        at += n
-    return pd.Series(out, dtype="Int64")
+    sizes = np.array([0 if f is None else len(f) for f in features], np.int64)
+    ends = np.cumsum(sizes)
+    out = np.zeros(len(features), np.uint64)
+    for bit in range(64):
+        on = np.concatenate([[0], np.cumsum((values >> np.uint64(bit)) & np.uint64(1), dtype=np.int64)])
+        # a tie sets the bit
+        out |= (2 * (on[ends] - on[ends - sizes]) >= sizes).astype(np.uint64) << np.uint64(bit)
+    found = pd.Series(out.view(np.int64), dtype="Int64")
+    found[[f is None for f in features]] = pd.NA
+    return found
 
 
 @F.pandas_udf(T.LongType())

@@ -86,6 +86,29 @@ def snippets_made(path: Column, text: Column, all_extensions: bool = False) -> C
     )
 
 
+def is_binary(content: Column) -> Column:
+    """Whether a file's content is taken as binary: it has a zero byte."""
+    return F.contains(content, F.unhex(F.lit("00")))
+
+
+def listed(files: DataFrame, paths: DataFrame, patterns: tuple[str, ...] = (), **size_options) -> DataFrame:
+    """Files of an explicit list (``path``) that a scan takes; names without a file are left out, folders above a file don't matter."""
+    path = F.col("path")
+    kept = files.filter(~file_skipped(path, patterns=patterns) & size_kept(path, F.col("size"), **size_options))
+    return kept.join(paths.select("path").distinct(), "path", "left_semi")
+
+
+def hashed_files(files: DataFrame, patterns: tuple[str, ...] = (), **size_options) -> DataFrame:
+    """Files that folder hashes are made of: no folder is left out as a whole, and fewer names are listed."""
+    path = F.col("path")
+    return files.filter(~file_skipped(path, patterns=patterns, folder_hash=True) & size_kept(path, F.col("size"), **size_options))
+
+
+def valid_matches(matches: DataFrame) -> DataFrame:
+    """Matches that reports count: found, no dependency, with a status and a purl."""
+    return matches.filter("id NOT IN ('none', 'dependency') AND status IS NOT NULL AND size(purl) > 0")
+
+
 def under(path: Column, prefix: Column) -> Column:
     """Whether the path is the prefix or lies below it; an empty prefix holds for all."""
     bare = F.regexp_replace(F.coalesce(prefix, F.lit("")), "/+$", "")

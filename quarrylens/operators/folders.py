@@ -86,3 +86,25 @@ def folder_simhashes(files: DataFrame, depth: int = 1) -> DataFrame:
     # without any word all sums are 0, and all bits set
     full = lambda c: F.when(large, F.coalesce(c, F.lit("f" * 16)))
     return joined.select("dir", "depth", "n_files", full(F.col("of_names")).alias("sim_hash_names"), full(F.col("of_dirs")).alias("sim_hash_dir_names"), F.when(large, F.col("content")).alias("sim_hash_content"))
+
+
+def folder_documents(files: DataFrame, depth: int = 1) -> DataFrame:
+    """``dir, depth, json``: every folder down to ``depth`` as an object with its hashes, extensions and children; the row of ``.`` is
+    the request for the whole tree. Children are put into their folder one level at a time, from the deepest."""
+    maps = extension_maps(extension_counts(files, depth))
+    rows = folder_simhashes(files, depth).join(maps, "dir", "left")
+    rows = rows.withColumn("lang_extensions", F.when(F.col("sim_hash_content").isNotNull(), F.coalesce("lang_extensions", F.create_map().cast("map<string,bigint>"))))
+    up = F.when(F.col("dir").contains("/"), F.regexp_replace("dir", "/[^/]*$", "")).otherwise(F.lit("."))
+    fields = F.to_json(F.struct(F.col("dir").alias("path_id"), "sim_hash_names", "sim_hash_content", "sim_hash_dir_names", "lang_extensions"), {"ignoreNullFields": "false"})
+    rows = rows.select("dir", "depth", up.alias("up"), fields.alias("fields"))
+    out = children = None
+    for level in range(depth, 0, -1):
+        here = rows.filter(F.col("depth") == level)
+        if children is not None:
+            here = here.join(children, F.col("dir") == F.col("parent"), "left").drop("parent")
+        else:
+            here = here.withColumn("inner", F.lit(None).cast("string"))
+        here = here.select("dir", "depth", "up", F.concat(F.expr("left(fields, length(fields) - 1)"), F.lit(',"children":['), F.coalesce("inner", F.lit("")), F.lit("]}")).alias("json"))
+        children = here.groupBy(F.col("up").alias("parent")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("dir", "json"))), lambda x: x["json"]), ",").alias("inner"))
+        out = here.drop("up") if out is None else out.unionByName(here.drop("up"))
+    return out

@@ -20,6 +20,15 @@ def ordered_union(a: Column, b: Column) -> Column:
     return F.array_distinct(F.concat(a, b))
 
 
+def merged_status(responses: DataFrame) -> DataFrame:
+    """One row, ``status, message, n_files``: the last status that isn't a success, or success; ``n_files`` counts responses with files.
+
+    ``responses`` has ``answer_ord, status, message, n_files``."""
+    failed = F.when(F.coalesce("status", F.lit("SUCCESS")) != "SUCCESS", F.col("answer_ord"))
+    last = responses.agg(F.max_by(F.struct("status", "message"), failed).alias("x"), F.count_if(F.col("n_files") > 0).alias("n_files"))
+    return last.select(F.coalesce("x.status", F.lit("SUCCESS")).alias("status"), F.when(F.col("x").isNull(), "Success").otherwise(F.col("x.message")).alias("message"), "n_files")
+
+
 def violation_rank(kind: Column) -> Column:
     """Security first, then licences, then all others."""
     return F.when(kind == "SECURITY", 3).when(kind == "LICENSE", 2).otherwise(1)

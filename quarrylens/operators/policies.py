@@ -25,12 +25,27 @@ def undeclared_components(rows: DataFrame) -> DataFrame:
 
 
 def undeclared_settings(found: DataFrame) -> str:
-    """The settings fragment that would declare the components: a list of purls for people, so it is collected."""
+    """The settings fragment that would declare the components: a list of purls for people, read one by one."""
     import json
 
     purls = [r.purl for r in found.select("purl").distinct().orderBy("purl").toLocalIterator()]
     return json.dumps({"bom": {"include": [{"purl": p} for p in purls]}}, indent=2)
 
 
+def counts(**violations: DataFrame) -> DataFrame:
+    """``policy, n_violations, exit_status`` of each policy."""
+    out = None
+    for name, found in violations.items():
+        row = found.agg(F.count(F.lit(1)).alias("n_violations")).select(F.lit(name).alias("policy"), "n_violations", F.when(F.col("n_violations") > 0, FAILED).otherwise(PASSED).alias("exit_status"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def exit_status(violations: DataFrame) -> int:
-    return PASSED if violations.isEmpty() else FAILED
+    """Passed, failed, or an error where the violations can't be found (an unreadable result, a wrong form)."""
+    from pyspark.errors import PySparkException
+
+    try:
+        return PASSED if violations.isEmpty() else FAILED
+    except PySparkException:
+        return ERROR

@@ -177,6 +177,20 @@ def folder_entries(claims: DataFrame, best: DataFrame, files: DataFrame) -> Data
     return rows.select("path", F.lit("file").alias("id"), F.lit("100%").alias("matched"), F.lit("pending").alias("status"), "purl", F.col("name").alias("component"), "version", C.purl_url(F.col("purl")).alias("url"), F.md5("text").alias("file_hash"), F.md5("text").alias("source_hash"))
 
 
+def markdown_lines(rows: DataFrame, columns: list[str], order: list[str]) -> DataFrame:
+    """``place, line``: a table of any size as Markdown, its rows in order; header and rule have the places -1 and 0."""
+    head = rows.sparkSession.createDataFrame([(-1, " | ".join(columns)), (0, " | ".join("-" for _ in columns))], "place long, line string")
+    cells = F.concat_ws(" | ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    return head.unionByName(numbered(rows, order, "place").select("place", cells.alias("line")))
+
+
+def folder_cyclonedx(best: DataFrame) -> DataFrame:
+    """``purl, component, version, licenses`` of the components of a folder scan, for :func:`quarrylens.sources.writers.cyclonedx`;
+    ``best`` as :func:`best_components` gives it, each purl and version once."""
+    names = F.array_join(F.array_sort(F.array_distinct(F.filter(F.transform("licenses", lambda x: F.coalesce(x["spdx_id"], x["name"])), lambda n: F.coalesce(n, F.lit("")) != ""))), ",")
+    return best.select("purl", F.col("name").alias("component"), "version", F.coalesce(names, F.lit("")).alias("licenses")).distinct()
+
+
 def markdown_table(header: list[str], rows: list[list[str]], centred: tuple[int, ...] = ()) -> str:
     """A small table as Markdown; rendered on the driver from a result that has been collected on purpose."""
     line = lambda cells: " | ".join(cells)

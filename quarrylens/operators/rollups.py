@@ -77,3 +77,14 @@ def file_types(files: DataFrame, suffix) -> DataFrame:
     """``extension, n_files, size_mb`` of files that aren't empty."""
     named = files.filter("size > 0").withColumn("extension", F.when(suffix == "", "no_suffix").otherwise(suffix))
     return named.groupBy("extension").agg(F.count(F.lit(1)).alias("n_files"), F.format_number(F.sum("size") / 1048576, 2).alias("size_mb"))
+
+
+def file_type_lines(types: DataFrame) -> DataFrame:
+    """``line``: the rows of :func:`file_types` as CSV; a size with a comma is quoted."""
+    return types.select(F.to_csv(F.struct("extension", "n_files", "size_mb")).alias("line"))
+
+
+def wfp_file_counts(blocks: DataFrame) -> DataFrame:
+    """``n_files``: files in fingerprint texts, by their lines with ``file=``."""
+    lines = F.size(F.filter(F.split("wfp", "\n"), lambda x: x.contains("file=")))
+    return blocks.agg(F.coalesce(F.sum(lines), F.lit(0)).alias("n_files"))

@@ -816,3 +816,7 @@ def _x(spark, d):
     base = table(spark, d, "benchmark").select(F.concat(F.lit("kb/"), F.col("item_id").cast("string"), F.lit(".py")).alias("path"), F.coalesce("text", F.lit("")).alias("text"))
     known = fingerprints.fingerprints(base).select("hash", F.col("path").alias("kb_path"))
     return fingerprints.knowledge_hits(fingerprints.fingerprints(I.files(spark, d)), known)
+
+
+# The queries of the other module are added to those above
+from quarrylens.plans import formats  # noqa: E402, F401

@@ -30,14 +30,17 @@ VIOLATIONS = (
 )
 
 
-def source_tree(spark: SparkSession, root: str, patterns: tuple[str, ...] = (), **size_options) -> DataFrame:
-    """``path`` (below the root), ``size, content`` of the files of a tree that a scan takes. Filters on path and size come
-    before the content is read."""
+def source_tree(spark: SparkSession, root: str, patterns: tuple[str, ...] = (), folder_hash: bool = False, **size_options) -> DataFrame:
+    """``path`` (below the root), ``size, content`` of the files of a tree that a scan takes, or that a folder's hash is made of. Filters
+    on path and size come before the content is read."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     base = root.rstrip("/").split("://")[-1]
     rows = found.withColumn("rel", F.element_at(F.split(F.col("path"), _quoted(base) + "/", 2), -1))
     path = F.col("rel")
-    kept = rows.filter(~folder_skipped(path, patterns=patterns) & ~file_skipped(path, patterns=patterns) & size_kept(path, F.col("length"), **size_options))
+    if folder_hash:
+        kept = rows.filter(~file_skipped(path, patterns=patterns, folder_hash=True) & size_kept(path, F.col("length"), **size_options))
+    else:
+        kept = rows.filter(~folder_skipped(path, patterns=patterns) & ~file_skipped(path, patterns=patterns) & size_kept(path, F.col("length"), **size_options))
     return kept.select(path.alias("path"), F.col("length").alias("size"), "content")
 
 
@@ -45,9 +48,24 @@ def _quoted(text: str) -> str:
     return "\\Q" + text + "\\E"
 
 
-def listed_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The same of an explicit list; names that don't exist fail the read."""
-    return spark.read.format("binaryFile").load(paths).select("path", F.col("length").alias("size"), "content")
+def listed_files(spark: SparkSession, paths: list[str], patterns: tuple[str, ...] = (), **size_options) -> DataFrame:
+    """The same of an explicit list, which people or another tool made: names that don't exist or are folders are left out, and so are
+    hidden, listed and empty files; folders above them don't matter."""
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def exists(path: str) -> bool:
+        found = jvm.org.apache.hadoop.fs.Path(path)
+        system = found.getFileSystem(hadoop)
+        return bool(system.exists(found) and system.getFileStatus(found).isFile())
+
+    kept = [p for p in paths if exists(p)]
+    schema = "path string, size long, content binary"
+    if not kept:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.format("binaryFile").load(kept).select("path", F.col("length").alias("size"), "content")
+    # the scheme and root of a path are no hidden parts
+    path = F.regexp_replace("path", "^[A-Za-z0-9+.-]+:/*", "")
+    return rows.filter(~file_skipped(path, patterns=patterns) & size_kept(path, F.col("size"), **size_options))
 
 
 def contents(spark: SparkSession, items: list[tuple[str, bytes]]) -> DataFrame:
@@ -93,7 +111,11 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
 
 def cyclonedx_requests(spark: SparkSession, path: str) -> DataFrame:
     """``purl, requirement`` of the components of a CycloneDX document."""
-    bom = spark.read.text(path, wholetext=True).select(F.from_json("value", CYCLONEDX).alias("b"))
+    return parsed_cyclonedx(spark.read.text(path, wholetext=True), F.col("value"))
+
+
+def parsed_cyclonedx(rows: DataFrame, value: Column) -> DataFrame:
+    bom = rows.select(F.from_json(value, CYCLONEDX).alias("b"))
     return bom.select(F.explode("b.components").alias("c")).filter("c.purl IS NOT NULL").select("c.purl", F.when(F.coalesce("c.version", F.lit("")) != "", F.col("c.version")).alias("requirement"))
 
 
@@ -103,8 +125,12 @@ def purl_requests(spark: SparkSession, path: str | None = None, purls: list[str]
         return spark.createDataFrame([(p, None) for p in purls], "purl string, requirement string")
     if path is None:
         raise ValueError("no purls given")
-    rows = spark.read.schema("purls array<struct<purl:string,requirement:string>>").json(path, multiLine=True)
-    return rows.select(F.explode("purls").alias("p")).select("p.purl", "p.requirement").filter("purl IS NOT NULL")
+    return parsed_purls(spark.read.text(path, wholetext=True), F.col("value"))
+
+
+def parsed_purls(rows: DataFrame, value: Column) -> DataFrame:
+    listed = rows.select(F.from_json(value, "purls array<struct<purl:string,requirement:string>>").alias("x"))
+    return listed.select(F.explode("x.purls").alias("p")).select("p.purl", "p.requirement").filter("purl IS NOT NULL")
 
 
 def container_artifacts(spark: SparkSession, path: str) -> DataFrame:
@@ -116,9 +142,27 @@ def container_artifacts(spark: SparkSession, path: str) -> DataFrame:
     return first.select("file", "x.ord", "purl", "x.name", "x.version", "x.license")
 
 
+#: Dependencies that another tool has parsed already.
+DEPENDENCY_FILE = "files array<struct<file:string,purls:array<struct<purl:string,requirement:string,scope:string>>>>"
+
+
+def dependency_file(spark: SparkSession, path: str) -> DataFrame:
+    """``file, place, purl, requirement, scope`` of dependencies that another tool has parsed already."""
+    return parsed_dependencies(spark.read.text(path, wholetext=True), F.col("value"))
+
+
+def parsed_dependencies(rows: DataFrame, value: Column) -> DataFrame:
+    files = rows.select(F.explode(F.from_json(value, DEPENDENCY_FILE)["files"]).alias("f"))
+    return files.select("f.file", F.posexplode("f.purls").alias("place", "p")).select("file", "place", "p.*").filter("purl IS NOT NULL")
+
+
 def violations(spark: SparkSession, path: str) -> DataFrame:
     """Policy violations of a project, flat, with their place."""
-    rows = spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json("value", VIOLATIONS)).alias("place", "v"))
+    return parsed_violations(spark.read.text(path, wholetext=True), F.col("value"))
+
+
+def parsed_violations(rows: DataFrame, value: Column) -> DataFrame:
+    rows = rows.select(F.posexplode(F.from_json(value, VIOLATIONS)).alias("place", "v"))
     return rows.select("place", "v.type", "v.timestamp", "v.uuid", "v.component.purl", F.col("v.component.name").alias("component"), F.col("v.component.version").alias("version"), F.col("v.policyCondition.policy.name").alias("policy"), F.col("v.policyCondition.policy.violationState").alias("state"))
 
 
@@ -130,12 +174,46 @@ def settings(path: str | None = None, default: str = "settings.json") -> dict:
     data = json.loads(found.read_text())
     if not isinstance(data, dict):
         raise ValueError(f"{found} must hold an object")
-    for section in ("include", "exclude", "remove", "replace"):
-        if not isinstance(data.get("bom", {}).get(section, []), list):
-            raise ValueError(f"bom.{section} must be a list")
+    if problems := list(_misfits(data, SETTINGS, "settings")):
+        raise ValueError(f"{found}: {'; '.join(problems)}")
     return data
 
 
+_RULE = {"path": str, "purl": str, "comment": str}
+_SIZE = {"patterns": [str], "min": int, "max": int}
+_NET = {"proxy": {"host": str}, "http_config": {"base_uri": str, "ignore_cert_errors": bool}}
+#: Kinds of the fields of settings: a type, a list of one kind, or fields with their kinds; other fields are free.
+SETTINGS = {
+    "bom": {"include": [_RULE], "exclude": [_RULE], "remove": [_RULE], "replace": [{**_RULE, "replace_with": str, "license": str}]},
+    "settings": {
+        **_NET, "skip": {"patterns": {k: [str] for k in ("scanning", "fingerprinting", "dependencies")}, "sizes": {k: [_SIZE] for k in ("scanning", "fingerprinting")}},
+        "file_snippet": {
+            **_NET, "min_snippet_hits": int, "min_snippet_lines": int, "honour_file_exts": bool, "ranking_enabled": bool, "ranking_threshold": int, "skip_headers": bool,
+            "skip_headers_limit": int, "dependency_analysis": bool,
+        },
+    },
+}
+
+
+def _misfits(value, kind, name: str):
+    """What in ``value`` isn't of its kind; null fields of ``file_snippet`` are allowed."""
+    if isinstance(kind, dict):
+        if not isinstance(value, dict):
+            yield f"{name} must be an object"
+            return
+        for key, inner in kind.items():
+            if key in value and not (value[key] is None and "file_snippet" in name):
+                yield from _misfits(value[key], inner, f"{name}.{key}")
+    elif isinstance(kind, list):
+        if not isinstance(value, list):
+            yield f"{name} must be a list"
+            return
+        for k, item in enumerate(value):
+            yield from _misfits(item, kind[0], f"{name}[{k}]")
+    elif not isinstance(value, kind) or (kind is int and isinstance(value, bool)):
+        yield f"{name} must be of type {kind.__name__}"
+
+
 def settings_rules(spark: SparkSession, data: dict) -> DataFrame:
     """Rules of settings as a table, in their order."""
     rows, order = [], 0
@@ -161,9 +239,26 @@ def merged_settings(cli: dict, settings_: dict, file_snippet: dict) -> dict:
     return out
 
 
+def merged_setting(file_snippet: Column, general: Column, cli: Column, least: int | None = None, most: int | None = None) -> Column:
+    """The same for one setting as columns: the first that is given, within bounds."""
+    value = F.coalesce(file_snippet, general, cli)
+    # a missing value stays missing: least and greatest would skip it
+    value = F.when(value.isNotNull(), F.greatest(value, F.lit(least))) if least is not None else value
+    return F.when(value.isNotNull(), F.least(value, F.lit(most))) if most is not None else value
+
+
 def delta_list(spark: SparkSession, path: str) -> DataFrame:
     """``path`` of each line that isn't blank, without slashes at its start."""
-    return spark.read.text(path).select(F.regexp_replace(F.rtrim("value"), "^/+", "").alias("path")).filter("path <> ''")
+    return delta_paths(spark.read.text(path), F.col("value"))
+
+
+def delta_paths(rows: DataFrame, value: Column) -> DataFrame:
+    return rows.select(F.regexp_replace(F.rtrim(value), "^/+", "").alias("path")).filter("path <> ''")
+
+
+def json_state(text: Column) -> Column:
+    """Why a text isn't usable JSON: 1 parse error, 3 empty; null if it is (:func:`json_problem` for a file)."""
+    return F.when(F.trim(F.coalesce(text, F.lit(""))) == "", 3).when(F.try_parse_json(text).isNull(), 1)
 
 
 def json_problem(path: str) -> tuple[int, str] | None:

@@ -1,11 +1,12 @@
 """Writers of results: JSON, CSV, CycloneDX, SPDX, code quality, fingerprint files and copies of listed files.
 
-Large outputs are written by executors as datasets; documents that are one JSON object are built by an aggregation
-and have the size of what they list. Ids and times are parameters, so that a document can be made again.
+Large outputs are written by executors as datasets; documents that are one JSON object are tables of lines, which one task
+writes in order, row by row. Ids and times are parameters, so that a document can be made again.
 """
 
 from __future__ import annotations
 
+import json
 import shutil
 from collections.abc import Callable
 from pathlib import Path
@@ -13,6 +14,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarrylens.operators.reports import numbered
+
 
 def result_json(matches: DataFrame) -> DataFrame:
     """One row per file, ``path`` and ``json``: an object with the path as its key and the matches in order."""
@@ -22,11 +25,32 @@ def result_json(matches: DataFrame) -> DataFrame:
     return matches.groupBy("path").agg(items.alias("items")).select("path", F.to_json(F.create_map("path", "items")).alias("json"))
 
 
+def _lines(head: str, parts: list[tuple[str, DataFrame]], tail: str = "}") -> DataFrame:
+    """``part, place, line``: a JSON object as lines: its first fields, then each part as a list, an item on each line.
+
+    An item's line is a JSON text (column ``item``) with a comma in front, but for the first of its part (``place`` 1)."""
+    spark = parts[0][1].sparkSession
+    fixed = [(0, 0, head), (len(parts) + 1, 0, tail)]
+    rows = None
+    for number, (name, items) in enumerate(parts, 1):
+        fixed.append((number, 0, ("" if number == 1 and head == "{" else ",") + json.dumps(name) + ":["))
+        fixed.append((number, 1 << 62, "]"))
+        lines = items.select(F.lit(number).alias("part"), "place", F.concat(F.when(F.col("place") > 1, ",").otherwise(""), "item").alias("line"))
+        rows = lines if rows is None else rows.unionByName(lines)
+    return spark.createDataFrame(fixed, "part int, place long, line string").unionByName(rows)
+
+
+def write_document(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Lines of a document as one text file. One task writes it, row by row after a sort that spills, so
+    no row holds more than one item."""
+    lines.repartition(1).sortWithinPartitions("part", "place").select("line").write.mode(mode).text(path)
+
+
 def document(rows: DataFrame, order: list[str], name: str) -> DataFrame:
-    """One row with a JSON object: the rows, in order, as a list under ``name``, and their number as ``total``."""
-    fields = [c for c in rows.columns if c not in order]
-    items = F.transform(F.sort_array(F.collect_list(F.struct(*order, F.struct(*rows.columns if not fields else fields).alias("row")))), lambda x: x["row"])
-    return rows.agg(items.alias(name), F.count(F.lit(1)).alias("total")).select(F.to_json(F.struct(name, "total")).alias("json"))
+    """Lines of a JSON object: the rows, in order, as a list under ``name``."""
+    fields = [c for c in rows.columns if c not in order] or rows.columns
+    items = numbered(rows, order, "place").select("place", F.to_json(F.struct(*fields)).alias("item"))
+    return _lines("{", [(name, items)])
 
 
 def write_csv(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -39,22 +63,42 @@ def write_wfp(blocks: DataFrame, path: str, mode: str = "errorifexists") -> None
 
 
 def cyclonedx(components: DataFrame, vulnerabilities: DataFrame, serial: str, timestamp: str) -> DataFrame:
-    """One row with a CycloneDX 1.4 document."""
-    listed = F.sort_array(F.collect_list(F.struct(F.lit("library").alias("type"), F.col("component").alias("name"), "purl", "version", F.transform(F.filter(F.split("licenses", ","), lambda x: x != ""), lambda x: F.struct(F.struct(x.alias("id")).alias("license"))).alias("licenses"))))
+    """Lines of a CycloneDX 1.4 document, see :func:`write_document`."""
+    licenses = F.transform(F.filter(F.split("licenses", ","), lambda x: x != ""), lambda x: F.struct(F.struct(x.alias("id")).alias("license")))
+    listed = F.to_json(F.struct(F.lit("library").alias("type"), F.col("component").alias("name"), "purl", "version", licenses.alias("licenses")))
     affects = F.transform(F.split("affects", ","), lambda x: F.struct(x.alias("ref")))
-    found = F.sort_array(F.collect_list(F.struct(F.col("vuln_id").alias("id"), F.struct(F.col("source").alias("name")).alias("source"), F.array(F.struct("severity")).alias("ratings"), affects.alias("affects"))))
-    body = components.agg(listed.alias("components")).crossJoin(vulnerabilities.agg(found.alias("vulnerabilities")))  # two tables of one row
-    metadata = F.struct(F.lit(timestamp).alias("timestamp"))
-    return body.select(F.to_json(F.struct(F.lit("CycloneDX").alias("bomFormat"), F.lit("1.4").alias("specVersion"), F.lit(f"urn:uuid:{serial}").alias("serialNumber"), F.lit(1).alias("version"), metadata.alias("metadata"), "components", "vulnerabilities")).alias("json"))
+    found = F.to_json(F.struct(F.col("vuln_id").alias("id"), F.struct(F.col("source").alias("name")).alias("source"), F.array(F.struct("severity")).alias("ratings"), affects.alias("affects")))
+    head = json.dumps({"bomFormat": "CycloneDX", "specVersion": "1.4", "serialNumber": f"urn:uuid:{serial}", "version": 1, "metadata": {"timestamp": timestamp}})[:-1]
+    parts = [("components", numbered(components, ["purl", "version"], "place").select("place", listed.alias("item"))), ("vulnerabilities", numbered(vulnerabilities, ["vuln_id"], "place").select("place", found.alias("item")))]
+    return _lines(head, parts)
 
 
 def spdx_lite(packages: DataFrame, references: DataFrame, name: str, created: str) -> DataFrame:
-    """One row with an SPDX 2.2 document."""
-    listed = F.sort_array(F.collect_list(F.struct(F.col("spdx_id").alias("SPDXID"), F.col("purl").alias("name"), F.col("license").alias("licenseDeclared"), F.lit("NOASSERTION").alias("licenseConcluded"), F.lit("NOASSERTION").alias("copyrightText"))))
-    refs = F.sort_array(F.collect_list(F.struct(F.col("license_ref").alias("licenseId"), F.lit("Detected licence").alias("extractedText"))))
-    body = packages.agg(listed.alias("packages")).crossJoin(references.agg(refs.alias("hasExtractedLicensingInfos")))  # two tables of one row
-    info = F.struct(F.lit(created).alias("created"))
-    return body.select(F.to_json(F.struct(F.lit("SPDX-2.2").alias("spdxVersion"), F.lit("CC0-1.0").alias("dataLicense"), F.lit("SPDXRef-DOCUMENT").alias("SPDXID"), F.lit(name).alias("name"), info.alias("creationInfo"), "packages", "hasExtractedLicensingInfos")).alias("json"))
+    """Lines of an SPDX 2.2 document, see :func:`write_document`."""
+    listed = F.to_json(F.struct(F.col("spdx_id").alias("SPDXID"), F.col("purl").alias("name"), F.col("license").alias("licenseDeclared"), F.lit("NOASSERTION").alias("licenseConcluded"), F.lit("NOASSERTION").alias("copyrightText")))
+    refs = F.to_json(F.struct(F.col("license_ref").alias("licenseId"), F.lit("Detected licence").alias("extractedText")))
+    head = json.dumps({"spdxVersion": "SPDX-2.2", "dataLicense": "CC0-1.0", "SPDXID": "SPDXRef-DOCUMENT", "name": name, "creationInfo": {"created": created}})[:-1]
+    parts = [("packages", numbered(packages, ["purl"], "place").select("place", listed.alias("item"))), ("hasExtractedLicensingInfos", numbered(references, ["license_ref"], "place").select("place", refs.alias("item")))]
+    return _lines(head, parts)
+
+
+def plain(matches: DataFrame) -> DataFrame:
+    """The same as :func:`result_json`, for people: indented."""
+    return result_json(matches).select("path", F.to_json(F.from_json("json", "map<string,array<map<string,string>>>"), {"pretty": "true"}).alias("json"))
+
+
+def raw(matches: DataFrame) -> DataFrame:
+    """One JSON object for each match, as it is."""
+    return matches.select("path", F.to_json(F.struct(*[c for c in matches.columns if c != "path"])).alias("json"))
+
+
+def routed(rows: DataFrame, path: str | None, column: str) -> None:
+    """Lines of a result to a folder of text files, or to the standard output without one (read row by row)."""
+    if path is not None:
+        rows.select(column).write.text(path)
+        return
+    for r in rows.select(column).toLocalIterator():
+        print(r[0])
 
 
 def code_quality_json(rows: DataFrame) -> DataFrame:
@@ -86,7 +130,7 @@ def copy_listed(paths: list[str], root: str, target: str) -> list[tuple[str, boo
 
 
 #: Presenters by format; each takes what the function under its name takes.
-PRESENTERS: dict[str, Callable] = {"json": result_json, "plain": result_json, "raw": result_json, "csv": write_csv, "cyclonedx": cyclonedx, "spdxlite": spdx_lite}
+PRESENTERS: dict[str, Callable] = {"json": result_json, "plain": plain, "raw": raw, "csv": write_csv, "cyclonedx": cyclonedx, "spdxlite": spdx_lite}
 
 
 def presenter(kind: str | None) -> Callable:

@@ -1,5 +1,6 @@
 """Fingerprint texts, folder hashes and batches against plain loops written here."""
 
+import json
 import random
 import re
 import zlib
@@ -174,3 +175,13 @@ def test_queries_on_fingerprints_by_the_loop(spark, sf_dir):
         assert ("\nhpsm=" in wfp[path]) == bool(path in made and "\n" in texts[path].lstrip("\n"))
     batches = sorted((r.first_file, r.n_files, r.n_bytes) for r in catalog.queries()["G_batches"](spark, sf_dir).collect())
     assert sum(b[1] for b in batches) == len(texts) and all(b[1] <= 33 for b in batches)
+
+
+def test_folder_documents_hold_their_children(spark):
+    tree = [(f"src/{a}/file_number_{a}{b}.py", "x" * b) for a in "ab" for b in range(1, 10)] + [("README", "r")]
+    rows = spark.createDataFrame([(p, t, len(t)) for p, t in tree], "path string, text string, size long")
+    found = {r.dir: json.loads(r.json) for r in folders.folder_documents(rows, depth=3).collect()}
+    root = found["."]
+    assert [c["path_id"] for c in root["children"]] == ["src"] and [c["path_id"] for c in root["children"][0]["children"]] == ["src/a", "src/b"]
+    assert root["children"][0] == found["src"] and found["src/a"]["lang_extensions"] == {"py": 9} and found["src/a"]["children"] == []
+    assert root["sim_hash_content"] and json.loads(folders.folder_documents(rows, depth=1).first().json)["children"] == []

@@ -15,7 +15,10 @@ def test_source_tree(spark, tmp_path):
         (tmp_path / "tree" / name).write_text(text)
     rows = readers.source_tree(spark, str(tmp_path / "tree")).collect()
     assert [(r.path, r.size, bytes(r.content)) for r in rows] == [("src/a.c", 6, b"int a;")]
-    assert readers.listed_files(spark, [str(tmp_path / "tree/src/a.c")]).count() == 1
+    listed = [str(tmp_path / "tree" / n) for n in ("src/a.c", "venv/c.c", "src/b.md", "src/.d.c", "src/empty.c", "src/none.c", "src")]
+    assert sorted(r.path.rpartition("/")[2] for r in readers.listed_files(spark, listed).collect()) == ["a.c", "c.c"]
+    assert readers.listed_files(spark, listed[-2:]).count() == 0
+    assert sorted(r.path for r in readers.source_tree(spark, str(tmp_path / "tree"), folder_hash=True).collect()) == ["src/a.c", "src/b.md", "venv/c.c"]
     assert readers.contents(spark, [("x", b"y")]).first().size == 1
 
 
@@ -67,6 +70,10 @@ def test_settings(spark, tmp_path):
     (tmp_path / "bad.json").write_text("{")
     assert readers.json_problem(str(tmp_path / "bad.json"))[0] == 1
     assert readers.json_problem(str(tmp_path / "s.json")) is None
+    for wrong in ({"bom": {"remove": {}}}, {"bom": {"include": [{"purl": 1}]}}, {"settings": {"file_snippet": {"min_snippet_hits": "x"}}}, {"settings": {"skip": {"sizes": {"scanning": [{"min": True}]}}}}, {"bom": []}):
+        (tmp_path / "w.json").write_text(json.dumps(wrong))
+        with pytest.raises(ValueError, match="must be"):
+            readers.settings(str(tmp_path / "w.json"))
     with pytest.raises(ValueError):
         readers.purl_requests(spark)
 
@@ -74,11 +81,16 @@ def test_settings(spark, tmp_path):
 def test_documents(spark, tmp_path):
     components = spark.createDataFrame([("pkg:a/b", "b", "1", "MIT,ISC")], "purl string, component string, version string, licenses string")
     vulns = spark.createDataFrame([("CVE-1", "high", "NVD", "pkg:a/b")], "vuln_id string, severity string, source string, affects string")
-    bom = json.loads(writers.cyclonedx(components, vulns, "s", "t").first().json)
-    assert bom["components"][0]["licenses"] == [{"license": {"id": "MIT"}}, {"license": {"id": "ISC"}}] and bom["vulnerabilities"][0]["id"] == "CVE-1"
-    packages = spark.createDataFrame([("pkg:a/b", "SPDXRef-1", "MIT")], "purl string, spdx_id string, license string")
-    spdx = json.loads(writers.spdx_lite(packages, spark.createDataFrame([("LicenseRef-x",)], "license_ref string"), "n", "c").first().json)
-    assert spdx["packages"][0]["licenseDeclared"] == "MIT"
+    whole = lambda lines: json.loads("\n".join(r.line for r in lines.orderBy("part", "place").collect()))
+    bom = whole(writers.cyclonedx(components, vulns, "s", "t"))
+    assert bom["components"][0]["licenses"] == [{"license": {"id": "MIT"}}, {"license": {"id": "ISC"}}] and bom["vulnerabilities"][0]["id"] == "CVE-1" and bom["metadata"] == {"timestamp": "t"}
+    packages = spark.createDataFrame([("pkg:a/b", "SPDXRef-1", "MIT"), ("pkg:a/c", "SPDXRef-2", "ISC")], "purl string, spdx_id string, license string")
+    lines = writers.spdx_lite(packages, spark.createDataFrame([("LicenseRef-x",)], "license_ref string"), "n", "c")
+    assert [p["licenseDeclared"] for p in whole(lines)["packages"]] == ["MIT", "ISC"]
+    writers.write_document(lines, str(tmp_path / "spdx"))
+    assert json.loads("".join(f.read_text() for f in (tmp_path / "spdx").glob("part-*"))) == whole(lines)
+    assert whole(writers.document(packages, ["purl"], "rows")) == {"rows": [{"spdx_id": "SPDXRef-1", "license": "MIT"}, {"spdx_id": "SPDXRef-2", "license": "ISC"}]}
+    assert whole(writers.document(packages.filter("false"), ["purl"], "rows")) == {"rows": []}
     payload = json.loads(writers.upload_payload(spark.createDataFrame([("{}",)], "json string"), {"name": "n", "version": "1"}).first().json)
     assert payload["bom"] == "e30="
     (tmp_path / "root").mkdir()
@@ -86,7 +98,7 @@ def test_documents(spark, tmp_path):
     assert writers.copy_listed(["/a.txt", "../b", "missing"], str(tmp_path / "root"), str(tmp_path / "out")) == [("/a.txt", True), ("../b", False), ("missing", False)]
     with pytest.raises(ValueError):
         writers.presenter("pdf")
-    assert writers.presenter(None) is writers.result_json
+    assert writers.presenter(None) is writers.plain and writers.presenter("raw") is writers.raw
 
 
 def test_stream_gives_the_batch_result(spark, tmp_path, sf_dir):
