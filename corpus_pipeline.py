@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from quarrylens.llm import exact_dedup, near_dedup, packing, pii, quality_rules
@@ -27,9 +28,14 @@ ORACLE_SQL = None
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """References are fitted on the labelled documents of ``sf_dir``; all of ``docs`` are judged."""
-    table = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return quality_rules.keep_good(docs, references=quality_rules.fitted(table("documents"), table("labels")))
+    """All of ``docs`` are judged, by references fitted on the labelled documents of ``sf_dir``; by general ones where it has no such tables."""
+    try:
+        documents, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return quality_rules.keep_good(docs)
+    return quality_rules.keep_good(docs, references=quality_rules.fitted(documents, labels))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
