@@ -6,6 +6,7 @@ SQL can't express, or only too slowly on whole tables, have no SQL and are held
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from quarrylens.functions import udfs
 from quarrylens.operators import batching, dependencies, filters, fingerprints, folders, gitignore, merges, policies, reports, rollups, rules
 from quarrylens.session import table
 from quarrylens.sources import inputs as I
+from quarrylens.sources import readers
 from quarrylens.sources.inputs import COPYLEFT_SQL, DEPS_SQL, FILES_SQL, MATCHES_SQL, RULES_SQL, TREE_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -369,20 +371,32 @@ def _d22(spark, d):
     return names.select("spdxid", C.spdx_url(F.col("spdxid")).alias("url"))
 
 
-_KNOWN = [("mit", "MIT"), ("gpl-2.0-only", "GPL-2.0-only"), ("apache-2.0", "Apache-2.0"), ("bsd-2-clause", "BSD-2-Clause")]
-#: Names of those licences in the SPDX list.
-_KNOWN_NAMES = ["MIT License", "GNU General Public License v2.0 only", "Apache License 2.0", 'BSD 2-Clause "Simplified" License']
+# Ids and names of some licences of the public SPDX list.
+_KNOWN = [("MIT", "MIT License"), ("GPL-2.0-only", "GNU General Public License v2.0 only"), ("Apache-2.0", "Apache License 2.0"), ("BSD-2-Clause", 'BSD 2-Clause "Simplified" License')]
 
 
 def _known_licenses(spark):
-    rows = [(place, *ids, name) for place, (ids, name) in enumerate(zip(_KNOWN, _KNOWN_NAMES, strict=True))]
-    return spark.createDataFrame(rows, "place int, spdx_key string, spdx_name string, license_name string")
+    document = json.dumps({"licenses": [{"licenseId": i, "name": n} for i, n in _KNOWN]})
+    return readers.parsed_spdx_list(spark.createDataFrame([(document,)], "value string"), F.col("value"))
 
 
-@query("D20_license_id", f"WITH {MATCHES_SQL}, n AS (SELECT DISTINCT l.name AS name FROM (SELECT unnest(licenses) AS l FROM matches)), k AS (SELECT * FROM {I.values(_KNOWN, 'spdx_key, spdx_name')}) SELECT name, coalesce(spdx_name, 'LicenseRef-' || replace(name, ' ', '-')) AS spdxid FROM n LEFT JOIN k ON lower(replace(name, ' ', '-')) = spdx_key")
+_BARE, _DASHED = (rf"lower(regexp_replace(name, '\s+', '{by}', 'g'))" for by in ("", "-"))
+#: The list by ids (whole and short ones) and by names, and the four steps of a look-up of ``name``.
+_LOOKUP = rf"""k AS (SELECT * FROM {I.values([(place, i.lower(), i, n) for place, (i, n) in enumerate(_KNOWN)], 'place, spdx_key, spdx_name, name')}),
+by_id AS (SELECT key, coalesce(arg_max(spdx_name, place) FILTER (whole), arg_min(spdx_name, place)) AS found FROM (SELECT place, spdx_key AS key, spdx_name, true AS whole FROM k UNION ALL SELECT place, split_part(spdx_key, '-', 1), spdx_name, false FROM k WHERE contains(spdx_key, '-')) GROUP BY key),
+by_name AS (SELECT {_BARE} AS key, arg_max(spdx_name, place) AS found FROM k GROUP BY 1)"""
+_STEPS = f"LEFT JOIN by_id i0 ON {_BARE} = i0.key LEFT JOIN by_id i1 ON {_DASHED} = i1.key LEFT JOIN by_name m0 ON {_BARE} = m0.key LEFT JOIN by_name m1 ON {_DASHED} = m1.key"
+_FOUND = "coalesce(i0.found, i1.found, m0.found, m1.found, CASE WHEN starts_with(name, 'LicenseRef') THEN '' ELSE 'LicenseRef-' END || replace(name, ' ', '-'))"
+
+#: Licences of matches as people spell them: as they are, with blanks in ids, by short ids, by names, and by names that no list has.
+_SPELLED = ["replace(name, '-', '- ')", "replace(name, '-', ' ')", "lower(split_part(name, '-', 1))", "'Apache License  2.0'", "'BSD 2-Clause \"Simplified\" License'", "'LicenseRef-own form'", "'Some Other Licence'"]
+_SPELL = "CASE file_ord % 8 " + " ".join(f"WHEN {k} THEN {e}" for k, e in enumerate(_SPELLED)) + " ELSE name END"
+
+
+@query("D20_license_id", f"WITH {MATCHES_SQL}, {_LOOKUP}, n AS (SELECT path, match_ord, {_SPELL} AS name FROM (SELECT file_ord, path, match_ord, unnest(licenses).name AS name FROM matches)) SELECT path, match_ord, name, {_FOUND} AS spdxid FROM n {_STEPS}")
 def _d20(spark, d):
-    names = I.matches(spark, d).select(F.explode("licenses").alias("l")).select(F.col("l.name").alias("name")).distinct()
-    return reports.spdx_licenses(names, _known_licenses(spark)).select("name", "spdxid")
+    names = I.matches(spark, d).select("file_ord", "path", "match_ord", F.explode(F.transform("licenses", lambda x: x["name"])).alias("name"))
+    return reports.spdx_licenses(names.withColumn("name", F.expr(_SPELL)), _known_licenses(spark)).select("path", "match_ord", "name", "spdxid")
 
 
 @query("D23_copyleft_flag", f"""WITH {MATCHES_SQL}, {COPYLEFT_SQL}, n AS (SELECT DISTINCT l.name AS spdxid FROM (SELECT unnest(licenses) AS l FROM matches))
@@ -479,9 +493,9 @@ def _e6(spark, d):
     return reports.cyclonedx_components(I.matches(spark, d), I.deps(spark, d))
 
 
-_SPDX = f"""WITH {_SIGHTED}, k AS (SELECT * FROM {I.values(_KNOWN, 'spdx_key, spdx_name')}),
+_SPDX = f"""WITH {_SIGHTED}, {_LOOKUP},
 n AS (SELECT purl, version, unnest(list_distinct(list_transform(list_filter(licenses, lambda x: x.source IS NULL OR {_LISTED}), lambda x: x.name))) AS name FROM firsts),
-i AS (SELECT purl, list_sort(list_distinct(list(coalesce(spdx_name, 'LicenseRef-' || replace(name, ' ', '-'))))) AS ids FROM n LEFT JOIN k ON lower(replace(name, ' ', '-')) = spdx_key GROUP BY purl),
+i AS (SELECT purl, list_sort(list_distinct(list({_FOUND}))) AS ids FROM n {_STEPS} GROUP BY purl),
 p AS (SELECT f.purl, 'SPDXRef-' || md5(f.purl || '@' || f.version) AS spdx_id, CASE WHEN ids IS NULL THEN 'NOASSERTION' WHEN len(ids) = 1 THEN ids[1] ELSE '(' || array_to_string(ids, ' AND ') || ')' END AS license FROM firsts f LEFT JOIN i ON f.purl = i.purl)"""
 
 

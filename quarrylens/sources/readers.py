@@ -166,6 +166,17 @@ def parsed_violations(rows: DataFrame, value: Column) -> DataFrame:
     return rows.select("place", "v.type", "v.timestamp", "v.uuid", "v.component.purl", F.col("v.component.name").alias("component"), F.col("v.component.version").alias("version"), F.col("v.policyCondition.policy.name").alias("policy"), F.col("v.policyCondition.policy.violationState").alias("state"))
 
 
+def spdx_list(spark: SparkSession, path: str) -> DataFrame:
+    """The public SPDX licence list (JSON): ``place, spdx_key, spdx_name, license_name`` in its order."""
+    return parsed_spdx_list(spark.read.text(path, wholetext=True), F.col("value"))
+
+
+def parsed_spdx_list(rows: DataFrame, value: Column) -> DataFrame:
+    """The licences of a list's document; those without an id are left out."""
+    read = rows.select(F.posexplode(F.from_json(value, "licenses array<struct<licenseId: string, name: string>>")["licenses"]).alias("place", "x"))
+    return read.filter("x.licenseId <> ''").select("place", F.lower("x.licenseId").alias("spdx_key"), F.col("x.licenseId").alias("spdx_name"), F.col("x.name").alias("license_name"))
+
+
 def settings(path: str | None = None, default: str = "settings.json") -> dict:
     """Settings from a JSON file. The default file may be missing; a named one that is missing or empty gives no settings."""
     found = Path(path or default)

@@ -110,3 +110,11 @@ def test_stream_gives_the_batch_result(spark, tmp_path, sf_dir):
     streamed = spark.read.parquet(str(tmp_path / "out"))
     assert streamed.count() == batch.count() > 0
     assert streamed.exceptAll(batch.select(*streamed.columns)).isEmpty()
+
+
+def test_spdx_list(spark, tmp_path):
+    document = {"licenseListVersion": "3", "licenses": [{"licenseId": "Foo-1.0", "name": "Foo License", "isDeprecatedLicenseId": False}, {"licenseId": "", "name": "none"}, {"name": "no id"}, {"licenseId": "Bar"}]}
+    (tmp_path / "list.json").write_text(json.dumps(document, indent=2))
+    assert sorted(map(tuple, readers.spdx_list(spark, str(tmp_path / "list.json")).collect())) == [(0, "foo-1.0", "Foo-1.0", "Foo License"), (3, "bar", "Bar", None)]
+    (tmp_path / "empty.json").write_text("{}")
+    assert readers.spdx_list(spark, str(tmp_path / "empty.json")).count() == 0
