@@ -8,9 +8,11 @@ space. All work is done by DataFrame operators.
    stay apart. Map-side aggregation turns the copies within a task into one row before the
    shuffle, so a text that fills a third of the table costs one row per task.
 2. What is left of a text is its hash, its smallest id and its count; that table is checkpointed.
-3. Rows are joined back by hash, without their text. Both sides carry a salt, so the rows of a
-   hot text are dealt to several tasks. Only if two different texts share a hash, their rows are
-   joined by hash and bytes.
+3. Rows are joined back by hash, without their text. Texts that make up more than one of ``HOT_GROUPS``
+   parts of all copies are fewer than ``HOT_GROUPS``, whatever the size of the table: these are
+   broadcast, and their rows, whose result is known then, are dealt to all tasks of the join that
+   gives the others theirs. So no task of it gets a larger part than that of one text. Only if two
+   different texts share a hash, their rows are joined by hash and bytes.
 
 Defined results: a null text counts as empty; empty texts are equal to each other. A null id
 is larger than every id, and stays only where all copies have a null id. Rows that repeat the
@@ -25,14 +27,15 @@ from pyspark.sql import functions as F
 
 from quarrylens.llm.common import BLANKS, checkpointed, text_of
 
-SALTS = 8
+#: Texts with more than one of so many parts of all copies are broadcast; there are fewer of them.
+HOT_GROUPS = 1000
 
 
 def normalised(df: DataFrame, text_col: str = "text") -> Column:
     return F.regexp_replace(text_of(df, text_col), BLANKS, " ")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, salts: int = SALTS) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, hot_groups: int = HOT_GROUPS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, keep_id, group_size, kept, text_sha256`` and, in a
     struct ``row``, the columns named in ``carry`` (none by default)."""
     norm = normalised(docs, text_col)
@@ -45,17 +48,25 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = texts.groupBy("hash").agg(F.count(F.lit(1)).alias("n_texts"), F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
     groups = checkpointed(groups.filter("group_size > 1"))
 
-    same = groups.filter("n_texts = 1").select("hash", "keep_id", "group_size", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    rows = keyed.select("doc_id", "row", "hash", F.sha2("norm", 256).alias("text_sha256"), F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"))
+    copies = groups.agg(F.sum("group_size")).first()[0] or 0
+    is_hot = F.col("group_size") * hot_groups > copies
+    one = groups.filter("n_texts = 1")
+    hot = one.filter(is_hot).select("hash", F.col("keep_id").alias("hot_keep"), F.col("group_size").alias("hot_size"))
+    same = one.filter(~is_hot).select("hash", "keep_id", "group_size", F.lit(0).cast("long").alias("salt"))
+    rows = keyed.select("doc_id", "row", "hash", F.sha2("norm", 256).alias("text_sha256"))
     mixed = groups.filter("n_texts > 1").select("hash")
     parts = []
     if not mixed.isEmpty():
-        parts = [_by_bytes(keyed, texts, mixed)]
+        parts = [_by_bytes(keyed, texts, mixed).withColumns({"hot_keep": F.lit(None).cast("long"), "hot_size": F.lit(None).cast("long")})]
         rows = rows.join(mixed, "hash", "left_anti")
+    # rows of hot texts meet no other row below, so they are dealt anywhere
+    anywhere = F.pmod(F.xxhash64("doc_id", F.spark_partition_id()), F.lit(1 << 30)) + 1
+    rows = rows.join(F.broadcast(hot), "hash", "left").withColumn("salt", F.when(F.col("hot_size").isNull(), 0).otherwise(anywhere).cast("long"))
     parts.insert(0, rows.join(same, ["hash", "salt"], "left"))
     out = None
     for part in parts:
-        part = part.select("row", "doc_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), "text_sha256")
+        keep = F.when(F.col("hot_size").isNotNull(), F.col("hot_keep")).when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
+        part = part.select("row", "doc_id", keep.alias("keep_id"), F.coalesce("hot_size", "group_size", F.lit(1)).cast("long").alias("group_size"), "text_sha256")
         out = part if out is None else out.unionByName(part)
     out = out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
     columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]

@@ -36,6 +36,14 @@ def test_exact(table, request):
     assert sorted(map(repr, found)) == exact_brute(text_rows(docs))
 
 
+@pytest.mark.parametrize("hot_groups", [1, 4, 1000])
+def test_exact_with_and_without_hot_texts(hot_groups, docs_of):
+    rng = random.Random(7)
+    rows = [(rng.choice([i, i, i, None]), rng.choice(["hot text"] * 5 + [" warm  text", "warm text\n"] + [f"text {k}" for k in range(60)] + [None, ""])) for i in range(900)]
+    found = exact_dedup.exact_dedup(docs_of(rows).repartition(3), hot_groups=hot_groups).collect()
+    assert sorted(map(repr, map(tuple, found))) == exact_brute([(i, t or "") for i, t in rows])
+
+
 def test_exact_collisions_are_told_by_bytes(docs_of, monkeypatch):
     monkeypatch.setattr(F, "md5", lambda c: F.lit("00"))  # all texts share one hash
     docs = docs_of([(1, "a"), (2, "b"), (3, "a"), (4, "c")])
