@@ -12,7 +12,8 @@ between runs can be compared without a second look at the text (a word further i
 Hits are rare, so only they, and one row per document, are shuffled.
 
 Besides, the places where fixed phrases stand are counted. Defined results: a null or empty text has no words and no
-labels; null ids are kept; repeated rows give repeated rows; an empty table gives an empty table; other columns of ``docs``,
+labels; null ids are kept; repeated rows give repeated rows (their hits count once, so a row that is repeated very often is
+no large group); an empty table gives an empty table; other columns of ``docs``,
 whatever their names, are not looked at.
 """
 
@@ -173,7 +174,7 @@ def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tem
     hits = hits.select("doc", "version", "template", "label", "words", F.when(F.col("template") < 0, F.col("info")).alias("info"), (F.col("place") - 1).cast("long").alias("place"), F.col("at").cast("long").alias("at"), "before", "after")
     hit = F.when(F.col("template") >= 0, F.struct("place", "at", "before", "after"))
     voted = hits.groupBy("doc", "version", "template", (F.col("place") - F.col("at")).alias("diagonal")).agg(
-        F.max("info").alias("info"), F.max("label").alias("label"), F.max("words").alias("words"), F.count(F.lit(1)).alias("votes"), F.collect_list(hit).alias("hits")
+        F.max("info").alias("info"), F.max("label").alias("label"), F.max("words").alias("words"), F.count(F.lit(1)).alias("votes"), F.collect_set(hit).alias("hits")
     )
     # neighbouring diagonals make one span: a new one begins after a gap of more than SHIFT
     order = Window.partitionBy("doc", "version", "template").orderBy("diagonal")

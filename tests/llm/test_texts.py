@@ -360,6 +360,13 @@ def test_labels_and_scores_by_comparing_words(docs_of, real):
     assert all(label in labels.split(",") and len([x for x in labels.split(",") if x != "gpl"]) == 1 for label, labels in named.items()), named
 
 
+def test_one_row_with_a_notice_very_often(docs_of):
+    """Equal rows share their hits, and each has its result."""
+    docs = docs_of([(None, f"x {NOTICE} y")] * 3000 + [(2, "nothing")] * 3).repartition(4)
+    found = license_scan.scanned(docs).collect()
+    assert len(found) == 3003 and {(r.doc_id, r.labels, r.score, len(r.spans)) for r in found} == {(None, "apache,apache-2.0", 1.0, 1), (2, "", 0.0, 0)}
+
+
 def test_license_of_many_documents_at_once(docs_of):
     """A phrase and a notice that every document has."""
     docs = docs_of([(k, f"Document {k}. Released under the MIT License. " * (1 + k % 3)) for k in range(2000)] + [(-1, "MIT License " * 50_000)])
