@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrylens.session import checkpoint_folder, checkpointed
 
-__all__ = ["BLANKS", "checkpoint_folder", "checkpointed", "documents", "free_name", "looked_up", "shuffle_partitions", "text_of"]
+__all__ = ["BLANKS", "checkpoint_folder", "checkpointed", "documents", "forget", "free_name", "looked_up", "scratch_folder", "shuffle_partitions", "text_of", "written"]
 
 #: Java regular expression of a run of the six ASCII white-space bytes.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -41,3 +43,20 @@ def looked_up(rows: DataFrame, found: DataFrame, keys: list[str], salts: int = 8
     rest = [c for c in rows.columns if c not in keys]
     dealt = rows.withColumn("lookup_salt", F.pmod(F.xxhash64(*rest) if rest else F.lit(0), F.lit(salts)).cast("int"))
     return dealt.join(found.withColumn("lookup_salt", spread), [*keys, "lookup_salt"], how).drop("lookup_salt")
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written as a Parquet table to the shared folder and read again: lineage ends there, and columns can be read alone."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a table that :func:`written` made and that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

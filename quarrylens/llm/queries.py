@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarrylens.llm import bpe, exact_dedup, html_text, license_scan, near_dedup, packing, pii, quality_rules, substring_dedup, token_counts
+from quarrylens.llm import bpe, exact_dedup, html_text, license_scan, near_dedup, packing, pii, quality_rules, sharding, substring_dedup, token_counts, vector_codes, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,16 +59,34 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digests(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digests(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+QUERIES = (
+    op1_packing, op2_substring_dedup, op3_near_dedup, op4_quality, op5_token_counts, op6_html, op7_exact_dedup, op8_license, op9_pii, op10_bpe,
+    op11_vector_codes, op12_whitening, op13_sharding, pipeline,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_substring_dedup, op3_near_dedup, op4_quality, op5_token_counts, op6_html, op7_exact_dedup, op8_license, op9_pii, op10_bpe, pipeline)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality": _quality_sql(), "op7_exact_dedup": EXACT_SQL}
+    return {"op4_quality": _quality_sql(), "op7_exact_dedup": EXACT_SQL, "op11_vector_codes": _codes_sql()}
 
 
 EXACT_SQL = r"""
@@ -132,3 +150,38 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        n_repeat_words::BIGINT AS n_repeat_words, base_failed, NOT base_failed AND NOT unlike AS kept
 FROM v
 """
+
+
+def _codes_sql() -> str:
+    """Every part against every entry, in whole numbers that doubles hold exactly."""
+    q = vector_codes
+    steps = [rf"""
+WITH r AS (
+  SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda c: floor({q.SCALE} * c::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), p AS (
+  SELECT rid, k, x[k * len(x) // {q.PARTS} + 1 : (k + 1) * len(x) // {q.PARTS}]::DOUBLE[] AS v FROM r, range({q.PARTS}) t(k)
+), seeds AS (
+  SELECT rid, row_number() OVER (ORDER BY vec_id NULLS LAST, x) - 1 AS entry FROM r QUALIFY entry < {q.ENTRIES}
+), b0 AS (SELECT k, entry, v FROM p JOIN seeds USING (rid))"""]
+    for n in range(q.ROUNDS + 1):
+        steps.append(rf"""a{n} AS MATERIALIZED (
+  SELECT p.rid, p.k, min((list_dot_product(p.v, p.v) - 2 * list_dot_product(p.v, b.v) + list_dot_product(b.v, b.v))::BIGINT * {q.ENTRIES} + b.entry) AS best
+  FROM p JOIN b{n} b ON p.k = b.k GROUP BY p.rid, p.k
+)""")
+        if n < q.ROUNDS:
+            steps.append(rf"""m{n} AS (
+  SELECT k, entry, i, sum(c) AS s, count(*) AS n
+  FROM (SELECT p.k, best % {q.ENTRIES} AS entry, unnest(range(len(v))) AS i, unnest(v)::BIGINT AS c FROM p JOIN a{n} USING (rid, k)) GROUP BY k, entry, i
+), b{n + 1} AS MATERIALIZED (
+  SELECT k, entry, coalesce(w, v) AS v FROM b{n}
+  LEFT JOIN (SELECT k, entry, list(((s - ((s % n) + n) % n) // n)::DOUBLE ORDER BY i) AS w FROM m{n} GROUP BY k, entry) USING (k, entry)
+)""")
+    last = q.ROUNDS
+    steps.append(rf"""books AS (
+  SELECT sha256(string_agg(c::BIGINT, ',' ORDER BY k, entry, i)) AS h FROM (SELECT k, entry, unnest(range(len(v))) AS i, unnest(v) AS c FROM b{last})
+), coded AS (
+  SELECT rid, string_agg(printf('%02x', best % {q.ENTRIES}), '' ORDER BY k) AS code, sum(best // {q.ENTRIES})::BIGINT AS error FROM a{last} GROUP BY rid
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256 FROM r JOIN coded USING (rid), books""")
+    return ",\n".join(steps)
