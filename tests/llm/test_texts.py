@@ -360,6 +360,24 @@ def test_labels_and_scores_by_comparing_words(docs_of, real):
     assert all(label in labels.split(",") and len([x for x in labels.split(",") if x != "gpl"]) == 1 for label, labels in named.items()), named
 
 
+def test_license_spans_are_aligned_whole(docs_of, spark, tmp_path):
+    """Words far from any hit count as they are, and words changed in a row don't."""
+    template = [f"t{k}" for k in range(120)]
+    templates = {"own": [" ".join(template)], "long": [" ".join(f"u{k}" for k in range(6000))]}
+    fourth = template[:20] + [f"x{k}" if k % 4 == 3 else w for k, w in enumerate(template[20:100])] + template[100:]
+    gone = template[:20] + [f"x{k}" for k in range(80)] + template[100:]
+    long = [f"u{k}" if k < 8 or k > 5990 or k % 4 else "y" for k in range(6000)]
+    far = template[:60] + ["z"] * 9000 + template[60:]
+    docs = docs_of([(1, " ".join(template)), (2, " ".join(gone)), (3, " ".join(["a", "b", *fourth, "c"])), (4, " ".join(long)), (5, " ".join(far)), (6, " ".join([*fourth, *far, *template]))])
+    found = {r.doc_id: (r.labels, round(r.score, 2), [(s.first, s.stop) for s in r.spans]) for r in license_scan.scanned(docs, templates=templates).collect()}
+    assert found[1] == ("own", 1.0, [(0, 120)]) and found[2] == ("", 0.0, [])
+    assert found[3] == ("own", 0.83, [(2, 122)]) and found[4] == ("long", 0.75, [(0, 6000)]) and found[5][0] == ""
+    assert found[6] == ("own", 1.0, [(0, 120), (9240, 9360)])
+    for name, texts in templates.items():
+        (tmp_path / f"{name}.txt").write_text(texts[0])
+    assert license_scan.folder_templates(spark, str(tmp_path)) == {k: templates[k] for k in sorted(templates)}
+
+
 def test_one_row_with_a_notice_very_often(docs_of):
     """Equal rows share their hits, and each has its result."""
     docs = docs_of([(None, f"x {NOTICE} y")] * 3000 + [(2, "nothing")] * 3).repartition(4)
