@@ -487,6 +487,41 @@ def test_pages(spark):
     assert {(r.page_id, r.url) for r in html_text.extracted(odd).collect()} == {(1, None), (None, "u")}
 
 
+P30, P4 = " ".join(f"word{k}" for k in range(30)) + ".", "A short one here."
+
+
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        (f'<html><body><form id="aspnetForm"><div class="nav"><a href=/>Home</a> <a>x</a></div><p>{P30}</p><p>{P4}</p><p>{P30}</p><div class="footer">copyright 2020</div></form></body></html>', [P30, P4, P30]),
+        (f"<form id='aspnetForm'><p>{P4}</p><p>{P30}</p><p>{P4}</p></form>", [P4, P30, P4]),
+        (f"<body><div class='page search'><p>{P30}</p><p>{P30}</p></div></body>", [P30, P30]),
+        (f"<body><div class='page search'><form><div class='x comments'><p>{P30}</p></div><p>{P30}</p></form></div></body>", [P30]),
+        ("<html><body><p>The shop is closed.</p></body></html>", ["The shop is closed."]),
+        ("<nav><a>Home</a></nav><div><h2>News</h2><p>The shop is closed.</p><p>Open</p></div><footer>Copyright me and all others there.</footer>", ["News", "The shop is closed."]),
+        (f"<div class='post'><p>{P30}</p><p>{P4}</p><p>{P4}</p><p>{P4}</p></div><div class='a comments'><p>{P30}</p><p>{P30}</p></div>", [P30, P4, P4, P4]),
+        (f"<nav><a>a b c</a></nav><footer>{P30}</footer>", []),
+        ("<div>Close</div><div>Next page</div>", []),
+    ],
+)
+def test_pages_in_wrappers_and_of_one_sentence(page, texts):
+    assert html_text.main_text(page, html_text.grown(*html_text.labelled())).split("\n\n") == (texts or [""])
+
+
+@pytest.mark.parametrize(("body", "article"), [("<body>", "<div>"), ("<body>", '<div class="page search">'), ('<body><form id="aspnetForm">', "<div>"), ('<body class="comments"><div class="site has-sidebar share" id="w1"><form action="/">', '<div class="c2">')])
+def test_pages_of_the_table_without_articles(spark, body, article):
+    """Pages whose article is a bare element in a wrapper: no text from elsewhere, and nearly all the texts."""
+    tree, same, total = html_text.grown(*html_text.labelled()), 0, 0
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        inside = re.search(r"<article>(.*?)(</article>|\Z)", r.html or "", re.S)
+        inside = re.sub("<footer>.*", "", inside[1] if inside else "", flags=re.S).replace("<br>", " ")
+        parts = [p for p in (" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", inside)) if p]
+        found = html_text.main_text((r.html or "").replace("<body>", body).replace("<article>", article).replace("</article>", "</div>"), tree).split("\n\n")
+        assert set(found) <= {*parts, ""}
+        same, total = same + (found == (parts or [""])), total + 1
+    assert same >= 0.95 * total
+
+
 @pytest.mark.parametrize("piece", ["<a b ", "<div>", "<div></span></p>", "<a \"'", "<a b='", "<", "</script x", "<svg x", "<svg>", "<!-- <", "<ul><li>x"])
 def test_a_megabyte_of_broken_markup_takes_a_moment(piece):
     import time
