@@ -140,7 +140,7 @@ def test_densified_signatures_estimate_similarity():
 
 def test_rows_for_a_bucket_of_many_members(spark):
     """The largest star isn't sent to all blocks: rows grow with the members, not with their square."""
-    members = spark.range(20_000).selectExpr("1L AS key", "0L AS centre", "id AS rep", "100L AS n_shingles", "20000L AS size")
+    members = spark.range(20_000).selectExpr("1L AS key", "0 AS band", "0L AS centre", "id AS rep", "100L AS n_shingles", "20000L AS size")
     stars = spark.range(1, 19_900).selectExpr("id AS rep", "0L AS star")  # the last 100 are stars of their own
     classes = spark.range(20_000).selectExpr("id AS rep", "CAST('' AS BINARY) AS sketch")
     found = near_dedup._met_blocks(members, stars, classes)
@@ -152,6 +152,38 @@ def test_rows_for_a_bucket_of_many_members(spark):
     assert blocks.filter("rep = 0").count() == 20 and blocks.count() == 4999 + 20
 
 
+def test_rows_for_a_large_bucket_of_unlinked_members(spark):
+    """A large bucket is split: members with nothing else in common make no rows, those of one template few."""
+    n, values = 16_000, near_dedup.BANDS * near_dedup.ROWS
+    rng = np.random.default_rng(4)
+    sketches = rng.integers(0, 1 << 16, (n, values)).astype("<u2")
+    sketches[:, :5] = 7
+    members = spark.range(n).selectExpr("1L AS key", "0 AS band", "0L AS centre", "id AS rep", "100L AS n_shingles", f"{n}L AS size")
+    stars = spark.createDataFrame([], "rep long, star long")
+    for template in (0.0, 0.5):
+        sketches[rng.random((n, values)) < template] = 9
+        classes = spark.createDataFrame([(i, s.tobytes()) for i, s in enumerate(sketches)], "rep long, sketch binary")
+        found = near_dedup._met_blocks(members, stars, classes)
+        assert found.filter("NOT deep").count() == 0
+        # before the split: n * n / 256, a million
+        assert found.count() < (100_000 if template == 0 else 400_000)
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_near_with_split_buckets(seed, docs_of, monkeypatch):
+    """Pages of one template, some with near copies, in buckets that all count as large."""
+    monkeypatch.setattr(near_dedup, "BIG", 3)
+    rng = random.Random(seed)
+    template = [f"t{k}" for k in range(60)]
+    rows = []
+    for i in range(90):
+        own = [f"p{rng.randrange(30)}x{k}" for k in range(rng.choice([10, 40, 60]))]
+        rows.append((i, " ".join(template + own)))
+        if i % 3 == 0:
+            rows.append((1000 + i, " ".join(template + own[:-2] + ["an", "edit"])))
+    assert sorted(map(repr, (tuple(r) for r in near_dedup.near_dedup(docs_of(rows)).collect()))) == near_brute(rows)
+
+
 def test_near_of_a_long_text_and_repeated_ids(docs_of):
     long = " ".join(f"w{k * 7919 % 10007}" for k in range(40_000))
     rows = [(1, long), (2, long + " and some more words at the end"), (3, "other text of a few words only here"), (3, long), (4, long.replace("w5", "x5")), (5, "other text of a few words only here")]
