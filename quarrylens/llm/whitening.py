@@ -36,7 +36,7 @@ from quarrylens.llm.vectors import common_length, matrix, usable, whole
 
 SCALE, LARGEST, COMPONENTS = 256, (1 << 31) - 1, 4
 #: Columns of the first block, beyond the components.
-EXTRA = 12
+EXTRA = 28
 #: Residuals, as a part of the largest eigenvalue: wanted, and good enough where they stop falling.
 WANTED, ENOUGH = 1e-13, 1e-9
 #: Smallest variance of a component, as a part of the largest.
