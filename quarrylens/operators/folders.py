@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrylens.functions import codecs
 from quarrylens.functions.columns import suffix
 from quarrylens.functions.udfs import crc64, word_hashes
+from quarrylens.operators.hamming import near_hashes
+from quarrylens.session import checkpointed
 
 MIN_FILES, MIN_NAME_BYTES = 8, 32
 
@@ -108,3 +110,36 @@ def folder_documents(files: DataFrame, depth: int = 1) -> DataFrame:
         children = here.groupBy(F.col("up").alias("parent")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("dir", "json"))), lambda x: x["json"]), ",").alias("inner"))
         out = here.drop("up") if out is None else out.unionByName(here.drop("up"))
     return out
+
+
+#: A folder's hashes, and what a folder scan asks for by default.
+FOLDER_HASHES = ("sim_hash_names", "sim_hash_dir_names", "sim_hash_content")
+RANKS, RECURSIVE_SCORE, LEAST_SCORE, FOLDER_BITS = 5, 0.8, 0.15, 8
+
+
+def _hash_rows(rows: DataFrame, name: str, hashes: tuple[str, ...]) -> DataFrame:
+    kinds = F.explode(F.array(*[F.struct(F.lit(h).alias("kind"), F.conv(F.col(h), 16, -10).cast("long").alias("hash")) for h in hashes]))
+    return rows.select(F.col(name).alias("name"), kinds.alias("k")).select("name", "k.*").filter("hash IS NOT NULL")
+
+
+def folder_matches(
+    ours: DataFrame, base: DataFrame, hashes: tuple[str, ...] = FOLDER_HASHES, within: int = FOLDER_BITS,
+    ranks: int = RANKS, recursive_score: float = RECURSIVE_SCORE, least_score: float = LEAST_SCORE,
+) -> DataFrame:
+    """``dir, kb_dir, n_hashes, distance, score, rank``: folders of a local base that are like ours (an extension: the base of the original is remote).
+
+    Hashes (unpadded hex, columns of both tables; the base has ``kb_dir`` for ``dir``) are joined where they differ in at most ``within`` bits. The score is the mean over ``hashes`` of
+    ``1 - distance / 64``, 0 for those that aren't near. Folders of the base are ranked by score and then name; ``ranks`` of them with ``least_score`` or more stay. Folders below one
+    that has a match of ``recursive_score`` or more are answered by that one and left out."""
+    mine, theirs = checkpointed(_hash_rows(ours, "dir", hashes)), checkpointed(_hash_rows(base, "kb_dir", hashes))
+    near = near_hashes(mine, theirs, within, ("kind",))
+    found = near.join(mine.select("kind", F.col("hash").alias("hash_a"), F.col("name").alias("dir")), ["kind", "hash_a"])
+    found = found.join(theirs.select("kind", F.col("hash").alias("hash_b"), F.col("name").alias("kb_dir")), ["kind", "hash_b"])
+    pairs = found.groupBy("dir", "kb_dir").agg(F.count(F.lit(1)).cast("int").alias("n_hashes"), F.sum("distance").cast("int").alias("distance"))
+    score = (F.col("n_hashes") - F.col("distance") / 64) / len(hashes)
+    place = F.row_number().over(Window.partitionBy("dir").orderBy(F.desc("score"), "kb_dir"))
+    best = pairs.withColumn("score", score).filter(F.col("score") >= least_score).withColumn("rank", place).filter(F.col("rank") <= ranks)
+    done = best.filter((F.col("rank") == 1) & (F.col("score") >= recursive_score)).select(F.col("dir").alias("above"))
+    up = F.expr("transform(sequence(0, size(split(dir, '/')) - 1), n -> if(n = 0, '.', array_join(slice(split(dir, '/'), 1, n), '/')))")
+    inside = best.select("dir").distinct().filter("dir <> '.'").select("dir", F.explode(up).alias("above")).filter("above <> dir")
+    return best.join(inside.join(done, "above").select("dir").distinct(), "dir", "left_anti")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrylens.functions import columns as C
 from quarrylens.functions.fixed_values import CSV_COLUMNS
+from quarrylens.operators.filters import valid_matches
 from quarrylens.session import checkpointed
 
 LICENSE_LIST_SOURCES = ["component_declared", "license_file", "file_header"]
@@ -58,11 +59,18 @@ def csv_rows(matches: DataFrame, deps: DataFrame) -> DataFrame:
     return numbered(plain.unionByName(listed), ["file_ord", "match_ord", "dep_ord"], "inventory_id").select(*CSV_COLUMNS)
 
 
-def _sighted(matches: DataFrame, deps: DataFrame) -> DataFrame:
-    """``place, purl, component, version, license names`` of all first purls and dependencies, in order of sight."""
-    plain = matches.filter("id NOT IN ('none', 'dependency') AND size(purl) > 0").select(F.struct("file_ord", "match_ord", F.lit(-1).alias("dep_ord")).alias("place"), F.element_at("purl", 1).alias("purl"), "component", "version", "licenses")
+def _field(rows: DataFrame, name: str) -> Column:
+    """A text field of ``rows``, null where they have none of that name."""
+    return (rows[name] if name in rows.columns else F.lit(None)).cast("string").alias(name)
+
+
+def _sighted(matches: DataFrame, deps: DataFrame, fields: tuple[str, ...] = ()) -> DataFrame:
+    """``place, purl, component, version, license names`` and ``fields`` of all first purls and dependencies, in order of sight."""
+    plain = matches.filter("id NOT IN ('none', 'dependency') AND size(purl) > 0")
+    plain = plain.select(F.struct("file_ord", "match_ord", F.lit(-1).alias("dep_ord")).alias("place"), F.element_at("purl", 1).alias("purl"), "component", "version", "licenses", *[_field(plain, f) for f in fields])
     one = F.when(F.col("license").isNull(), F.array().cast("array<struct<name:string,source:string>>")).otherwise(F.array(F.struct(F.col("license").alias("name"), F.lit(None).cast("string").alias("source"))))
-    listed = deps.filter("purl IS NOT NULL").select(F.struct("file_ord", F.lit(0).alias("match_ord"), "dep_ord").alias("place"), "purl", "component", "version", one.alias("licenses"))
+    listed = deps.filter("purl IS NOT NULL")
+    listed = listed.select(F.struct("file_ord", F.lit(0).alias("match_ord"), "dep_ord").alias("place"), "purl", "component", "version", one.alias("licenses"), *[_field(listed, f) for f in fields])
     return plain.unionByName(listed)
 
 
@@ -80,37 +88,65 @@ def cyclonedx_components(matches: DataFrame, deps: DataFrame) -> DataFrame:
     return first.select("purl", "x.component", "x.version", F.array_join("x.names", ",").alias("licenses"))
 
 
-def spdx_licenses(rows: DataFrame, known: DataFrame, name: str = "name", column: str = "spdxid") -> DataFrame:
-    """``rows`` with the SPDX id of the licence in ``name``; names that the SPDX list lacks become references.
+def spdx_ids(rows: DataFrame, known: DataFrame, name: str = "name", column: str = "spdxid") -> DataFrame:
+    """``rows`` with the SPDX id of the licence in ``name``, null for names that the SPDX list lacks.
 
     ``known`` is that list in order: ``place``, ``spdx_key`` (the id in lower case), ``spdx_name`` (the id), ``license_name``. A name is
     looked up in four steps, and the first hit counts: as an id without white space, as an id with dashes in its stead, and
     both as a licence's name. Ids are also known by their part before the first dash, where no other id is that part; of
-    several ids the first in the list counts then, and of several of one name the last."""
+    several ids the first in the list counts then, and of several of one name the last. Each distinct name is looked up once, in one join."""
     short = F.substring_index("spdx_key", "-", 1)
     ids = known.select("place", F.col("spdx_key").alias("key"), "spdx_name", F.lit(True).alias("whole"))
     ids = ids.unionByName(known.filter(short != F.col("spdx_key")).select("place", short.alias("key"), "spdx_name", F.lit(False).alias("whole")))
     by_id = ids.groupBy("key").agg(F.coalesce(F.max_by("spdx_name", F.when(F.col("whole"), F.col("place"))), F.min_by("spdx_name", "place")).alias("found"))
     by_name = known.select("place", C.license_keys(F.col("license_name"))[0].alias("key"), "spdx_name").filter("key <> ''").groupBy("key").agg(F.max_by("spdx_name", "place").alias("found"))
-    out, hits = rows, []
-    for k, (table, key) in enumerate((t, key) for t in (by_id, by_name) for key in C.license_keys(F.col(name))):
-        step = table.select(F.col("key").alias(f"spdx_step_key_{k}"), F.col("found").alias(f"spdx_step_{k}"))
-        out = out.join(step, key == F.col(f"spdx_step_key_{k}"), "left").drop(f"spdx_step_key_{k}")
-        hits.append(f"spdx_step_{k}")
+    table = by_id.withColumn("kind", F.lit("id")).unionByName(by_name.withColumn("kind", F.lit("name")))
+    keys = C.license_keys(F.col("spdx_of"))
+    steps = F.array(*[F.struct(F.lit(n).alias("step"), F.lit(kind).alias("kind"), key.alias("key")) for n, (kind, key) in enumerate((k, key) for k in ("id", "name") for key in keys)])
+    names = rows.select(F.col(name).alias("spdx_of")).distinct().select("spdx_of", F.explode(steps).alias("s")).select("spdx_of", "s.*")
+    found = names.join(table, ["kind", "key"]).groupBy("spdx_of").agg(F.min_by("found", "step").alias(column))
+    return rows.join(found, rows[name] == found["spdx_of"], "left").drop("spdx_of")
+
+
+def spdx_licenses(rows: DataFrame, known: DataFrame, name: str = "name", column: str = "spdxid") -> DataFrame:
+    """The same, where names that the SPDX list lacks become references."""
     dashed = F.replace(F.col(name), F.lit(" "), F.lit("-"))
     reference = F.when(F.col(name).startswith("LicenseRef"), dashed).otherwise(F.concat(F.lit("LicenseRef-"), dashed))
-    return out.withColumn(column, F.coalesce(*hits, reference)).drop(*hits)
+    return spdx_ids(rows, known, name, column).withColumn(column, F.coalesce(column, reference))
+
+
+#: Fields of a package besides its purl, component, version and licences.
+PACKAGE_FIELDS = ("vendor", "url", "url_hash", "download_url")
 
 
 def spdx_packages(matches: DataFrame, deps: DataFrame, known: DataFrame) -> DataFrame:
-    """``purl, spdx_id, license``: packages of the first sighting of each purl. ``known`` is the SPDX list, as in ``spdx_licenses``."""
-    rows = _sighted(matches, deps).withColumn("names", _license_names(False))
-    first = rows.groupBy("purl").agg(F.min(F.struct("place", "version", "names")).alias("x")).select("purl", F.coalesce("x.version", F.lit("")).alias("version"), F.col("x.names").alias("names"))
-    ids = first.select("purl", "version", F.explode("names").alias("name"))
-    ids = spdx_licenses(ids, known).groupBy("purl", "version").agg(F.array_sort(F.collect_set("spdxid")).alias("ids"))
-    joined = first.select("purl", "version").join(ids, ["purl", "version"], "left")
+    """``purl, spdx_id, license`` and ``component, version, vendor, url, url_hash, download_url, place``: packages of the first sighting of each purl. Fields that
+    the matches don't have are null. ``known`` is the SPDX list, as in ``spdx_ids``."""
+    rows = _sighted(matches, deps, PACKAGE_FIELDS).withColumn("names", _license_names(False))
+    fields = ("component", "version", *PACKAGE_FIELDS)
+    first = rows.groupBy("purl").agg(F.min(F.struct("place", *fields, "names")).alias("x")).select("purl", "x.*").withColumn("version", F.coalesce("version", F.lit("")))
+    ids = spdx_licenses(first.select("purl", F.explode("names").alias("name")), known).groupBy("purl").agg(F.array_sort(F.collect_set("spdxid")).alias("ids"))
+    joined = first.drop("names").join(ids, "purl", "left")
     text = F.when(F.coalesce(F.size("ids"), F.lit(0)) < 1, "NOASSERTION").when(F.size("ids") == 1, F.element_at("ids", 1)).otherwise(F.concat(F.lit("("), F.array_join("ids", " AND "), F.lit(")")))
-    return joined.select("purl", F.concat(F.lit("SPDXRef-"), F.md5(F.concat_ws("@", "purl", "version"))).alias("spdx_id"), text.alias("license"))
+    return joined.select("purl", F.concat(F.lit("SPDXRef-"), F.md5(F.concat_ws("@", "purl", "version"))).alias("spdx_id"), text.alias("license"), *fields, "place")
+
+
+def cyclonedx_packages(matches: DataFrame, deps: DataFrame, known: DataFrame, cpes: DataFrame | None = None) -> DataFrame:
+    """``purl, component, vendor, version, licenses, cpe, place``: components of the first sighting of each purl. ``licenses`` are structs of the SPDX ``id``, or of the
+    ``name`` of a licence that the SPDX list lacks, each once, ids first and in order. ``cpes`` has ``file_ord, match_ord, cpe``."""
+    listed = F.filter("licenses", lambda x: F.when(F.col("place.dep_ord") >= 0, F.lit(True)).otherwise(F.coalesce(x["source"].isin(*LICENSE_LIST_SOURCES), F.lit(False))))
+    rows = _sighted(matches, deps, ("vendor",)).withColumn("names", F.array_distinct(F.filter(F.transform(listed, lambda x: x["name"]), lambda n: F.coalesce(n, F.lit("")) != "")))
+    first = rows.groupBy("purl").agg(F.min(F.struct("place", "component", "vendor", "version", "names")).alias("x")).select("purl", "x.*")
+    found = spdx_ids(first.select("purl", F.explode("names").alias("name")), known)
+    one = F.struct(F.col("spdxid").isNull().alias("own"), F.coalesce("spdxid", "name").alias("text"))
+    none = F.array().cast("array<struct<id:string,name:string>>")
+    ids_first = F.transform(F.array_sort(F.collect_set(one)), lambda x: F.struct(F.when(~x["own"], x["text"]).alias("id"), F.when(x["own"], x["text"]).alias("name")))
+    by_purl = found.groupBy("purl").agg(ids_first.alias("licenses"))
+    out = first.drop("names").join(by_purl, "purl", "left").withColumn("licenses", F.coalesce("licenses", none))
+    if cpes is None:
+        return out.withColumn("cpe", F.lit(None).cast("string"))
+    last = cpes.groupBy(F.struct("file_ord", "match_ord", F.lit(-1).alias("dep_ord")).alias("place")).agg(F.max("cpe").alias("cpe"))
+    return out.join(last, "place", "left")
 
 
 def license_references(packages: DataFrame) -> DataFrame:
@@ -120,14 +156,15 @@ def license_references(packages: DataFrame) -> DataFrame:
 
 
 def vulnerabilities(rows: DataFrame) -> DataFrame:
-    """``vuln_id, severity, source, affects``: one row per vulnerability with the sorted purls.
+    """``vuln_id, severity, source, affects, url``: one row per vulnerability with the sorted purls.
 
     ``rows`` has ``place, purl, vuln_id, cve, severity, source``. An id that begins with ``CPE:`` gives way to the CVE."""
     ident = F.when(F.upper("vuln_id").startswith("CPE:"), F.col("cve")).otherwise(F.col("vuln_id"))
     named = rows.withColumn("vuln", ident).filter("coalesce(vuln, '') <> ''")
     source = F.when(F.lower("x.source") == "nvd", "NVD").otherwise("GitHub Advisories")
-    out = named.groupBy("vuln").agg(F.min(F.struct("place", "severity", "source")).alias("x"), F.array_sort(F.collect_set("purl")).alias("affects"))
-    return out.select(F.col("vuln").alias("vuln_id"), C.severity(F.col("x.severity")).alias("severity"), source.alias("source"), "affects")
+    out = named.groupBy("vuln").agg(F.min(F.struct("place", "severity", "source", "cve")).alias("x"), F.array_sort(F.collect_set("purl")).alias("affects"))
+    url = F.when(F.lower("x.source") == "nvd", F.concat(F.lit("https://nvd.nist.gov/vuln/detail/"), F.coalesce("x.cve", F.lit("")))).otherwise(F.concat(F.lit("https://github.com/advisories/"), F.col("vuln")))
+    return out.select(F.col("vuln").alias("vuln_id"), C.severity(F.col("x.severity")).alias("severity"), source.alias("source"), "affects", url.alias("url"))
 
 
 def appended_vulnerabilities(existing: DataFrame, answers: DataFrame) -> DataFrame:
@@ -153,7 +190,7 @@ def code_quality(matches: DataFrame) -> DataFrame:
 
 def match_items(matches: DataFrame) -> DataFrame:
     """``path, kind, file_url, lines, license, similarity, purl``: items of the summary of matches."""
-    rows = matches.filter("id NOT IN ('none', 'dependency') AND status IS NOT NULL AND size(purl) > 0")
+    rows = valid_matches(matches)
     numbers = C.line_numbers(F.col("lines"))
     snippet = F.col("id") == "snippet"
     first, last = F.try_element_at(numbers, F.lit(1)), F.try_element_at(numbers, F.lit(-1))

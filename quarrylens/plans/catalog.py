@@ -505,7 +505,7 @@ def _spdx(spark, d):
 
 @query("E7_spdx_packages", _SPDX + " SELECT purl, spdx_id, license FROM p")
 def _e7(spark, d):
-    return _spdx(spark, d)
+    return _spdx(spark, d).select("purl", "spdx_id", "license")
 
 
 @query("E7_license_refs", _SPDX + " SELECT DISTINCT license_ref FROM (SELECT unnest(string_split(replace(replace(license, '(', ''), ')', ''), ' AND ')) AS license_ref FROM p) WHERE license_ref LIKE 'LicenseRef-%'")
@@ -832,5 +832,5 @@ def _x(spark, d):
     return fingerprints.knowledge_hits(fingerprints.fingerprints(I.files(spark, d)), known)
 
 
-# The queries of the other module are added to those above
-from quarrylens.plans import formats  # noqa: E402, F401
+# The queries of the other modules are added to those above
+from quarrylens.plans import documents, formats, local_base  # noqa: E402, F401

@@ -160,7 +160,8 @@ def _b3(spark, d):
 def _b4(spark, d):
     packages = Q._spdx(spark, d)
     lines = writers.spdx_lite(packages, reports.license_references(packages), "name", "now")
-    return _item(lines, 1, "SPDXID string, name string, licenseDeclared string").select(F.col("x.name").alias("purl"), F.col("x.SPDXID").alias("spdx_id"), F.col("x.licenseDeclared").alias("license"))
+    locator = F.element_at("x.externalRefs", 1)["referenceLocator"]
+    return _item(lines, 1, "SPDXID string, licenseDeclared string, externalRefs array<struct<referenceLocator:string>>").select(F.regexp_replace(locator, "@[^@/]*$", "").alias("purl"), F.col("x.SPDXID").alias("spdx_id"), F.col("x.licenseDeclared").alias("license"))
 
 
 @query("B6_markdown_lines", f"""WITH {MATCHES_SQL}, s AS (SELECT lang, count(*) AS n FROM matches GROUP BY lang)

@@ -80,7 +80,8 @@ def wfp_records(spark: SparkSession, path: str) -> DataFrame:
     return parsed_wfp(blocks)
 
 
-def parsed_wfp(blocks: DataFrame) -> DataFrame:
+def parsed_wfp(blocks: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The fields of records (``wfp``), after the columns to ``keep``."""
     wfp = F.col("wfp")
     head = F.substring_index(wfp, "\n", 1)
     part = lambda pattern: F.regexp_extract(wfp, pattern, 1)
@@ -88,7 +89,7 @@ def parsed_wfp(blocks: DataFrame) -> DataFrame:
     lines = F.filter(F.split(wfp, "\n"), lambda x: x.rlike(r"^\d+="))
     snippets = F.transform(lines, lambda x: F.struct(F.substring_index(x, "=", 1).cast("int").alias("line"), F.split(F.substring_index(x, "=", -1), ",").alias("hashes")))
     return blocks.select(
-        F.regexp_extract(head, r"^file=[^,]*,[^,]*,(.*)$", 1).alias("path"), F.regexp_extract(head, r"^file=([^,]*)", 1).alias("md5"), given(F.regexp_extract(head, r"^file=[^,]*,(\d+),", 1)).cast("long").alias("size"),
+        *keep, F.regexp_extract(head, r"^file=[^,]*,[^,]*,(.*)$", 1).alias("path"), F.regexp_extract(head, r"^file=([^,]*)", 1).alias("md5"), given(F.regexp_extract(head, r"^file=[^,]*,(\d+),", 1)).cast("long").alias("size"),
         wfp, given(part(r"(?m)^fh2=(\w+)")).alias("fh2"), given(part(r"(?m)^hpsm=(\w+)")).alias("hpsm"), given(part(r"(?m)^start_line=(\d+)")).cast("int").alias("start_line"), snippets.alias("snippets"),
     )
 

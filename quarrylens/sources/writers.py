@@ -11,18 +11,23 @@ import shutil
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarrylens.operators.reports import numbered
 
 
-def result_json(matches: DataFrame) -> DataFrame:
-    """One row per file, ``path`` and ``json``: an object with the path as its key and the matches in order."""
+def _items(matches: DataFrame) -> DataFrame:
+    """``path, items``: the matches of each file, in order."""
     fields = [c for c in matches.columns if c not in ("path", "file_ord", "match_ord")]
     ordered = F.array_sort(F.collect_list(F.struct("match_ord", F.struct(*fields).alias("m"))), lambda a, b: a["match_ord"].cast("int") - b["match_ord"].cast("int"))
-    items = F.transform(ordered, lambda x: x["m"])
-    return matches.groupBy("path").agg(items.alias("items")).select("path", F.to_json(F.create_map("path", "items")).alias("json"))
+    return matches.groupBy("path").agg(F.transform(ordered, lambda x: x["m"]).alias("items"))
+
+
+def result_json(matches: DataFrame) -> DataFrame:
+    """One row per file, ``path`` and ``json``: an object with the path as its key and the matches in order."""
+    return _items(matches).select("path", F.to_json(F.create_map("path", "items")).alias("json"))
 
 
 def _lines(head: str, parts: list[tuple[str, DataFrame]], tail: str = "}") -> DataFrame:
@@ -62,29 +67,82 @@ def write_wfp(blocks: DataFrame, path: str, mode: str = "errorifexists") -> None
     blocks.repartitionByRange("path").sortWithinPartitions("path").select(F.rtrim("wfp").alias("value")).write.mode(mode).text(path)
 
 
-def cyclonedx(components: DataFrame, vulnerabilities: DataFrame, serial: str, timestamp: str) -> DataFrame:
-    """Lines of a CycloneDX 1.4 document, see :func:`write_document`."""
-    licenses = F.transform(F.filter(F.split("licenses", ","), lambda x: x != ""), lambda x: F.struct(F.struct(x.alias("id")).alias("license")))
-    listed = F.to_json(F.struct(F.lit("library").alias("type"), F.col("component").alias("name"), "purl", "version", licenses.alias("licenses")))
-    affects = F.transform(F.split("affects", ","), lambda x: F.struct(x.alias("ref")))
-    found = F.to_json(F.struct(F.col("vuln_id").alias("id"), F.struct(F.col("source").alias("name")).alias("source"), F.array(F.struct("severity")).alias("ratings"), affects.alias("affects")))
-    head = json.dumps({"bomFormat": "CycloneDX", "specVersion": "1.4", "serialNumber": f"urn:uuid:{serial}", "version": 1, "metadata": {"timestamp": timestamp}})[:-1]
-    parts = [("components", numbered(components, ["purl", "version"], "place").select("place", listed.alias("item"))), ("vulnerabilities", numbered(vulnerabilities, ["vuln_id"], "place").select("place", found.alias("item")))]
+def cyclonedx(components: DataFrame, vulnerabilities: DataFrame, serial: str, timestamp: str, tools: tuple[dict, ...] = ()) -> DataFrame:
+    """Lines of a CycloneDX 1.4 document, see :func:`write_document`.
+
+    ``components`` and ``vulnerabilities`` are those of :func:`.reports.cyclonedx_packages` and :func:`.reports.vulnerabilities`; ``tools`` have ``vendor, name, version``. Components stand in
+    their order of sight, or by purl where ``place`` is missing; licences given as one text of names are names that the SPDX list isn't asked for."""
+    licenses = F.col("licenses") if "array" in dict(components.dtypes)["licenses"] else F.transform(F.filter(F.split("licenses", ","), lambda x: x != ""), lambda x: F.struct(x.alias("id"), F.lit(None).cast("string").alias("name")))
+    given = lambda name: F.col(name) if name in components.columns else F.lit(None).cast("string")
+    fields = [F.lit("library").alias("type"), F.col("component").alias("name"), F.coalesce(given("vendor"), F.lit("")).alias("publisher"), "version", "purl", F.col("purl").alias("bom-ref"), F.transform(licenses, lambda x: F.struct(x.alias("license"))).alias("licenses"), F.when(given("cpe") != "", given("cpe")).alias("cpe")]
+    listed = F.to_json(F.struct(*fields))
+    affects = F.transform(F.col("affects") if "array" in dict(vulnerabilities.dtypes)["affects"] else F.split("affects", ","), lambda x: F.struct(x.alias("ref")))
+    source = F.struct(F.col("source").alias("name"), *(["url"] if "url" in vulnerabilities.columns else []))
+    found = F.to_json(F.struct(F.col("vuln_id").alias("id"), source.alias("source"), F.array(F.struct("severity")).alias("ratings"), affects.alias("affects")))
+    unknown = {"type": "application", "name": "NOASSERTION", "version": "NOASSERTION"}
+    head = json.dumps({"bomFormat": "CycloneDX", "specVersion": "1.4", "serialNumber": f"urn:uuid:{serial}", "version": 1, "metadata": {"timestamp": timestamp, "tools": list(tools), "component": unknown}})[:-1]
+    order = ["place", "purl"] if "place" in components.columns else ["purl", "version"]
+    parts = [("components", numbered(components, order, "line_place").select(F.col("line_place").alias("place"), listed.alias("item"))), ("vulnerabilities", numbered(vulnerabilities, ["vuln_id"], "place").select("place", found.alias("item")))]
     return _lines(head, parts)
 
 
-def spdx_lite(packages: DataFrame, references: DataFrame, name: str, created: str) -> DataFrame:
-    """Lines of an SPDX 2.2 document, see :func:`write_document`."""
-    listed = F.to_json(F.struct(F.col("spdx_id").alias("SPDXID"), F.col("purl").alias("name"), F.col("license").alias("licenseDeclared"), F.lit("NOASSERTION").alias("licenseConcluded"), F.lit("NOASSERTION").alias("copyrightText")))
-    refs = F.to_json(F.struct(F.col("license_ref").alias("licenseId"), F.lit("Detected licence").alias("extractedText")))
-    head = json.dumps({"spdxVersion": "SPDX-2.2", "dataLicense": "CC0-1.0", "SPDXID": "SPDXRef-DOCUMENT", "name": name, "creationInfo": {"created": created}})[:-1]
-    parts = [("packages", numbered(packages, ["purl"], "place").select("place", listed.alias("item"))), ("hasExtractedLicensingInfos", numbered(references, ["license_ref"], "place").select("place", refs.alias("item")))]
+def purl_locator(purl: Column, version: Column) -> Column:
+    """A purl with its version, in its normal form: types whose names have no case in lower case, the version percent-encoded."""
+    folded = F.when(purl.rlike("^pkg:(github|bitbucket|pypi)/"), F.lower(purl)).otherwise(purl)
+    folded = F.when(folded.startswith("pkg:pypi/"), F.replace(folded, F.lit("_"), F.lit("-"))).otherwise(folded)
+    coded = F.replace(F.replace(F.replace(F.url_encode(version), F.lit("+"), F.lit("%20")), F.lit("%3A"), F.lit(":")), F.lit("%7E"), F.lit("~"))
+    return F.when(F.coalesce(version, F.lit("")) == "", folded).otherwise(F.concat(folded, F.lit("@"), coded))
+
+
+#: What a licence reference begins with may name the tool that found the licence.
+DETECTORS = ("scancode",)
+
+
+def spdx_lite(packages: DataFrame, references: DataFrame, name: str, created: str, namespace: str = "https://spdx.org/spdxdocs/document", creators: tuple[str, ...] = (), detectors: tuple[str, ...] = DETECTORS) -> DataFrame:
+    """Lines of an SPDX 2.2 document, see :func:`write_document`. ``packages`` are those of :func:`.reports.spdx_packages`; they stand in their order of sight, or by purl where ``place`` is missing."""
+    given = lambda c: F.when(F.coalesce(F.col(c), F.lit("")) != "", F.col(c)) if c in packages.columns else F.lit(None).cast("string")
+    plain = lambda c: F.col(c) if c in packages.columns else F.lit(None).cast("string")
+    nothing = F.lit("NOASSERTION")
+    external = F.struct(F.lit("PACKAGE-MANAGER").alias("referenceCategory"), purl_locator(F.col("purl"), plain("version")).alias("referenceLocator"), F.lit("purl").alias("referenceType"))
+    checksum = F.struct(F.lit("MD5").alias("algorithm"), F.coalesce(given("url_hash"), F.lit("0" * 32)).alias("checksumValue"))
+    fields = [
+        plain("component").alias("name"), F.col("spdx_id").alias("SPDXID"), plain("version").alias("versionInfo"), F.coalesce(given("download_url"), plain("url")).alias("downloadLocation"), plain("url").alias("homepage"),
+        F.col("license").alias("licenseDeclared"), nothing.alias("licenseConcluded"), F.lit(False).alias("filesAnalyzed"), nothing.alias("copyrightText"),
+        F.concat(F.lit("Organization: "), F.coalesce(plain("vendor"), nothing)).alias("supplier"), F.array(external).alias("externalRefs"), F.array(checksum).alias("checksums"),
+    ]
+    listed = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    found = f"(?i)^LicenseRef-((?:{'|'.join(f'{d}-' for d in detectors)})?)(\\S+)$"
+    tool = F.replace(F.regexp_extract("license_ref", found, 1), F.lit("-"), F.lit(""))
+    bare = F.when(F.col("license_ref").rlike(found), F.regexp_extract("license_ref", found, 2)).otherwise(F.col("license_ref"))
+    note = F.concat(F.lit("Detected license"), F.when(tool != "", F.concat(F.lit(" by "), tool, F.lit("."))).otherwise("."))
+    refs = F.to_json(F.struct(F.col("license_ref").alias("licenseId"), F.replace(bare, F.lit("-"), F.lit(" ")).alias("name"), F.lit("Detected license, please review component source code.").alias("extractedText"), note.alias("comment")))
+    creation = {"created": created, "creators": list(creators), "comment": "SBOM Build information - SBOM Type: Build"}
+    head = json.dumps({"spdxVersion": "SPDX-2.2", "dataLicense": "CC0-1.0", "SPDXID": "SPDXRef-DOCUMENT", "name": name, "creationInfo": creation, "documentNamespace": namespace})[:-1]
+    placed = numbered(packages, ["place", "purl"] if "place" in packages.columns else ["purl"], "line_place")
+    parts = [
+        ("packages", placed.select(F.col("line_place").alias("place"), listed.alias("item"))),
+        ("documentDescribes", placed.select(F.col("line_place").alias("place"), F.concat(F.lit('"'), "spdx_id", F.lit('"')).alias("item"))),
+        ("hasExtractedLicensingInfos", numbered(references, ["license_ref"], "place").select("place", refs.alias("item"))),
+    ]
     return _lines(head, parts)
 
 
+def keys_sorted(value: Column, kind: T.DataType) -> Column:
+    """A value with the keys of all its objects in order."""
+    if isinstance(kind, T.StructType):
+        fields = [keys_sorted(value[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: keys_sorted(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.map_from_entries(F.array_sort(F.transform(F.map_entries(value), lambda e: F.struct(e["key"].alias("key"), keys_sorted(e["value"], kind.valueType).alias("value")))))
+    return value
+
+
 def plain(matches: DataFrame) -> DataFrame:
-    """The same as :func:`result_json`, for people: indented."""
-    return result_json(matches).select("path", F.to_json(F.from_json("json", "map<string,array<map<string,string>>>"), {"pretty": "true"}).alias("json"))
+    """The same as :func:`result_json`, for people: indented, the keys of all objects in order."""
+    items = _items(matches)
+    return items.select("path", F.to_json(F.create_map("path", keys_sorted(F.col("items"), items.schema["items"].dataType)), {"pretty": "true"}).alias("json"))
 
 
 def raw(matches: DataFrame) -> DataFrame:

@@ -118,3 +118,63 @@ def test_spdx_list(spark, tmp_path):
     assert sorted(map(tuple, readers.spdx_list(spark, str(tmp_path / "list.json")).collect())) == [(0, "foo-1.0", "Foo-1.0", "Foo License"), (3, "bar", "Bar", None)]
     (tmp_path / "empty.json").write_text("{}")
     assert readers.spdx_list(spark, str(tmp_path / "empty.json")).count() == 0
+
+
+def test_plain_results_have_nested_values_and_sorted_keys(spark, sf_dir):
+    import json
+
+    from quarrylens.sources import inputs, writers
+
+    matches = inputs.matches(spark, sf_dir)
+    plain = {r.path: r.json for r in writers.plain(matches).collect()}
+    raw = {r.path: json.loads(r.json) for r in writers.result_json(matches).collect()}
+    assert len(plain) == len(raw) > 0
+    for path, text in plain.items():
+        pairs = []
+        assert json.loads(text, object_pairs_hook=lambda p: pairs.append([k for k, _ in p]) or dict(p)) == raw[path]
+        assert all(keys == sorted(keys) for keys in pairs) and "\n" in text
+        assert all(isinstance(x, str) for m in raw[path][path] for x in m["purl"])
+
+
+def test_documents_are_json_with_every_field(spark, sf_dir):
+    import json
+
+    from quarrylens.plans import documents
+    from quarrylens.plans.catalog import queries
+
+    whole = lambda name: json.loads("".join(r.line for r in sorted(queries()[name](spark, sf_dir).collect(), key=lambda r: (r.part, r.place))))
+    bill = whole("B4_spdx_lines")
+    assert set(bill) == {"spdxVersion", "dataLicense", "SPDXID", "name", "creationInfo", "documentNamespace", "packages", "documentDescribes", "hasExtractedLicensingInfos"}
+    assert [p["SPDXID"] for p in bill["packages"]] == bill["documentDescribes"] and len(bill["packages"]) > 50
+    fields = {"name", "SPDXID", "versionInfo", "downloadLocation", "homepage", "licenseDeclared", "licenseConcluded", "filesAnalyzed", "copyrightText", "supplier", "externalRefs", "checksums"}
+    assert all(set(p) == fields and len(p["checksums"][0]["checksumValue"]) == 32 for p in bill["packages"])
+    assert {r["licenseId"] for r in bill["hasExtractedLicensingInfos"]} <= {x for p in bill["packages"] for x in p["licenseDeclared"].strip("()").split(" AND ")}
+    found = whole("B3_cyclonedx_lines")
+    listed = [x["license"] for c in found["components"] for x in c["licenses"]]
+    assert {tuple(x) for x in listed} == {("id",), ("name",)} and all(x.get("id") in (None, "MIT", "GPL-2.0-only", "Apache-2.0", "BSD-2-Clause") for x in listed)
+    assert all(c["bom-ref"] == c["purl"] and "publisher" in c for c in found["components"]) and any("cpe" in c for c in found["components"])
+    assert all(v["source"]["url"].startswith("https://") and v["affects"] for v in found["vulnerabilities"])
+    assert documents.matches(spark, sf_dir).limit(0).count() == 0
+
+
+def test_purl_locators(spark):
+    from pyspark.sql import functions as F
+
+    from quarrylens.sources.writers import purl_locator
+
+    rows = [("pkg:github/Org/Lib", "v1+a b", "pkg:github/org/lib@v1%2Ba%20b"), ("pkg:pypi/My_Lib", "1~2:3", "pkg:pypi/my-lib@1~2:3"), ("pkg:npm/%40Scope/X", "", "pkg:npm/%40Scope/X"), ("pkg:npm/x", None, "pkg:npm/x")]
+    for r in spark.createDataFrame(rows, "purl string, version string, want string").withColumn("got", purl_locator(F.col("purl"), F.col("version"))).collect():
+        assert r.got == r.want
+
+
+def test_licence_references_name_their_detector(spark):
+    import json
+
+    from quarrylens.sources import writers
+
+    packages = spark.createDataFrame([("pkg:a/b", "SPDXRef-1", "MIT")], "purl string, spdx_id string, license string")
+    refs = spark.createDataFrame([("LicenseRef-scancode-some-form",), ("LicenseRef-own",)], "license_ref string")
+    lines = sorted(writers.spdx_lite(packages, refs, "n", "now").collect(), key=lambda r: (r.part, r.place))
+    found = json.loads("".join(r.line for r in lines))
+    assert [(r["name"], r["comment"]) for r in found["hasExtractedLicensingInfos"]] == [("own", "Detected license."), ("some form", "Detected license by scancode.")]
+    assert found["packages"][0]["supplier"] == "Organization: NOASSERTION" and found["packages"][0]["name"] is None
