@@ -12,6 +12,7 @@ from quarrylens.functions import codecs
 from quarrylens.functions.columns import suffix
 from quarrylens.functions.udfs import crc64, word_hashes
 from quarrylens.operators.hamming import near_hashes
+from quarrylens.operators.reports import numbered
 from quarrylens.session import checkpointed
 
 MIN_FILES, MIN_NAME_BYTES = 8, 32
@@ -90,15 +91,40 @@ def folder_simhashes(files: DataFrame, depth: int = 1) -> DataFrame:
     return joined.select("dir", "depth", "n_files", full(F.col("of_names")).alias("sim_hash_names"), full(F.col("of_dirs")).alias("sim_hash_dir_names"), F.when(large, F.col("content")).alias("sim_hash_content"))
 
 
-def folder_documents(files: DataFrame, depth: int = 1) -> DataFrame:
-    """``dir, depth, json``: every folder down to ``depth`` as an object with its hashes, extensions and children; the row of ``.`` is
-    the request for the whole tree. Children are put into their folder one level at a time, from the deepest."""
+#: Sorts after all names of a folder.
+_LAST = "\U0010ffff"
+
+
+def _folder_fields(files: DataFrame, depth: int) -> DataFrame:
+    """``dir, depth, up, fields``: the fields of every folder down to ``depth`` as a JSON object, and the folder around it."""
     maps = extension_maps(extension_counts(files, depth))
     rows = folder_simhashes(files, depth).join(maps, "dir", "left")
     rows = rows.withColumn("lang_extensions", F.when(F.col("sim_hash_content").isNotNull(), F.coalesce("lang_extensions", F.create_map().cast("map<string,bigint>"))))
     up = F.when(F.col("dir").contains("/"), F.regexp_replace("dir", "/[^/]*$", "")).otherwise(F.lit("."))
     fields = F.to_json(F.struct(F.col("dir").alias("path_id"), "sim_hash_names", "sim_hash_content", "sim_hash_dir_names", "lang_extensions"), {"ignoreNullFields": "false"})
-    rows = rows.select("dir", "depth", up.alias("up"), fields.alias("fields"))
+    return rows.select("dir", "depth", up.alias("up"), fields.alias("fields"))
+
+
+def folder_lines(files: DataFrame, depth: int = 1) -> DataFrame:
+    """``place, line``: the request for a whole tree (the row of ``.`` in :func:`folder_documents`) as lines, however deep and wide the tree is.
+
+    A folder opens with its fields and closes after the last folder inside. Both events are sorted by the names on the way to the folder, the end after all
+    names, so no row holds more than a folder's own fields, and none are collected in a group. Lines joined in order are one JSON object."""
+    rows = _folder_fields(files, depth)
+    first = rows.filter("dir <> '.'").groupBy("up").agg(F.min("dir").alias("first"))
+    rows = rows.join(first, "up", "left")
+    names = F.when(F.col("dir") == ".", F.array().cast("array<string>")).otherwise(F.split("dir", "/"))
+    comma = F.when((F.col("dir") != ".") & (F.col("dir") != F.col("first")), ",").otherwise("")
+    opens = F.struct(names.alias("at"), F.concat(comma, F.expr("left(fields, length(fields) - 1)"), F.lit(',"children":[')).alias("line"))
+    closes = F.struct(F.concat(names, F.array(F.lit(_LAST))).alias("at"), F.lit("]}").alias("line"))
+    events = rows.select(F.explode(F.array(opens, closes)).alias("e")).select("e.*")
+    return numbered(events, ["at"], "place").select("place", "line")
+
+
+def folder_documents(files: DataFrame, depth: int = 1) -> DataFrame:
+    """``dir, depth, json``: every folder down to ``depth`` as an object with its hashes, extensions and children; the row of ``.`` is
+    the request for the whole tree. Children are put into their folder one level at a time, from the deepest."""
+    rows = _folder_fields(files, depth)
     out = children = None
     for level in range(depth, 0, -1):
         here = rows.filter(F.col("depth") == level)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarrylens.functions import udfs
 from quarrylens.functions.fixed_values import GRAM, WINDOW
-from quarrylens.operators import fingerprints, folders, hamming
+from quarrylens.operators import fingerprints, folders, hamming, versions
 from quarrylens.plans import catalog as Q
 from quarrylens.plans.catalog import query
 from quarrylens.plans.formats import _STEM, _WORDS, _simhash_sql
@@ -142,3 +142,30 @@ def _folders(spark, d):
     ours = folders.folder_simhashes(I.tree(spark, d), depth=3)
     theirs = folders.folder_simhashes(I.files(spark, d), depth=3).withColumnRenamed("dir", "kb_dir")
     return folders.folder_matches(ours, theirs, ("sim_hash_names", "sim_hash_dir_names"), within=16).select("dir", "kb_dir", "n_hashes", "distance", "rank")
+
+
+# Versions in the ranges that requests ask for
+
+_VERSION = "CAST(doc_id % 3 AS {T}) || '.' || CAST(doc_id % 5 AS {T}) || '.' || CAST(doc_id % 7 * 3 AS {T}) || CASE WHEN doc_id % 4 = 0 THEN '-rc.' || CAST(doc_id % 11 AS {T}) ELSE '' END"
+_LOW = "CAST(doc_id % 2 AS {T}) || '.' || CAST(doc_id % 4 AS {T}) || '.' || CAST(doc_id % 6 * 3 AS {T})"
+_ASKED = f"CASE doc_id % 8 WHEN 0 THEN '>=' || {_LOW} || ', <2' WHEN 1 THEN '^' || {_LOW} WHEN 2 THEN '~' || {_LOW} WHEN 3 THEN '>' || {_LOW} || ' !=2.1.3' WHEN 4 THEN '<=' || {_LOW} WHEN 5 THEN {_LOW} WHEN 6 THEN '<' || {_LOW} || '-rc.5' ELSE NULL END"
+#: Numbers, whether it is a release, number of the pre-release.
+_KEY = r"[split_part({v}, '.', 1)::INT, split_part({v}, '.', 2)::INT, regexp_extract({v}, '^\d+\.\d+\.(\d+)', 1)::INT, (NOT contains({v}, '-'))::INT, CASE WHEN contains({v}, '-') THEN regexp_extract({v}, '(\d+)$', 1)::INT ELSE 0 END]"
+
+
+@query("K_versions_in_range", f"""WITH c AS (SELECT DISTINCT 'pkg:github/org/' || source AS purl, {_VERSION.format(T='VARCHAR')} AS version FROM documents),
+ q AS (SELECT DISTINCT 'pkg:github/org/' || source AS purl, {_ASKED.format(T='VARCHAR')} AS requirement, doc_id % 8 AS kind, doc_id % 2 AS a, doc_id % 4 AS b, {_LOW.format(T='VARCHAR')} AS low FROM documents),
+ k AS (SELECT *, {_KEY.format(v='low')} AS lk FROM q), v AS (SELECT *, {_KEY.format(v='version')} AS vk FROM c)
+SELECT DISTINCT purl, requirement, version FROM k JOIN v USING (purl) WHERE CASE kind WHEN 0 THEN vk >= lk AND vk < [2, 0, 0, 1, 0] WHEN 1 THEN vk >= lk AND vk < CASE WHEN a > 0 THEN [a + 1, 0, 0, 1, 0] WHEN b > 0 THEN [0, b + 1, 0, 1, 0] ELSE [0, 0, lk[3] + 1, 1, 0] END
+ WHEN 2 THEN vk >= lk AND vk < [a, b + 1, 0, 1, 0] WHEN 3 THEN vk > lk AND vk <> [2, 1, 3, 1, 0] WHEN 4 THEN vk <= lk WHEN 5 THEN vk = lk WHEN 6 THEN vk < [lk[1], lk[2], lk[3], 0, 5] ELSE true END""")
+def _ranges(spark, d):
+    """Versions of components that fulfil requirements of many forms."""
+    docs = table(spark, d, "documents")
+    purl = F.concat(F.lit("pkg:github/org/"), "source").alias("purl")
+    return versions.versions_in_range(docs.select(purl, F.expr(_ASKED.format(T="STRING")).alias("requirement")), docs.select(purl, F.expr(_VERSION.format(T="STRING")).alias("version")))
+
+
+@query("B9_folder_lines")
+def _folder_lines(spark, d):
+    """The request for a whole tree as lines."""
+    return folders.folder_lines(I.tree(spark, d), depth=4)

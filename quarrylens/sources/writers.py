@@ -8,14 +8,20 @@ from __future__ import annotations
 
 import json
 import shutil
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarrylens.operators.filters import delta_safe
 from quarrylens.operators.reports import numbered
+from quarrylens.session import checkpointed
+from quarrylens.sources.walks import opened
 
 
 def _items(matches: DataFrame) -> DataFrame:
@@ -70,7 +76,8 @@ def write_wfp(blocks: DataFrame, path: str, mode: str = "errorifexists") -> None
 def cyclonedx(components: DataFrame, vulnerabilities: DataFrame, serial: str, timestamp: str, tools: tuple[dict, ...] = ()) -> DataFrame:
     """Lines of a CycloneDX 1.4 document, see :func:`write_document`.
 
-    ``components`` and ``vulnerabilities`` are those of :func:`.reports.cyclonedx_packages` and :func:`.reports.vulnerabilities`; ``tools`` have ``vendor, name, version``. Components stand in
+    ``components`` and ``vulnerabilities`` are those of :func:`.reports.cyclonedx_packages` and :func:`.reports.vulnerabilities`; ``tools`` have ``vendor, name, version``, and
+    with them stands a component without a name, of which the document speaks. Components stand in
     their order of sight, or by purl where ``place`` is missing; licences given as one text of names are names that the SPDX list isn't asked for."""
     licenses = F.col("licenses") if "array" in dict(components.dtypes)["licenses"] else F.transform(F.filter(F.split("licenses", ","), lambda x: x != ""), lambda x: F.struct(x.alias("id"), F.lit(None).cast("string").alias("name")))
     given = lambda name: F.col(name) if name in components.columns else F.lit(None).cast("string")
@@ -79,8 +86,8 @@ def cyclonedx(components: DataFrame, vulnerabilities: DataFrame, serial: str, ti
     affects = F.transform(F.col("affects") if "array" in dict(vulnerabilities.dtypes)["affects"] else F.split("affects", ","), lambda x: F.struct(x.alias("ref")))
     source = F.struct(F.col("source").alias("name"), *(["url"] if "url" in vulnerabilities.columns else []))
     found = F.to_json(F.struct(F.col("vuln_id").alias("id"), source.alias("source"), F.array(F.struct("severity")).alias("ratings"), affects.alias("affects")))
-    unknown = {"type": "application", "name": "NOASSERTION", "version": "NOASSERTION"}
-    head = json.dumps({"bomFormat": "CycloneDX", "specVersion": "1.4", "serialNumber": f"urn:uuid:{serial}", "version": 1, "metadata": {"timestamp": timestamp, "tools": list(tools), "component": unknown}})[:-1]
+    made = {"tools": list(tools), "component": {"type": "application", "name": "NOASSERTION", "version": "NOASSERTION"}} if tools else {}
+    head = json.dumps({"bomFormat": "CycloneDX", "specVersion": "1.4", "serialNumber": f"urn:uuid:{serial}", "version": 1, "metadata": {"timestamp": timestamp, **made}})[:-1]
     order = ["place", "purl"] if "place" in components.columns else ["purl", "version"]
     parts = [("components", numbered(components, order, "line_place").select(F.col("line_place").alias("place"), listed.alias("item"))), ("vulnerabilities", numbered(vulnerabilities, ["vuln_id"], "place").select("place", found.alias("item")))]
     return _lines(head, parts)
@@ -187,6 +194,66 @@ def copy_listed(paths: list[str], root: str, target: str) -> list[tuple[str, boo
     return done
 
 
+COPIED = "path string, copied boolean, size long, problem string"
+
+
+def copied_files(paths: DataFrame, root: str, target: str) -> DataFrame:
+    """Files that a list (``path``) names below ``root`` are copied to ``target`` with their folders, by the executors: ``path, copied, size, problem``, a row for each distinct path.
+
+    The target must not exist. A path that leaves the tree, or is missing, or is no file, isn't copied and says so. A task writes under a name of its own and renames it to the file's, so that a task
+    that runs twice, or is lost halfway, leaves one whole copy and no other; what it leaves of its own is deleted by :func:`commit_copies`. The rows are written to the shared checkpoint folder, so
+    files are copied once however often the result is read."""
+    system, out = opened(target)
+    if system.get_file_info(out).type != fs.FileType.NotFound:
+        raise FileExistsError(f"{target} exists")
+    system.create_dir(out, recursive=True)
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        source, base = opened(root)
+        goal, top = opened(target)
+        for batch in batches:
+            rows = []
+            for path, inside in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                clean = "/".join(p for p in (path or "").split("/") if p not in ("", "."))
+                done = _copied(source, f"{base}/{clean}", goal, f"{top}/{clean}", f"{top}/{PENDING}") if inside and clean else (False, None, "not in the tree")
+                rows.append((path, *done))
+            kinds = (pa.string(), pa.bool_(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["path", "copied", "size", "problem"])
+
+    listed = paths.select("path").distinct().select("path", delta_safe(F.col("path")).alias("inside"))
+    return checkpointed(listed.mapInArrow(copy, COPIED))
+
+
+#: A folder of copies that aren't whole yet.
+PENDING = "_pending"
+
+
+def _copied(source: fs.FileSystem, path: str, goal: fs.FileSystem, to: str, pending: str) -> tuple[bool, int | None, str | None]:
+    info = source.get_file_info(path)
+    if info.type != fs.FileType.File:
+        return False, None, "missing" if info.type == fs.FileType.NotFound else "no file"
+    try:
+        own = f"{pending}/{uuid.uuid4().hex}"
+        goal.create_dir(pending, recursive=True)
+        goal.create_dir(to.rpartition("/")[0], recursive=True)
+        fs.copy_files(path, own, source_filesystem=source, destination_filesystem=goal)
+        goal.move(own, to)
+    except OSError as e:
+        return False, None, str(e)
+    return True, info.size, None
+
+
+def commit_copies(copies: DataFrame, target: str) -> tuple[int, str | None]:
+    """Ends :func:`copied_files`: its rows become the ``_manifest`` in the target (JSON lines in order of path), what tasks left unfinished goes, and the number of files and the first
+    problem, in order of path, are given. A target without a manifest isn't whole."""
+    system, out = opened(target)
+    if system.get_file_info(f"{out}/{PENDING}").type == fs.FileType.Directory:
+        system.delete_dir(f"{out}/{PENDING}")
+    copies.orderBy("path").select(F.to_json(F.struct("path", "copied", "size", "problem")).alias("value")).write.text(target.rstrip("/") + "/_manifest")
+    done = copies.agg(F.count_if("copied").alias("n"), F.min_by(F.concat("path", F.lit(": "), "problem"), F.when(~F.col("copied"), F.col("path"))).alias("problem")).first()
+    return done["n"], done["problem"]
+
+
 #: Presenters by format; each takes what the function under its name takes.
 PRESENTERS: dict[str, Callable] = {"json": result_json, "plain": plain, "raw": raw, "csv": write_csv, "cyclonedx": cyclonedx, "spdxlite": spdx_lite}
 

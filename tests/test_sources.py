@@ -178,3 +178,51 @@ def test_licence_references_name_their_detector(spark):
     found = json.loads("".join(r.line for r in lines))
     assert [(r["name"], r["comment"]) for r in found["hasExtractedLicensingInfos"]] == [("own", "Detected license."), ("some form", "Detected license by scancode.")]
     assert found["packages"][0]["supplier"] == "Organization: NOASSERTION" and found["packages"][0]["name"] is None
+
+
+def test_copies_by_executors(spark, tmp_path):
+    root = tmp_path / "root"
+    for k in range(40):
+        (root / f"d{k % 5}").mkdir(parents=True, exist_ok=True)
+        (root / f"d{k % 5}" / f"f{k}.txt").write_text(str(k) * k)
+    paths = [f"/d{k % 5}/f{k}.txt" for k in range(40)] + ["d0/./f0.txt", "d1/../../x", "../root/d0/f0.txt", "gone", "d2", ""]
+    listed = spark.createDataFrame([(p,) for p in paths + paths[:3]], "path string").repartition(4)
+    copies = writers.copied_files(listed, str(root), str(tmp_path / "out"))
+    done = {r.path: (r.copied, r["size"], r.problem) for r in copies.collect()}
+    assert done["/d3/f13.txt"] == (True, 26, None) and done["d0/./f0.txt"][0] and done["d2"] == (False, None, "no file") and done["gone"] == (False, None, "missing")
+    assert {p for p, x in done.items() if x[2] == "not in the tree"} == {"d1/../../x", "../root/d0/f0.txt", ""}
+    (tmp_path / "out" / writers.PENDING).mkdir(exist_ok=True)
+    (tmp_path / "out" / writers.PENDING / "half").write_text("what a lost task left")
+    assert writers.commit_copies(copies, str(tmp_path / "out")) == (41, ": not in the tree")
+    found = {str(f.relative_to(tmp_path / "out")): f.read_text() for f in (tmp_path / "out").rglob("*.txt") if "_manifest" not in str(f)}
+    assert found == {f"d{k % 5}/f{k}.txt": str(k) * k for k in range(40)} and not (tmp_path / "out" / writers.PENDING).exists()
+    lines = [json.loads(x) for f in sorted((tmp_path / "out/_manifest").glob("part-*")) for x in f.read_text().splitlines()]
+    assert [x["path"] for x in lines] == sorted(set(paths))
+    with pytest.raises(FileExistsError):
+        writers.copied_files(listed, str(root), str(tmp_path / "out"))
+
+
+def test_a_copy_that_is_repeated_leaves_one_file(tmp_path):
+    """A task that runs twice, or at the same time as another one."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyarrow import fs
+
+    (tmp_path / "a.txt").write_text("x" * 100_000)
+    local, to, pending = fs.LocalFileSystem(), str(tmp_path / "out/sub/a.txt"), str(tmp_path / "out" / writers.PENDING)
+    with ThreadPoolExecutor(8) as pool:
+        done = list(pool.map(lambda _: writers._copied(local, str(tmp_path / "a.txt"), local, to, pending), range(24)))
+    assert set(done) == {(True, 100_000, None)}
+    assert [f.name for f in (tmp_path / "out").rglob("*") if f.is_file()] == ["a.txt"] and len((tmp_path / "out/sub/a.txt").read_text()) == 100_000
+
+
+@pytest.mark.parametrize("depth", [1, 2, 5])
+def test_folder_lines_are_the_nested_document(spark, sf_dir, depth):
+    from quarrylens.operators import folders
+    from quarrylens.sources import inputs
+
+    tree = inputs.tree(spark, sf_dir)
+    whole = folders.folder_documents(tree, depth).filter("dir = '.'").first().json
+    lines = folders.folder_lines(tree, depth).collect()
+    assert "".join(r.line for r in sorted(lines, key=lambda r: r.place)) == whole
+    assert sorted(r.place for r in lines) == list(range(1, len(lines) + 1)) and len(lines) % 2 == 0
