@@ -40,8 +40,8 @@ def _a3(spark, d):
 @query("A4_A5_content_rows", f"WITH {FILES_SQL} SELECT path, md5(text) AS md5, size FROM files")
 def _a5(spark, d):
     """Contents that are in memory as bytes, without any filter."""
-    rows = I.files(spark, d).select("path", F.encode("text", "UTF-8").alias("content"))
-    return rows.select("path", F.md5("content").alias("md5"), F.octet_length("content").cast("long").alias("size"))
+    rows = readers.content_rows(I.files(spark, d).select("path", F.encode("text", "UTF-8").alias("content")))
+    return rows.select("path", F.md5("content").alias("md5"), "size")
 
 
 @query("A6_wfp_records", f"WITH {TREE_SQL} SELECT path, md5(text) AS md5, size, {Q._FH2_OF_TEXT} AS fh2 FROM tree")
@@ -94,9 +94,11 @@ def _a14(spark, d):
     return readers.parsed_purls(I.deps(spark, d).select(F.to_json(F.struct(F.array(F.struct("purl", "requirement")).alias("purls"))).alias("value")), F.col("value"))
 
 
-@query("A15_copyleft_table", f"WITH {COPYLEFT_SQL} SELECT license_key, listed_copyleft FROM copyleft")
+@query("A15_copyleft_table", f"WITH {MATCHES_SQL}, {COPYLEFT_SQL}, l AS (SELECT path, match_ord, unnest(licenses).name AS license FROM matches) SELECT path, match_ord, license, license_key, listed_copyleft FROM l LEFT JOIN copyleft ON lower(license) = license_key")
 def _a15(spark, d):
-    return I.copyleft_table(spark)
+    """What the reference table says of every licence of a match."""
+    names = I.matches(spark, d).select("path", "match_ord", F.explode("licenses").alias("l")).select("path", "match_ord", F.col("l.name").alias("license"))
+    return names.join(I.copyleft_table(spark), F.lower("license") == F.col("license_key"), "left")
 
 
 @query("J7_copyleft_lookup", f"WITH {MATCHES_SQL}, {COPYLEFT_SQL}, l AS (SELECT DISTINCT unnest(licenses).name AS license FROM matches) SELECT license, coalesce(listed_copyleft, false) AS is_copyleft FROM l LEFT JOIN copyleft ON lower(license) = license_key")

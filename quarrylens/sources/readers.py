@@ -68,9 +68,21 @@ def listed_files(spark: SparkSession, paths: list[str], patterns: tuple[str, ...
     return rows.filter(~file_skipped(path, patterns=patterns) & size_kept(path, F.col("size"), **size_options))
 
 
+def single_file(spark: SparkSession, path: str) -> DataFrame:
+    """``path, size, content`` of one file, without any filter; a path that is a folder has no rows, and a missing one is an error."""
+    found = spark.read.format("binaryFile").load(path).filter(F.substring_index("path", "/", -1) == path.rstrip("/").rpartition("/")[2])
+    return found.select(F.lit(path).alias("path"), F.col("length").alias("size"), "content")
+
+
+def content_rows(rows: DataFrame) -> DataFrame:
+    """``path, size, content`` of files that are there as rows (``path, content``), without any filter; a null content is an empty file."""
+    content = F.coalesce("content", F.unhex(F.lit("")))
+    return rows.select("path", F.octet_length(content).cast("long").alias("size"), content.alias("content"))
+
+
 def contents(spark: SparkSession, items: list[tuple[str, bytes]]) -> DataFrame:
-    """In-memory files, without any filter."""
-    return spark.createDataFrame([(name, len(data), bytearray(data)) for name, data in items], "path string, size long, content binary")
+    """The same of files in memory."""
+    return content_rows(spark.createDataFrame([(name, bytearray(data)) for name, data in items], "path string, content binary"))
 
 
 def wfp_records(spark: SparkSession, path: str) -> DataFrame:

@@ -185,3 +185,73 @@ def test_folder_documents_hold_their_children(spark):
     assert [c["path_id"] for c in root["children"]] == ["src"] and [c["path_id"] for c in root["children"][0]["children"]] == ["src/a", "src/b"]
     assert root["children"][0] == found["src"] and found["src/a"]["lang_extensions"] == {"py": 9} and found["src/a"]["children"] == []
     assert root["sim_hash_content"] and json.loads(folders.folder_documents(rows, depth=1).first().json)["children"] == []
+
+
+def test_strips_against_loops(spark, sf_dir):
+    """D7: what a strip makes of line hashes; and fingerprint texts with line hashes are those without, and a line more."""
+    queries = catalog.queries
+
+    def inverted(hashes, removed):
+        for gone in removed:
+            places = [k for k in range(len(hashes)) if hashes[k : k + len(gone)] == gone]
+            if not places:
+                continue
+            low, high = places[0] // 2 * 2, -(-(places[0] + len(gone)) // 2) * 2
+            piece = hashes[low:high]
+            flipped, out, k = bytes(255 - x for x in bytes.fromhex(piece)).hex(), "", 0
+            while k < len(hashes):
+                hit = hashes[k : k + len(piece)] == piece
+                out, k = (out + flipped, k + len(piece)) if hit else (out + hashes[k], k + 1)
+            hashes = out
+        return hashes
+
+    plain = {r[0]: r[1] for r in queries()["D6_hpsm_lines"](spark, sf_dir).collect()}
+    found = {r[0]: r[1] for r in queries()["D7_hpsm_strip"](spark, sf_dir).collect()}
+    assert found == {p: inverted(h, ["ff", "00a1"]) for p, h in plain.items()} and found != plain
+
+    texts = {r[0]: r[1] for r in queries()["B8_wfp_blocks"](spark, sf_dir).collect()}
+    blocks = {r.path: r.wfp for r in fingerprints.wfp_blocks(inputs.files(spark, sf_dir)).collect()}
+    assert {p: "".join(x for x in t.splitlines(True) if not x.startswith("hpsm=")) for p, t in texts.items()} == blocks
+
+
+@pytest.mark.parametrize("name", ["a.py", "a.c", "a.js", "a.go", "a.rs", "a.lua", "a.java", "a.rb", "a.txt", "a", "b/.py"])
+def test_header_offsets_against_a_loop(name):
+    """D12: a second reading of the rules, by regular expressions on what is left of the text."""
+    from quarrylens.functions.fixed_values import IMPORTS, SUFFIX_LANGUAGE
+
+    base = name.rpartition("/")[2]
+    language = SUFFIX_LANGUAGE.get(base[base.rfind(".") :].lower()) if base.rfind(".") > 0 else None
+    style = {"python": "#", "ruby": "#", "perl": "#", "r": "#", "lua": "--", "haskell": "--"}.get(language, "//")
+    begin, end = {"//": ("/*", "*/"), "--": ("--[[", "]]"), "#": (None, '"""')}[style]
+
+    def offset(text):
+        if language is None:
+            return 0
+        lines, k = text.splitlines(), 0
+        comment = brackets = False
+        while k < len(lines):
+            line = lines[k].strip()
+            if line and not (k == 0 and line.startswith("#!")):
+                if comment:
+                    comment = not line.endswith(end)
+                elif line.startswith(style):
+                    pass
+                elif begin and line.startswith(begin):
+                    comment = not line.endswith(end)
+                elif begin is None and line.count('"""') in (1, 2):
+                    comment = line.count('"""') == 1
+                elif brackets:
+                    brackets = not (set(line) & set(")}"))
+                elif any(re.match(p, lines[k]) for p in IMPORTS[language]):
+                    brackets = ("(" in line and ")" not in line) or ("{" in line and "}" not in line)
+                else:
+                    return k
+            k += 1
+        return 0
+
+    rng = random.Random(name)
+    pieces = ["#!/bin/sh", "", "  ", "# note", "// note", "-- note", "/* open", "middle", "close */", "/* one line */", "--[[ open", "close ]]", '"""doc', 'doc"""', '"""one"""', "import os", "from a import (", "  b,", ")", "import (", '"fmt"', "#include <a.h>", "use a::{", "}", "require 'x'", "local a = require(\"b\")", "import { a } from 'b';", "package x", "x = 1", "int main() {", "\tindented"]
+    for _ in range(1500):
+        text = rng.choice(["\n", "\n", "\r\n"]).join(rng.choice(pieces[:-3] if rng.random() < 0.85 else pieces) for _ in range(rng.randrange(14)))
+        assert codecs.header_offset(name, text) == offset(text), text
+        assert codecs.header_offset(name, text, 2) == min(2, offset(text))
