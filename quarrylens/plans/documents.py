@@ -15,7 +15,8 @@ from quarrylens.operators import reports
 from quarrylens.plans import catalog as Q
 from quarrylens.plans.catalog import query
 from quarrylens.sources import inputs as I
-from quarrylens.sources import writers
+from quarrylens.sources import readers, writers
+from quarrylens.session import table
 from quarrylens.sources.inputs import DEPS_SQL, MATCHES_SQL
 
 _OWN = {
@@ -119,3 +120,23 @@ def _b1(spark, d):
     rows = back.select("path", F.posexplode(F.element_at(F.map_values("x"), 1)).alias("match_ord", "m"))
     shown = F.transform("m.licenses", lambda x: F.concat(x["name"], F.lit(" of "), F.coalesce(x["source"], F.lit("none"))))
     return rows.select("path", "match_ord", "m.id", F.array_join("m.purl", "|").alias("purls"), F.array_join(shown, "|").alias("licenses"), "m.lines")
+
+
+#: Settings with something wrong, by document: the text of each kind, and its misfits.
+_SETTINGS = [
+    ('{"bom": {"include": [{"purl": "p"}, {"path": "N"}]}}', [("settings.bom.include[1]", "must have purl")]),
+    ('{"bom": {"remove": [{"comment": "N"}, {"path": "a"}]}}', [("settings.bom.remove[0]", "must fit one of several forms")]),
+    ('{"settings": {"file_snippet": {"ranking_threshold": N, "min_snippet_hits": -1}}}', [("settings.settings.file_snippet.ranking_threshold", "maximum is 10"), ("settings.settings.file_snippet.min_snippet_hits", "minimum is 0")]),
+    ('{"settings": {"skip": {"patterns": {"scanning": ["a", "a"]}, "sizes": {"scanning": [{"patterns": [1], "min": 1.5}]}}}}', [("settings.settings.skip.patterns.scanning", "items must differ"), ("settings.settings.skip.sizes.scanning[0].patterns[0]", "must be of type string"), ("settings.settings.skip.sizes.scanning[0].min", "must be of type integer")]),
+    ('{"settings": {"file_snippet": {"ranking_enabled": null, "ranking_threshold": 7}}, "bom": {"replace": [{"purl": "N", "replace_with": "b"}]}}', []),
+    ('{"bom": ', [("settings", "is no JSON")]),
+    ('[]', [("settings", "must be of type object")]),
+]
+_TEXT = "replace(CASE doc_id % 7 " + " ".join(f"WHEN {k} THEN '{text}'" for k, (text, _) in enumerate(_SETTINGS)) + " END, 'N', CAST(doc_id + 11 AS {T}))"
+
+
+@query("A12_settings_misfits", f"SELECT doc_id, path, problem FROM documents JOIN {I.values([(k, p, q) for k, (_, found) in enumerate(_SETTINGS) for p, q in found], 'kind, path, problem')} ON doc_id % 7 = kind")
+def _a12(spark, d):
+    """What doesn't fit in settings documents, and where."""
+    rows = table(spark, d, "documents").select("doc_id", F.expr(_TEXT.replace("{T}", "STRING")).alias("value"))
+    return readers.settings_misfits(rows, F.col("value")).drop("value")

@@ -12,6 +12,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarrylens.functions.json_schema import misfits
 from quarrylens.operators.dependencies import INVENTORY
 from quarrylens.operators.filters import file_skipped, folder_skipped, size_kept
 
@@ -238,6 +239,40 @@ def _misfits(value, kind, name: str):
         yield f"{name} must be of type {kind.__name__}"
 
 
+def _schema_of(kind) -> dict:
+    """The JSON Schema of the kinds of fields above."""
+    if isinstance(kind, dict):
+        return {"type": "object", "properties": {k: _schema_of(v) for k, v in kind.items()}}
+    if isinstance(kind, list):
+        return {"type": "array", "items": _schema_of(kind[0])}
+    return {"type": {str: "string", int: "integer", bool: "boolean"}[kind]}
+
+
+def settings_schema() -> dict:
+    """The JSON Schema of settings: the kinds of fields, and which may be null, which must be there, and their bounds (fixed values)."""
+    schema = _schema_of({**SETTINGS, "self": {"name": str, "license": str, "description": str}})
+    settings_, bom = (schema["properties"][k]["properties"] for k in ("settings", "bom"))
+    for listed in settings_["skip"]["properties"]["patterns"]["properties"].values():
+        listed["uniqueItems"] = True
+    snippet = settings_["file_snippet"]["properties"]
+    settings_["hpfm"] = _schema_of({"ranking_enabled": bool, "ranking_threshold": int})
+    settings_["container"] = {"type": "object"}
+    for name, kind in (("ranking_enabled", "boolean"), ("honour_file_exts", "boolean"), ("ranking_threshold", "integer")):
+        snippet[name]["type"] = [kind, "null"]
+    settings_["hpfm"]["properties"]["ranking_threshold"]["type"] = ["integer", "null"]
+    for node, least, most in ((snippet["ranking_threshold"], -1, 10), (settings_["hpfm"]["properties"]["ranking_threshold"], -1, 99), (snippet["min_snippet_hits"], 0, None), (snippet["min_snippet_lines"], 0, None)):
+        node.update({"minimum": least} if most is None else {"minimum": least, "maximum": most})
+    for name, needed in (("include", ["purl"]), ("replace", ["purl", "replace_with"])):
+        bom[name]["items"]["required"] = needed
+    bom["remove"]["items"]["anyOf"] = [{"required": ["purl"]}, {"required": ["path"]}]
+    return schema
+
+
+def settings_misfits(rows: DataFrame, value: Column) -> DataFrame:
+    """``rows`` with ``path`` and ``problem`` of all in the settings of ``value`` (a JSON text) that doesn't fit :func:`settings_schema`, a row each."""
+    return rows.withColumn("misfit", F.explode(misfits(value, settings_schema(), "settings"))).select(*rows.columns, "misfit.*")
+
+
 def settings_rules(spark: SparkSession, data: dict) -> DataFrame:
     """Rules of settings as a table, in their order."""
     rows, order = [], 0
