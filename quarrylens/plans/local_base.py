@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarrylens.functions import udfs
 from quarrylens.functions.fixed_values import GRAM, WINDOW
 from quarrylens.operators import fingerprints, folders, hamming, versions
 from quarrylens.plans import catalog as Q
@@ -106,17 +105,17 @@ def _lines(spark, d):
 
 # Hashes that differ in a few bits
 
-_PART_HASHES = _simhash_sql(f"SELECT p_partkey, {_WORDS.format(x='p_name')} FROM part", "p_partkey")
+#: Hashes of documents: those of sixteen ids share most bits.
+_GROUP = "concat('group ', CAST({half} AS {T}))"
 
 
-@query("K_hamming_pairs", f"""WITH h AS (SELECT simhash, count(*) AS n, ('0x' || simhash)::UBIGINT AS v FROM ({_PART_HASHES}) GROUP BY simhash)
-SELECT least(a.simhash, b.simhash) AS hash_a, greatest(a.simhash, b.simhash) AS hash_b, bit_count(xor(a.v, b.v))::INT AS distance FROM h a JOIN h b ON a.simhash < b.simhash WHERE bit_count(xor(a.v, b.v)) <= 6""")
+@query("K_hamming_pairs", f"""WITH h AS (SELECT DISTINCT xor(xor(('0x' || substr(md5({_GROUP.format(half='doc_id // 16', T='VARCHAR')}), 1, 15))::BIGINT, 1::BIGINT << (doc_id % 16)), 1::BIGINT << (16 + doc_id % 5)) AS v FROM documents)
+SELECT a.v AS hash_a, b.v AS hash_b, bit_count(xor(a.v, b.v))::INT AS distance FROM h a JOIN h b ON a.v < b.v WHERE bit_count(xor(a.v, b.v)) <= 3""")
 def _pairs(spark, d):
-    """Word hashes of part names that differ in at most six bits."""
-    hashes = table(spark, d, "part").select(udfs.simhash_words("p_name").alias("hash"))
-    shown = lambda c: F.lower(F.hex(c))
-    found = hamming.near_hashes(hashes, within=6).select(shown("hash_a").alias("a"), shown("hash_b").alias("b"), "distance")
-    return found.select(F.least("a", "b").alias("hash_a"), F.greatest("a", "b").alias("hash_b"), "distance")
+    """Hashes of documents that differ in at most three bits."""
+    group = F.conv(F.substring(F.md5(F.expr(_GROUP.format(half="doc_id div 16", T="STRING"))), 1, 15), 16, 10).cast("long")
+    flips = F.expr("shiftleft(1L, cast(doc_id % 16 as int)) ^ shiftleft(1L, cast(16 + doc_id % 5 as int))")
+    return hamming.near_hashes(table(spark, d, "documents").select(group.bitwiseXOR(flips).alias("hash")), within=3)
 
 
 _ABOVE_OF = "SELECT path, unnest(list_transform(range(0, len(p)), lambda n: CASE WHEN n = 0 THEN '.' ELSE array_to_string(p[1:n], '/') END)) AS dir, unnest(range(1, len(p) + 1)) AS depth FROM (SELECT path, string_split(path, '/') AS p FROM {t})"
