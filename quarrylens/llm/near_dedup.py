@@ -18,9 +18,13 @@
    rows grow with the members, not with their square. A linked pair that shares a smaller bucket too is found there; at the threshold it shares none of the 48 - t
    bands that aren't large with probability 0.763 ** (48 - t), 3e-5 for t = 10, and only then the split decides, which loses 4 % of such pairs each time.
    Parts that stay large are looked through in blocks, whatever their size.
-5. Components of the confirmed links give the result.
+5. Sketches and splits decide nothing for good: what they leave out is looked for on the full sets. All members of buckets that still hold several components
+   are joined by the prefixes of their sets, shingles that few of them hold first: of two linked sets the shingle that comes first of those in both lies among the first
+   n - ceil(0.75 * n) + 1 of the one and of the other, and as many shingles as a link needs come from there on in both. Pairs for which that holds are confirmed.
+   A shingle that lies in the prefixes of many is looked through in blocks, whatever its size.
+6. Components of the confirmed links give the result.
 
-A pair at the threshold shares a bucket with probability 1 - (1 - 0.75 ** 5) ** 48, all but two in a million.
+So every link between two documents that share a bucket counts. A pair at the threshold shares a bucket with probability 1 - (1 - 0.75 ** 5) ** 48, all but two in a million.
 Buckets with many members are dealt to several tasks; nothing is capped.
 
 Defined results: a document without words has an empty set and is linked with nothing; null texts count
@@ -35,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrylens.llm.common import checkpointed, documents, looked_up
@@ -48,6 +52,8 @@ SMALL = 20
 BIG, GROUPS, TAKEN, SPLITS = 4096, 6, 3, 2
 SIGNATURES = "doc_id long, n_shingles long, set_hi long, set_lo long, sketch binary"
 BATCH = 1000
+#: Up to this many ids are sent to all tasks, so that the other texts aren't exchanged.
+FEW = 100_000
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -118,15 +124,15 @@ def _several(label: DataFrame) -> DataFrame:
     return several.select("key", F.col("largest.star").alias("largest"), F.col("largest.n").alias("n_large"), (F.col("size") - F.col("largest.n")).alias("n_others"))
 
 
-def _in_blocks(inside: DataFrame) -> DataFrame:
+def _in_blocks(inside: DataFrame, large: Column | None = None) -> DataFrame:
     """Members of buckets with several stars, once for each pair of blocks (``key, i, j``) that they take part in.
 
     No two members of the bucket's largest star need be compared. The others are dealt to blocks, and so is the largest star;
     each block of others meets every other such block and every block of the largest star, so that a member of that star is sent
-    as often as there are blocks of others (once, if these are few)."""
+    as often as there are blocks of others (once, if these are few). ``large`` may name other members that need not meet each other."""
     blocks_of = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / BLOCK)).cast("int")
     inside = inside.withColumns({"n_large": blocks_of("n_large"), "n_others": blocks_of("n_others")})
-    large = F.col("star") == F.col("largest")
+    large = F.col("star") == F.col("largest") if large is None else large
     # blocks of others come first, then those of the largest star
     own = F.when(large, F.col("n_others") + F.pmod(F.xxhash64("rep"), F.col("n_large"))).otherwise(F.pmod(F.xxhash64("rep"), F.col("n_others"))).cast("int")
     met = F.when(large, F.sequence(F.lit(0), F.col("n_others") - 1)).otherwise(F.sequence(F.lit(0), F.col("n_others") + F.col("n_large") - 1))
@@ -215,6 +221,70 @@ def _across_stars(blocks: DataFrame, bands: int, rows: int, percent: int) -> Dat
     return dealt.mapInArrow(run, "key long, i int, j int, rep long, partners array<bigint>")
 
 
+def _unsettled(members: DataFrame, stars: DataFrame) -> DataFrame:
+    """``rep, star`` of the members of all buckets with several stars."""
+    label = _labelled(members, stars)
+    return looked_up(label, _several(label).select("key"), ["key"], salts=4, how="inner").select("rep", "star").distinct()
+
+
+def _listed(inside: DataFrame, k: int) -> DataFrame:
+    """The sets of the texts of ``rep, star, text``: ``rep, star, n, digest, shingles``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH // 10):
+                part = batch.slice(at, BATCH // 10)
+                sets = list(shingle_sets(part.column(2), k))
+                sizes = np.array([len(found) for found in sets], np.int64)
+                lists = pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int64()), pa.array(np.concatenate(sets).view(np.int64))).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sizes), pa.array([set_digest(found)[0] for found in sets], pa.int64()), lists], names=["rep", "star", "n", "digest", "shingles"])
+
+    return inside.select("rep", "star", "text").mapInArrow(run, "rep long, star long, n long, digest long, shingles array<bigint>")
+
+
+def _prefixes(listed: DataFrame, percent: int) -> DataFrame:
+    """The shingles of each set by which it may meet sets of other stars: ``key, rep, star, n, left``.
+
+    Shingles are ordered by the number of sets that hold them; those of one star only come first and make no rows. ``left`` counts the set's shingles
+    from this one on."""
+    sets = listed.withColumn("sid", F.xxhash64("rep", "digest"))
+    each = sets.select("sid", "star", F.explode("shingles").alias("key"))
+    shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.min("star").alias("low"), F.max("star").alias("high")).filter("low < high").select("key", "held")
+    ordered = looked_up(each.select("key", "sid"), shared, ["key"], salts=4, how="inner").groupBy("sid").agg(F.sort_array(F.collect_set(F.struct("held", "key"))).alias("shared"))
+    ordered = ordered.join(sets.select("sid", "rep", "star", "n").distinct(), "sid").withColumn("alone", F.col("n") - F.size("shared"))
+    taken = F.expr(f"CAST(greatest(0, n - ({percent} * n + 99) div 100 + 1 - alone) AS INT)")
+    placed = ordered.select("rep", "star", "n", "alone", F.posexplode(F.slice("shared", 1, taken)).alias("at", "shingle"))
+    return placed.select(F.col("shingle.key").alias("key"), "rep", "star", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("left"))
+
+
+def _by_prefixes(prefixes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different stars that may be linked, by a shingle in the prefixes of both: none that is linked is left out.
+
+    The smaller set of a linked pair has the shingle in a shorter prefix (``early``), so sets that have not need not meet each other, nor need those of the largest star;
+    the more numerous of these two sorts is kept apart in blocks."""
+    prefixes = prefixes.withColumn("early", (100 + percent) * F.col("left") >= 2 * percent * F.col("n"))
+    sizes = prefixes.groupBy("key", "star").agg(F.count(F.lit(1)).alias("n"), F.count_if("early").alias("n_early"))
+    facts = sizes.groupBy("key").agg(F.max(F.struct("n", "star")).alias("largest"), F.sum("n").alias("size"), F.sum("n_early").alias("n_early"), F.count(F.lit(1)).alias("stars")).filter("stars > 1 AND n_early > 0")
+    facts = facts.withColumn("by_place", F.col("n_early") < F.col("size") - F.col("largest.n"))
+    n_others = F.when(F.col("by_place"), F.col("n_early")).otherwise(F.col("size") - F.col("largest.n"))
+    facts = facts.select("key", "by_place", F.col("largest.star").alias("largest"), (F.col("size") - n_others).alias("n_large"), n_others.alias("n_others"))
+    large = F.when(F.col("by_place"), ~F.col("early")).otherwise(F.col("star") == F.col("largest"))
+    blocks = _in_blocks(looked_up(prefixes, facts, ["key"], salts=4, how="inner"), large).select("key", "i", "j", "own", "rep", "star", "n", "left")
+    x = blocks.filter("own = i").drop("own")
+    y = blocks.filter("own = j").drop("own").withColumnsRenamed({c: f"{c}_b" for c in ("rep", "star", "n", "left")})
+    pairs = x.join(y, ["key", "i", "j"]).filter("star <> star_b AND (i < j OR rep < rep_b)").filter((100 + percent) * F.least("left", "left_b") >= percent * (F.col("n") + F.col("n_b")))
+    return pairs.select(F.least("rep", "rep_b").alias("a"), F.greatest("rep", "rep_b").alias("b")).distinct()
+
+
+def _links_by_prefixes(inside: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """All links (a, b) between different stars of ``inside`` (``rep, star``)."""
+    few = inside.count() <= FEW
+    inside = checkpointed(texts.withColumnRenamed("doc_id", "rep").join(F.broadcast(inside) if few else inside, "rep"))
+    prefixes = checkpointed(_prefixes(checkpointed(_listed(inside, k)), percent))
+    pairs = checkpointed(_by_prefixes(prefixes, percent))
+    return checkpointed(_confirmed_in_blocks(_star_blocks(pairs), inside.select(F.col("rep").alias("doc_id"), "text"), k, percent))
+
+
 def _confirmed_in_blocks(blocks: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (a, b) among the members of each block, on the full sets of its documents."""
     joined = blocks.join(texts.withColumnRenamed("doc_id", "rep"), "rep").select("key", "i", "j", "rep", "partners", "text")
@@ -283,6 +353,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         blocks = _met_blocks(members.join(inside, "rep", "left_semi"), whole, checkpointed(known.join(inside, "rep", "left_semi").select("rep", "sketch")), bands * rows)
         named = components(found.select("a", "b").unionByName(_confirmed_in_blocks(_across_stars(blocks, bands, rows, percent), texts, k, percent)))
 
+    # what sketches and splits left out
+    rest = checkpointed(_unsettled(members, named.select(F.col("node").alias("rep"), F.col("component").alias("star"))))
+    if not rest.isEmpty():
+        exact = _links_by_prefixes(rest, texts, k, percent)
+        if not exact.isEmpty():
+            named = components(exact.unionByName(named.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+
     special = classes.select("set_hi", "set_lo", "rep", "copies").join(named.withColumnRenamed("node", "rep"), "rep", "left")
     special = special.filter("copies > 1 OR component IS NOT NULL").select("set_hi", "set_lo", F.coalesce("component", "rep").alias("component"))
     out = looked_up(signed.select("doc_id", "n_shingles", "set_hi", "set_lo"), special, ["set_hi", "set_lo"])

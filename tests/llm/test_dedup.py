@@ -184,6 +184,52 @@ def test_near_with_split_buckets(seed, docs_of, monkeypatch):
     assert sorted(map(repr, (tuple(r) for r in near_dedup.near_dedup(docs_of(rows)).collect()))) == near_brute(rows)
 
 
+@pytest.mark.parametrize("lost", ["by the split", "by sketches"])
+def test_near_finds_what_sketches_and_splits_leave_out(lost, docs_of, monkeypatch):
+    """All documents share the smallest hash of their first band, so a pair meets in the bucket of an unlinked centre."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    monkeypatch.setattr(near_dedup, "BIG", 0 if lost == "by the split" else 4096)
+    if lost == "by the split":
+        monkeypatch.setattr(near_dedup, "GROUPS", 1)
+        monkeypatch.setattr(near_dedup, "TAKEN", 2)
+    else:
+        monkeypatch.setattr(near_dedup, "least_agreement", lambda n, values, percent=75: np.full(np.shape(n), 1.1))
+    starts = [f"m{k} t0 t1 t2 t3" for k in range(200_000)]
+    template = starts[int(np.argmin([s[0] for s in shingles.shingle_sets(pa.array(starts))]))].split()
+    rng = random.Random(5)
+    rows = []
+    for i in range(60):
+        own = [f"p{i}x{k}" for k in range(rng.choice([40, 60, 90]))]
+        rows.append((i, " ".join(template + own)))
+        rows.append((1000 + i, " ".join(template + own[: -(len(own) // 5)] + ["an", "edit"])))
+    bands = 2 if lost == "by the split" else 1
+    assert sorted(map(repr, (tuple(r) for r in near_dedup.near_dedup(docs_of(rows), bands=bands, rows=1).collect()))) == near_brute(rows)
+
+
+@pytest.mark.parametrize("seed", [6, 7])
+def test_prefixes_leave_no_link_out(seed, spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 2)
+    rng = np.random.default_rng(seed)
+    sets = []
+    for _ in range(120):  # sizes and overlaps about the threshold, many with a common part
+        whole = rng.permutation(40)[: rng.integers(1, 40)] + 100 * rng.integers(3)
+        sets.append(np.unique(np.append(whole, np.arange(1000, 1000 + rng.choice([0, 5, 60])))))
+    stars = rng.integers(0, 30, len(sets)).tolist()
+    listed = spark.createDataFrame([(i, stars[i], len(s), i, s.tolist()) for i, s in enumerate(sets)], "rep long, star long, n long, digest long, shingles array<bigint>")
+    found = {(r.a, r.b) for r in near_dedup._by_prefixes(near_dedup._prefixes(listed, 75), 75).collect()}
+    assert found >= {(a, b) for b in range(len(sets)) for a in range(b) if stars[a] != stars[b] and near_dedup.linked(sets[a], sets[b])}
+    assert all(stars[a] != stars[b] for a, b in found)
+
+
+def test_prefixes_of_unlinked_members_of_one_template_make_no_pairs(spark):
+    """Sets that have more than a seventh for themselves don't meet by what all hold."""
+    n = 3000
+    listed = spark.range(n).selectExpr("id AS rep", "id AS star", "100L AS n", "id AS digest", "concat(sequence(1L, 80L), transform(sequence(1L, 20L), x -> 1000L + 20L * id + x)) AS shingles")
+    prefixes = near_dedup._prefixes(listed, 75)
+    assert prefixes.count() == n * 6 and prefixes.agg(F.max("left")).first()[0] == 80
+    assert near_dedup._by_prefixes(prefixes, 75).count() == 0
+
+
 def test_near_of_a_long_text_and_repeated_ids(docs_of):
     long = " ".join(f"w{k * 7919 % 10007}" for k in range(40_000))
     rows = [(1, long), (2, long + " and some more words at the end"), (3, "other text of a few words only here"), (3, long), (4, long.replace("w5", "x5")), (5, "other text of a few words only here")]
