@@ -1,10 +1,12 @@
 """Exact, near and substring duplicates against brute force."""
 
+import functools
 import hashlib
 import os
 import random
 import re
 
+import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -206,6 +208,16 @@ def test_near_finds_what_sketches_and_splits_leave_out(lost, docs_of, monkeypatc
     assert sorted(map(repr, (tuple(r) for r in near_dedup.near_dedup(docs_of(rows), bands=bands, rows=1).collect()))) == near_brute(rows)
 
 
+def test_pipeline_stage_drops_what_sketches_leave_out(spark, docs_of, monkeypatch):
+    """As above, with few documents, by the stage of the pipeline."""
+    monkeypatch.setattr(near_dedup, "least_agreement", lambda n, values, percent=75: np.full(np.shape(n), 1.1))
+    monkeypatch.setattr(near_dedup, "near_dedup", functools.partial(near_dedup.near_dedup, bands=1, rows=1))
+    starts = [f"m{k} t0 t1 t2 t3" for k in range(200_000)]
+    start = starts[int(np.argmin([s[0] for s in shingles.shingle_sets(pa.array(starts))]))]
+    rows = [(i + e, " ".join([start, *(f"p{i}x{k}" for k in range(40 - e // 500))])) for i in range(6) for e in (0, 1000)]
+    assert {r.doc_id for r in corpus_pipeline.near(spark, docs_of(rows), "").collect()} == set(range(6))
+
+
 @pytest.mark.parametrize("seed", [6, 7])
 def test_prefixes_leave_no_link_out(seed, spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 2)
