@@ -18,13 +18,16 @@
    rows grow with the members, not with their square. A linked pair that shares a smaller bucket too is found there; at the threshold it shares none of the 48 - t
    bands that aren't large with probability 0.763 ** (48 - t), 3e-5 for t = 10, and only then the split decides, which loses 4 % of such pairs each time.
    Parts that stay large are looked through in blocks, whatever their size.
-5. Sketches and splits decide nothing for good: what they leave out is looked for on the full sets. All members of buckets that still hold several components
-   are joined by the prefixes of their sets, shingles that few of them hold first: of two linked sets the shingle that comes first of those in both lies among the first
+5. Bands, sketches and splits decide nothing for good: what they leave out is looked for on the full sets of all classes. A set that is linked with one of another
+   component lacks at most n - ceil(0.75 * n) of its shingles there, so it holds no more than that many that no other component has. That is counted on the shingles
+   whose hash lies in the lowest ``1.6 * 0.25`` of all values; sets with more are done with. The shingles of very many sets, by a sample, count as held elsewhere
+   without being looked up, which leaves more sets and none out.
+6. The sets that remain are joined by their prefixes, shingles that few of them hold first: of two linked sets the shingle that comes first of those in both lies among the first
    n - ceil(0.75 * n) + 1 of the one and of the other, and as many shingles as a link needs come from there on in both. Pairs for which that holds are confirmed.
    A shingle that lies in the prefixes of many is looked through in blocks, whatever its size.
-6. Components of the confirmed links give the result.
+7. Components of the confirmed links give the result.
 
-So every link between two documents that share a bucket counts. A pair at the threshold shares a bucket with probability 1 - (1 - 0.75 ** 5) ** 48, all but two in a million.
+So every link counts, also of two documents that share no bucket (at the threshold two pairs in a million, of sets of 3 and 4 shingles 33).
 Buckets with many members are dealt to several tasks; nothing is capped.
 
 Defined results: a document without words has an empty set and is linked with nothing; null texts count
@@ -36,10 +39,11 @@ an empty table; other columns of ``docs``, whatever their names, stay as they ar
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarrylens.llm.common import checkpointed, documents, looked_up
@@ -54,6 +58,8 @@ SIGNATURES = "doc_id long, n_shingles long, set_hi long, set_lo long, sketch bin
 BATCH = 1000
 #: Up to this many ids are sent to all tasks, so that the other texts aren't exchanged.
 FEW = 100_000
+#: Shingles of over a hundredth of about ``SAMPLE`` sets aren't looked up in other components, the ``FREQUENT`` most frequent ones at most.
+SAMPLE, FREQUENT = 5000, 20_000
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -221,10 +227,44 @@ def _across_stars(blocks: DataFrame, bands: int, rows: int, percent: int) -> Dat
     return dealt.mapInArrow(run, "key long, i int, j int, rep long, partners array<bigint>")
 
 
-def _unsettled(members: DataFrame, stars: DataFrame) -> DataFrame:
-    """``rep, star`` of the members of all buckets with several stars."""
-    label = _labelled(members, stars)
-    return looked_up(label, _several(label).select("key"), ["key"], salts=4, how="inner").select("rep", "star").distinct()
+def _frequent(texts: DataFrame, reps: DataFrame, k: int) -> np.ndarray:
+    """Shingles that sets of very many components hold, by a sample, ascending."""
+    sampled = F.pmod(F.xxhash64("rep"), F.lit(-(-reps.count() // SAMPLE) or 1)) == 0
+    listed = _listed(texts.filter(sampled).join(reps.filter(sampled).select("rep", "star").distinct(), "rep"), k)
+    held = listed.select("star", F.explode("shingles").alias("key")).groupBy("key").agg(F.count_distinct("star").alias("stars")).filter(F.col("stars") > SAMPLE // 100)
+    found = held.orderBy(F.desc("stars"), "key").limit(FREQUENT).select("key").toArrow().column("key").to_numpy()
+    return np.sort(found.astype(np.int64).view(np.uint64))
+
+
+def _not_alone(texts: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
+    """``rep, star`` of the sets of ``reps`` (``rep, star, set_hi, set_lo``) that may be linked with one of another star: so few of their
+    shingles are held by their own star only. ``texts`` has ``rep, text``."""
+    lowest = np.uint64(min(2**64 - 1, 2**64 * 16 * (100 - percent) // 1000))
+    frequent = _frequent(texts, reps, k)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH)
+                sets = list(shingle_sets(part.column(4), k))
+                rep, star, hi, lo = (part.column(c).to_numpy() for c in range(4))
+                own = np.array([set_digest(found) == x for found, x in zip(sets, zip(hi.tolist(), lo.tolist(), strict=True), strict=True)], bool)
+                low = [found[: np.searchsorted(found, lowest, "right")] if x else found[:0] for found, x in zip(sets, own.tolist(), strict=True)]
+                keys, of = np.concatenate(low), np.repeat(np.arange(len(low)), [len(x) for x in low])
+                if len(frequent):
+                    rare = frequent[np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)] != keys
+                    keys, of = keys[rare], of[rare]
+                n = np.array([len(found) for found in sets])
+                need = np.bincount(of, minlength=len(n)) - n + (percent * n + 99) // 100
+                # 40 bits will do, as keys that fall together leave more sets; a negative key stands for a set that remains without any
+                free = np.flatnonzero(own & (need <= 0))
+                keys, of = np.append((keys >> np.uint64(24)).astype(np.int64), -1 - (hi[free] & 0x7FFFFFFFFFFFFFFF)), np.append(of, free)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(rep[of]), pa.array(star[of]), pa.array(need[of])], names=["key", "rep", "star", "need"])
+
+    each = texts.join(reps, "rep").select("rep", "star", "set_hi", "set_lo", "text").mapInArrow(run, "key long, rep long, star long, need long")
+    sharing = Window.partitionBy("key")
+    met = each.withColumns({"low": F.min("star").over(sharing), "high": F.max("star").over(sharing)}).filter("key < 0 OR low < high")
+    return met.groupBy("rep", "star", "need").agg(F.count_if(F.col("key") >= 0).alias("shared")).filter("shared >= need").select("rep", "star").distinct()
 
 
 def _listed(inside: DataFrame, k: int) -> DataFrame:
@@ -330,35 +370,53 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
+@contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a step go once its table is written, not when the driver's garbage is collected."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row."""
     texts = documents(docs, id_col, text_col)
-    signed = checkpointed(signatures(docs, id_col, text_col, k, bands, rows))
-    classes = signed.filter("n_shingles > 0").groupBy("set_hi", "set_lo", "n_shingles", "sketch").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    known = classes.filter("rep IS NOT NULL")
-    members = checkpointed(_members(known, bands, rows))
-    star = members.filter(F.col("rep") != F.col("centre")).filter(_alike_in_size(F.col("centre_n"), F.col("n_shingles"), percent)).select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    # b is linked with its centre a; the pairs come out as (b, a)
-    links = _confirmed_in_blocks(_star_blocks(star), texts, k, percent).select(F.col("b").alias("a"), F.col("a").alias("b")).distinct()
-    stars = links.groupBy(F.col("b").alias("rep")).agg(F.min("a").alias("star"))
-    more = _confirmed_in_blocks(_across_stars(_small_blocks(members, stars, known), bands, rows, percent), texts, k, percent)
-    # one plan up to here, so that the texts are exchanged once for all joins
-    found = checkpointed(links.withColumn("by_star", F.lit(True)).unionByName(more.withColumn("by_star", F.lit(False))))
-    named = components(found)
-    large = checkpointed(_left_out(members, found.filter("by_star").groupBy(F.col("b").alias("rep")).agg(F.min("a").alias("star"))))
-    if not large.isEmpty():
-        # members of large buckets are looked through in all their buckets: the first one that a pair shares may be large
-        inside = checkpointed(looked_up(members, large, ["key"], salts=4, how="inner").select("rep").distinct())
-        whole = named.select(F.col("node").alias("rep"), F.col("component").alias("star"))
-        blocks = _met_blocks(members.join(inside, "rep", "left_semi"), whole, checkpointed(known.join(inside, "rep", "left_semi").select("rep", "sketch")), bands * rows)
-        named = components(found.select("a", "b").unionByName(_confirmed_in_blocks(_across_stars(blocks, bands, rows, percent), texts, k, percent)))
-
-    # what sketches and splits left out
-    rest = checkpointed(_unsettled(members, named.select(F.col("node").alias("rep"), F.col("component").alias("star"))))
-    if not rest.isEmpty():
-        exact = _links_by_prefixes(rest, texts, k, percent)
-        if not exact.isEmpty():
-            named = components(exact.unionByName(named.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    with _shuffles_freed(docs.sparkSession):
+        signed = checkpointed(signatures(docs, id_col, text_col, k, bands, rows))
+        classes = signed.filter("n_shingles > 0").groupBy("set_hi", "set_lo", "n_shingles", "sketch").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+        known = classes.filter("rep IS NOT NULL")
+        members = checkpointed(_members(known, bands, rows))
+        star = members.filter(F.col("rep") != F.col("centre")).filter(_alike_in_size(F.col("centre_n"), F.col("n_shingles"), percent)).select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+        # b is linked with its centre a; the pairs come out as (b, a)
+        links = _confirmed_in_blocks(_star_blocks(star), texts, k, percent).select(F.col("b").alias("a"), F.col("a").alias("b")).distinct()
+        stars = links.groupBy(F.col("b").alias("rep")).agg(F.min("a").alias("star"))
+        more = _confirmed_in_blocks(_across_stars(_small_blocks(members, stars, known), bands, rows, percent), texts, k, percent)
+        # one plan up to here, so that the texts are exchanged once for all joins
+        found = checkpointed(links.withColumn("by_star", F.lit(True)).unionByName(more.withColumn("by_star", F.lit(False))))
+        named = components(found)
+        large = checkpointed(_left_out(members, found.filter("by_star").groupBy(F.col("b").alias("rep")).agg(F.min("a").alias("star"))))
+        if not large.isEmpty():
+            # members of large buckets are looked through in all their buckets: the first one that a pair shares may be large
+            inside = checkpointed(looked_up(members, large, ["key"], salts=4, how="inner").select("rep").distinct())
+            whole = named.select(F.col("node").alias("rep"), F.col("component").alias("star"))
+            blocks = _met_blocks(members.join(inside, "rep", "left_semi"), whole, checkpointed(known.join(inside, "rep", "left_semi").select("rep", "sketch")), bands * rows)
+            named = components(found.select("a", "b").unionByName(_confirmed_in_blocks(_across_stars(blocks, bands, rows, percent), texts, k, percent)))
+
+        # what bands, sketches and splits left out
+        reps = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_hi", "set_lo").agg(F.min("doc_id").alias("rep"))
+        reps = reps.join(named.select(F.col("node").alias("rep"), F.col("component").alias("star")), "rep", "left").withColumn("star", F.coalesce("star", "rep"))
+        rest = checkpointed(_not_alone(texts.withColumnRenamed("doc_id", "rep"), checkpointed(reps), k, percent))
+        if not rest.isEmpty():
+            exact = _links_by_prefixes(rest, texts, k, percent)
+            if not exact.isEmpty():
+                named = components(exact.unionByName(named.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
     special = classes.select("set_hi", "set_lo", "rep", "copies").join(named.withColumnRenamed("node", "rep"), "rep", "left")
     special = special.filter("copies > 1 OR component IS NOT NULL").select("set_hi", "set_lo", F.coalesce("component", "rep").alias("component"))

@@ -218,6 +218,37 @@ def test_pipeline_stage_drops_what_sketches_leave_out(spark, docs_of, monkeypatc
     assert {r.doc_id for r in corpus_pipeline.near(spark, docs_of(rows), "").collect()} == set(range(6))
 
 
+def test_near_finds_what_bands_leave_out(spark, docs_of):
+    """Linked texts of 7 and 8 words, of which the last shingle hides the others in most ranges of the sketch."""
+    words = [[f"w{name}y{k}" for k in range(8)] for name in ("0x29259", "1x22391", "2x25740", "4x6495")]
+    rows = [(10 * i + n, " ".join(text[:n])) for i, text in enumerate(words) for n in (7, 8)]
+    signed = {r.doc_id: np.frombuffer(r.sketch, "<u2").reshape(near_dedup.BANDS, -1) for r in near_dedup.signatures(docs_of(rows)).collect()}
+    assert not any((signed[10 * i + 7] == signed[10 * i + 8]).all(axis=1).any() for i in range(4))
+    assert sorted(map(repr, (tuple(r) for r in near_dedup.near_dedup(docs_of(rows)).collect()))) == near_brute(rows)
+    assert {r.doc_id for r in corpus_pipeline.near(spark, docs_of(rows), "").collect()} == {7, 17, 27, 37}
+
+
+@pytest.mark.parametrize("sample", [50_000, 60])
+def test_sets_that_may_be_linked_remain(sample, spark, docs_of, monkeypatch):
+    """Texts about the threshold, with a part that many share; no bands have linked any."""
+    monkeypatch.setattr(near_dedup, "SAMPLE", sample)
+    rng = random.Random(8)
+    common = [f"c{k}" for k in range(30)]
+    bases = [[f"b{i}x{k}" for k in range(rng.choice([8, 30, 90]))] for i in range(40)]
+    rows = []
+    for i, base in enumerate(bases):
+        rows.append((10 * i, " ".join(common[: rng.choice([0, 10, 30])] + base)))
+        rows += [(10 * i + e, " ".join(rows[-1][1].split()[: -len(base) // rng.choice([4, 5, 6])] + [f"e{i}x{e}"])) for e in (1, 2) if i % 4]
+    signed = near_dedup.signatures(docs_of(rows))
+    reps = signed.selectExpr("doc_id AS rep", "doc_id div 2 AS star", "set_hi", "set_lo")
+    texts = spark.createDataFrame(rows, "rep long, text string")
+    assert bool(len(near_dedup._frequent(texts, reps, 5))) == (sample == 60)
+    found = {r.rep for r in near_dedup._not_alone(texts, reps, 5, 75).collect()}
+    sets = dict(zip([i for i, _ in rows], shingles.shingle_sets(pa.array([t for _, t in rows])), strict=True))
+    wanted = {x for a in sets for b in sets if a // 2 != b // 2 and near_dedup.linked(sets[a], sets[b]) for x in (a, b)}
+    assert wanted <= found < set(sets)
+
+
 @pytest.mark.parametrize("seed", [6, 7])
 def test_prefixes_leave_no_link_out(seed, spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 2)
